@@ -70,9 +70,15 @@ def write_changes(outcomes: DataFrame, root: str, batch: int) -> None:
 
 
 def read_current(
-    spark: SparkSession, root: str, keys: Sequence[str], schema: T.StructType
+    spark: SparkSession,
+    root: str,
+    keys: Sequence[str],
+    schema: T.StructType,
+    before: int | None = None,
 ) -> DataFrame:
-    """The latest row of every key over all batches."""
+    """The latest row of every key over all batches, or those before one."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
     rows = spark.read.schema(with_batch).parquet(root)
+    if before is not None:
+        rows = rows.filter(F.col("batch") < before)
     return last_per_key(rows, keys, ["batch"]).drop("batch")
