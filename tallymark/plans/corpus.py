@@ -13,6 +13,7 @@ from tallymark.functions.identifiers import is_archive_input, is_assembly
 from tallymark.operators.lookup import authority_entry, best_scheme, resolve_published, scheme_strays
 from tallymark.operators.ranking import stable_sample
 from tallymark.operators.rollup import OPTIONAL_ARTIFACTS, REQUIRED_ARTIFACTS, publication_status
+from tallymark.session import cut
 from tallymark.sources.observed import SCHEMES, by_scheme, published
 
 TABLES = {
@@ -58,8 +59,8 @@ TABLES = {
 class Corpus:
     """Named tables; the ones not given are empty.
 
-    Derived tables are built once per corpus. ``persist`` keeps the ones
-    that many checks share.
+    Derived tables are described once per corpus; ``materialise`` computes
+    the ones that many checks share.
     """
 
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
@@ -72,9 +73,15 @@ class Corpus:
             df = tables.get(name)
             setattr(self, name, spark.createDataFrame([], schema) if df is None else df)
 
-    def persist(self) -> "Corpus":
-        for name in ("located", "status", "entry", "chosen", "strays"):
-            setattr(self, name, getattr(self, name).persist())
+    def materialise(self) -> "Corpus":
+        """Write the derived tables many checks share and read them back.
+
+        They hold a row or two per subject (and the contigs no scheme
+        explains), so this is cheap, and every check then starts from a
+        short plan instead of repeating their joins.
+        """
+        for name in ("declared", "located", "artifacts", "status", "entry", "chosen", "strays", "availability"):
+            setattr(self, name, cut(getattr(self, name)))
         return self
 
     def failed(self, lookup: str) -> DataFrame:

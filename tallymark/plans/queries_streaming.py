@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 from tallymark.operators.records import derive_state
 from tallymark.operators.upsert import read_current
 from tallymark.plans.driver import SEVERITY_SQL, query, severity_of
-from tallymark.streaming.incremental import listing_stream, run_incremental, scratch
+from tallymark.session import scratch
+from tallymark.streaming.incremental import listing_stream, run_incremental
 
 STATES = T.StructType(
     [

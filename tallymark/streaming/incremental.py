@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,17 +11,6 @@ from pyspark.sql import types as T
 from tallymark.operators.upsert import change_only, read_current, write_changes
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh directory in the shared folder the session names.
-
-    Only a session without one, as in tests, gets a local folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def touched_subjects(arrived: DataFrame, keys: Sequence[str]) -> DataFrame:
     return arrived.select(*keys).distinct()
 

@@ -133,9 +133,18 @@ DATA = {
 }
 
 
-def corpus(spark, **changes):
-    data = {**DATA, **changes}
-    return Corpus(
-        spark,
-        {k: spark.createDataFrame(v, TABLES[k]) for k, v in data.items() if v is not None},
-    )
+def write_corpus(spark, root):
+    """The tables as small parquet files, so that checks read like they do in use."""
+    for name, rows in DATA.items():
+        spark.createDataFrame(rows, TABLES[name]).coalesce(1).write.mode("overwrite").parquet(f"{root}/{name}")
+
+
+def read_corpus(spark, root, **changes):
+    """The corpus on disk, with some tables replaced or (``None``) left out."""
+    tables = {}
+    for name in DATA:
+        if name not in changes:
+            tables[name] = spark.read.parquet(f"{root}/{name}")
+        elif changes[name] is not None:
+            tables[name] = spark.createDataFrame(changes[name], TABLES[name]).coalesce(1)
+    return Corpus(spark, tables)
