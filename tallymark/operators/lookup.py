@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.identifiers import counterpart, same_assembly
+from tallymark.functions.text import words_within
 from tallymark.operators.ranking import first_n
 
 
@@ -128,68 +129,62 @@ def resolve_runs(
     return by_first.unionByName(by_second)
 
 
-def best_scheme(
+def named_schemes(
     observed: DataFrame,
     schemes: DataFrame,
     subject: Sequence[str],
     key: str,
-    default: str,
     shared: Sequence[str] = (),
 ) -> DataFrame:
-    """The naming scheme that explains most observed keys of each subject.
+    """Distinct observed keys with ``known``, the schemes that have them.
 
-    ``schemes`` has ``scheme``, ``scheme_rank`` and ``key``, per ``shared``
-    columns if its names depend on the subject. Ties go to the lowest rank,
-    subjects without any match to ``default``.
+    ``schemes`` has ``scheme`` and the key, and the ``shared`` columns if its
+    names depend on the subject. ``known`` is bounded by the schemes there are.
     """
-    names = observed.select(*subject, key).distinct()
-    hits = (
-        names.join(schemes.select(*shared, key, "scheme", "scheme_rank").distinct(), [*shared, key])
-        .groupBy(*subject, "scheme", "scheme_rank")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(*subject)
-        .agg(
-            F.max_by("scheme", F.struct("_n", -F.col("scheme_rank"))).alias("_best"),
-            F.max("_n").alias("n_matched"),
-        )
-    )
+    known = schemes.groupBy(*shared, key).agg(F.collect_set("scheme").alias("known"))
+    none = F.array().cast("array<string>")
     return (
-        names.groupBy(*subject)
-        .agg(F.count(F.lit(1)).alias("n_observed"))
-        .join(hits, list(subject), "left")
-        .select(
-            *subject,
-            F.coalesce(F.col("_best"), F.lit(default)).alias("scheme"),
-            "n_observed",
-            F.coalesce("n_matched", F.lit(0)).alias("n_matched"),
-        )
+        observed.select(*subject, key)
+        .distinct()
+        .join(known, [*shared, key], "left")
+        .withColumn("known", F.coalesce("known", none))
+    )
+
+
+def best_scheme(named: DataFrame, subject: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The scheme that explains most observed keys of each subject.
+
+    Ties, and subjects no scheme explains, go to the first in ``order``.
+    """
+    counted = named.groupBy(*subject).agg(
+        F.count(F.lit(1)).alias("n_observed"),
+        *[F.count_if(F.array_contains("known", s)).alias(f"_{i}") for i, s in enumerate(order)],
+    )
+    entries = F.array(
+        *[
+            F.struct(F.col(f"_{i}").alias("n"), F.lit(-i).alias("place"), F.lit(s).alias("scheme"))
+            for i, s in enumerate(order)
+        ]
+    )
+    best = F.array_max(entries)
+    return counted.select(
+        *subject, best["scheme"].alias("scheme"), "n_observed", best["n"].alias("n_matched")
     )
 
 
 def scheme_strays(
-    observed: DataFrame,
-    schemes: DataFrame,
-    chosen: DataFrame,
-    subject: Sequence[str],
-    key: str,
-    shared: Sequence[str] = (),
+    named: DataFrame, chosen: DataFrame, subject: Sequence[str], key: str, order: Sequence[str]
 ) -> DataFrame:
-    """Observed keys outside the chosen scheme, with the first scheme that knows them.
+    """Observed keys outside the chosen scheme, with the first scheme that has them.
 
     ``other`` is null for keys no scheme knows.
     """
-    names = observed.select(*subject, key).distinct()
-    known = schemes.select(*shared, key, "scheme", "scheme_rank").distinct()
-    matched = (
-        names.join(chosen.select(*subject, F.col("scheme").alias("_chosen")), list(subject))
-        .join(known, [*shared, key], "left")
-        .groupBy(*subject, key)
-        .agg(
-            F.max(F.coalesce((F.col("scheme") == F.col("_chosen")).cast("int"), F.lit(0))).alias("_in"),
-            F.min_by("scheme", "scheme_rank").alias("other"),
-        )
+    other = F.coalesce(*[F.when(F.array_contains("known", s), F.lit(s)) for s in order])
+    return (
+        named.join(chosen.select(*subject, "scheme"), list(subject))
+        .filter(~F.array_contains("known", F.col("scheme")))
+        .select(*subject, key, other.alias("other"))
     )
-    return matched.filter("_in = 0").drop("_in")
 
 
 def classify_form(declared: DataFrame, a: str, canonical: str) -> DataFrame:
@@ -203,35 +198,28 @@ def classify_form(declared: DataFrame, a: str, canonical: str) -> DataFrame:
 
 
 def contained_words(
-    passages: DataFrame,
-    texts: DataFrame,
-    passage_id: str,
-    text_id: str,
-    word: str = "word",
+    passages: DataFrame, texts: DataFrame, passage_id: str, text_id: str, words: str = "words"
 ) -> DataFrame:
     """Pairs where every word of the passage occurs in the text.
 
-    Both inputs are distinct ``(id, word)`` rows. A text holding all words
-    holds the rarest one too, so pairs are only formed on each passage's
-    rarest word and then verified against the others by an equi-join count.
+    Both inputs have an id and an array of distinct words. A text holding all
+    words of a passage holds any one of them, so pairs are only formed on one
+    anchor word per passage, the one fewest passages have, and then verified
+    word for word.
     """
-    wanted = passages.select(word).distinct()
-    frequency = (
-        texts.join(wanted, word, "left_semi").groupBy(word).agg(F.count(F.lit(1)).alias("_f"))
+    word = passages.select(passage_id, F.explode(words).alias("_word"))
+    spread = word.groupBy("_word").agg(F.count(F.lit(1)).alias("_f"))
+    anchors = first_n(
+        word.join(spread, "_word"), [passage_id], ["_f", F.desc(F.length("_word")), "_word"], 1, "_r"
+    ).select(passage_id, "_word")
+    pairs = (
+        texts.select(text_id, F.explode(words).alias("_word"))
+        .join(anchors, "_word")
+        .select(passage_id, text_id)
     )
-    sized = passages.groupBy(passage_id).agg(F.count(F.lit(1)).alias("_need"))
-    rarest = first_n(
-        passages.join(frequency, word, "left").withColumn("_f", F.coalesce("_f", F.lit(0))),
-        [passage_id],
-        ["_f", word],
-        1,
-        "_r",
-    ).filter("_f > 0")
-    pairs = rarest.select(passage_id, word).join(texts, word).select(passage_id, text_id)
-    checked = (
-        pairs.join(passages, passage_id)
-        .join(texts, [text_id, word])
-        .groupBy(passage_id, text_id)
-        .agg(F.count(F.lit(1)).alias("_got"))
+    return (
+        pairs.join(passages.select(passage_id, F.col(words).alias("_want")), passage_id)
+        .join(texts.select(text_id, F.col(words).alias("_have")), text_id)
+        .filter(words_within(F.col("_want"), F.col("_have")))
+        .select(passage_id, text_id)
     )
-    return checked.join(sized, passage_id).filter("_got = _need").select(passage_id, text_id)

@@ -98,32 +98,39 @@ def mismatched(
 
 
 def sequences_differ(
-    left: DataFrame,
-    right: DataFrame,
+    rows: DataFrame,
     subject: Sequence[str],
+    side: str,
+    sides: tuple[str, str],
     seq: str,
     values: Sequence[str],
     key: str,
 ) -> DataFrame:
     """Per subject: ``same``, ``same keys`` or ``different keys``.
 
-    The sides are compared position by position; ``seq`` numbers the rows.
+    ``rows`` holds both sides, told apart by the column ``side`` and numbered
+    by ``seq`` within each. They are compared position by position.
     """
-    row = F.struct(*values)
+    left, right = (F.col(side) == s for s in sides)
+    equal = F.lit(True)
+    for v in values:
+        equal = equal & F.col(f"_l_{v}").eqNullSafe(F.col(f"_r_{v}"))
     paired = (
-        left.select(*subject, seq, row.alias("_l"), F.lit(None).cast(_type(left, values)).alias("_r"))
-        .unionByName(
-            right.select(*subject, seq, F.lit(None).cast(_type(right, values)).alias("_l"), row.alias("_r"))
+        rows.groupBy(*subject, seq)
+        .agg(
+            F.count_if(left).alias("_l"),
+            F.count_if(right).alias("_r"),
+            *[F.max(F.when(left, F.col(v))).alias(f"_l_{v}") for v in values],
+            *[F.max(F.when(right, F.col(v))).alias(f"_r_{v}") for v in values],
         )
-        .groupBy(*subject, seq)
-        .agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
         .groupBy(*subject)
-        .agg(F.bool_and(F.col("_l").eqNullSafe(F.col("_r"))).alias("_same"))
+        .agg(F.bool_and((F.col("_l") == F.col("_r")) & equal).alias("_same"))
     )
     keys = (
-        presence(left, right, [*subject, key])
+        rows.groupBy(*subject, key)
+        .agg(F.bool_or(left).alias("_l"), F.bool_or(right).alias("_r"))
         .groupBy(*subject)
-        .agg(F.bool_and(F.col("in_left") == F.col("in_right")).alias("_keys"))
+        .agg(F.bool_and(F.col("_l") == F.col("_r")).alias("_keys"))
     )
     outcome = F.when(F.col("_same"), "same").when(F.col("_keys"), "same keys")
     return paired.join(keys, list(subject)).select(
@@ -131,10 +138,6 @@ def sequences_differ(
     )
 
 
-def _type(df: DataFrame, values: Sequence[str]):
-    return df.select(F.struct(*values).alias("v")).schema["v"].dataType
-
-
 def map_differences(
     left: DataFrame,
     right: DataFrame,
@@ -204,21 +207,20 @@ def unlike_first(
     many. Returns every member with flag ``differs``.
     """
     distinct = entries.select(*subject, member, *values).distinct()
-    lead = distinct.groupBy(*subject).agg(F.min(member).alias("_first"))
-    flagged = distinct.join(lead, list(subject))
-    base = flagged.filter(F.col(member) == F.col("_first")).select(
-        *subject, *values, F.lit(1).alias("_hit")
-    )
-    base_size = base.groupBy(*subject).agg(F.count(F.lit(1)).alias("_base"))
-    matched = (
-        distinct.join(base, [*subject, *values], "left")
+    sizes = distinct.groupBy(*subject, member).agg(F.count(F.lit(1)).alias("_size"))
+    lead = sizes.groupBy(*subject).agg(F.min(F.struct(member, "_size")).alias("_lead"))
+    first = lead.select(*subject, F.col(f"_lead.{member}").alias(member))
+    base = distinct.join(first, [*subject, member], "left_semi").select(*subject, *values)
+    hits = (
+        distinct.join(base, [*subject, *values], "left_semi")
         .groupBy(*subject, member)
-        .agg(F.count(F.lit(1)).alias("_size"), F.count("_hit").alias("_hits"))
+        .agg(F.count(F.lit(1)).alias("_hits"))
     )
-    return matched.join(base_size, list(subject)).select(
-        *subject,
-        member,
-        (~((F.col("_size") == F.col("_base")) & (F.col("_hits") == F.col("_base")))).alias("differs"),
+    agrees = (F.col("_size") == F.col("_lead._size")) & (F.col("_hits") == F.col("_size"))
+    return (
+        sizes.join(hits, [*subject, member], "left")
+        .join(lead, list(subject))
+        .select(*subject, member, (~F.coalesce(agrees, F.lit(False))).alias("differs"))
     )
 
 

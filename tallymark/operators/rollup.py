@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.text import sha256_tag
 from tallymark.operators.ranking import first_n
+from tallymark.session import cut
 
 # What a finished publication holds, in report order.
 REQUIRED_ARTIFACTS = ("raw_vcf", "raw_vcf_index", "bams", "qc", "callable_sites")
@@ -175,16 +176,20 @@ def quantiles(
     group: Sequence[str],
     value: str,
     fractions: Sequence[float] = (0.0, 0.25, 0.5, 0.75, 1.0),
-    cells: int = 4096,
-    rounds: int = 2,
+    cells: int = 65_536,
+    per_cell: int = 4_000_000,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group.
 
-    The needed order statistics are located by counting: each round splits
-    the value range of the cells that hold one into ``cells`` equal parts,
-    counts (combined on the map side), and keeps only the parts that still
-    hold a needed rank. What is left is counted per distinct value. No
-    group is ever gathered in one place.
+    The needed order statistics are located by counting: a round splits the
+    value range of the cells that hold one into ``cells`` equal parts,
+    counts them (combined on the map side) and keeps the parts that hold a
+    needed rank. Rounds repeat while a kept part has more than ``per_cell``
+    rows and its range can be split. What is left is counted per distinct
+    value. No group is ever gathered in one place.
+
+    The kept parts, a few rows per group, are written out after each round;
+    the rounds run when this is called.
     """
     fs = [float(f) for f in fractions]
     names = [f"q{int(round(f * 100))}" for f in fs]
@@ -198,51 +203,55 @@ def quantiles(
             *[F.least(F.floor(p) + 1, F.col("n") - 1) for p in spot],
         )
     )
+
+    def holding(base: Column, size: Column) -> Column:
+        return F.filter("_want", lambda x: (x >= base) & (x < base + size))
+
     keys = list(group)
-    summary = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+    summary = cut(
+        rows.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+        )
     )
     cell = summary.withColumn("_want", wanted).withColumn("_base", F.lit(0).cast("bigint"))
-    for r in range(rounds):
-        part = f"_c{r}"
+    level, crowded = 0, True
+    while crowded:
+        part = f"_c{level}"
         width = F.col("_hi") - F.col("_lo")
-        # A range so wide that its width overflows stays one cell.
+        # A range so wide that its width overflows stays one part.
         spread = (width > 0) & (width < F.lit(float("inf")))
-        placed = rows.join(cell.select(*keys, "_lo", "_hi"), keys).withColumn(
-            part,
-            F.when(spread, F.floor((F.col("_v") - F.col("_lo")) / width * cells)).otherwise(
-                F.lit(0).cast("bigint")
-            ),
+        rows = rows.join(cell.select(*keys, "_lo", "_hi"), keys).select(
+            *keys,
+            F.when(spread, F.floor((F.col("_v") - F.col("_lo")) / width * cells))
+            .otherwise(F.lit(0).cast("bigint"))
+            .alias(part),
+            "_v",
         )
-        counted = placed.groupBy(*keys, part).agg(
-            F.count(F.lit(1)).alias("_k"),
-            F.min("_v").alias("_lo2"),
-            F.max("_v").alias("_hi2"),
+        counted = rows.groupBy(*keys, part).agg(
+            F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2")
         )
         before = W.partitionBy(*keys).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
-        cell = (
+        cell = cut(
             counted.join(cell.select(*keys, "_want", "_base"), keys)
             .withColumn("_base", F.col("_base") + F.coalesce(F.sum("_k").over(before), F.lit(0)))
-            .withColumn(
-                "_want",
-                F.filter("_want", lambda x: (x >= F.col("_base")) & (x < F.col("_base") + F.col("_k"))),
-            )
+            .withColumn("_want", holding(F.col("_base"), F.col("_k")))
             .filter(F.size("_want") > 0)
-            .select(*keys, part, "_want", "_base", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"))
+            .select(
+                *keys, part, "_want", "_base", "_k", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi")
+            )
         )
-        rows = placed.drop("_lo", "_hi").join(cell.select(*keys, part), [*keys, part], "left_semi")
         keys = [*keys, part]
+        rows = rows.join(cell.select(*keys), keys, "left_semi")
+        splittable = (F.col("_hi") > F.col("_lo")) & (F.col("_hi") - F.col("_lo") < F.lit(float("inf")))
+        crowded = not cell.filter((F.col("_k") > per_cell) & splittable).isEmpty()
+        level += 1
     before = W.partitionBy(*keys).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
     found = (
         rows.groupBy(*keys, "_v")
         .agg(F.count(F.lit(1)).alias("_k"))
         .join(cell.select(*keys, "_want", "_base"), keys)
         .withColumn("_base", F.col("_base") + F.coalesce(F.sum("_k").over(before), F.lit(0)))
-        .withColumn(
-            "_want",
-            F.filter("_want", lambda x: (x >= F.col("_base")) & (x < F.col("_base") + F.col("_k"))),
-        )
-        .select(*group, F.explode("_want").alias("_rank"), "_v")
+        .select(*group, F.explode(holding(F.col("_base"), F.col("_k"))).alias("_rank"), "_v")
         .groupBy(*group)
         .agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"))
     )

@@ -324,13 +324,12 @@ def qc_matches_vcf(c: Corpus) -> DataFrame:
 
 @catalog.check("S006", tier="S", severity="warn", summary="the published sample sheet matches the repo copy", needs=("published_sheet", "sheet"))
 def published_sheet_matches(c: Corpus) -> DataFrame:
-    def rows(df: DataFrame) -> DataFrame:
-        kept = df.select("subject", "line", "sample_id", "input_type", "input")
-        return numbered(kept, ["subject"], [F.floor(F.col("line") / 65536)], ["line"])
-
-    left, right = _both(rows(c.sheet), rows(c.published_sheet))
+    columns = ["subject", "line", "sample_id", "input_type", "input"]
+    left, right = _both(c.sheet.select(*columns), c.published_sheet.select(*columns))
+    both = left.withColumn("side", F.lit("repo")).unionByName(right.withColumn("side", F.lit("published")))
+    rows = numbered(both, ["subject", "side"], [F.floor(F.col("line") / 65536)], ["line"])
     differing = sequences_differ(
-        left, right, ["subject"], "seq", ["sample_id", "input_type", "input"], "sample_id"
+        rows, ["subject"], "side", ("repo", "published"), "seq", columns[2:], "sample_id"
     ).filter("outcome <> 'same'")
     names = reconcile_sets(left, right, ["subject"], "sample_id")
     detail = F.when(

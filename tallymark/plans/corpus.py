@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 from tallymark import schemas
 from tallymark.functions.identifiers import is_archive_input, is_assembly
-from tallymark.operators.lookup import authority_entry, best_scheme, resolve_published, scheme_strays
+from tallymark.operators.lookup import (
+    authority_entry,
+    best_scheme,
+    named_schemes,
+    resolve_published,
+    scheme_strays,
+)
 from tallymark.operators.ranking import stable_sample
 from tallymark.operators.rollup import OPTIONAL_ARTIFACTS, REQUIRED_ARTIFACTS, publication_status
 from tallymark.session import cut
@@ -208,17 +214,18 @@ class Corpus:
         """Sequence names per accession and naming scheme."""
         return by_scheme(self.assembly_seqs, ["accession"])
 
+    @cached_property
+    def named(self) -> DataFrame:
+        """Observed contigs with the naming schemes that have them."""
+        return named_schemes(self.observed, self.names, ["subject", "accession"], "contig", ["accession"])
+
     @cached_property
     def chosen(self) -> DataFrame:
-        return best_scheme(
-            self.observed, self.names, ["subject", "accession"], "contig", SCHEMES[0], ["accession"]
-        )
+        return best_scheme(self.named, ["subject", "accession"], SCHEMES)
 
     @cached_property
     def strays(self) -> DataFrame:
-        return scheme_strays(
-            self.observed, self.names, self.chosen, ["subject", "accession"], "contig", ["accession"]
-        )
+        return scheme_strays(self.named, self.chosen, ["subject", "accession"], "contig", SCHEMES)
 
     @cached_property
     def wanted(self) -> DataFrame:

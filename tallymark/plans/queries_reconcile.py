@@ -11,6 +11,7 @@ from tallymark.operators.lookup import (
     best_scheme,
     classify_form,
     contained_words,
+    named_schemes,
     resolve_runs,
     scheme_strays,
     with_fallback,
@@ -67,10 +68,10 @@ def reconciled_guarded(t) -> DataFrame:
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 
-def numbered_lines(rows: DataFrame) -> DataFrame:
-    """Line items numbered per order."""
+def numbered_lines(rows: DataFrame, group: list[str]) -> DataFrame:
+    """Line items numbered within their group."""
     cut = [F.col("l_linenumber"), F.floor(F.col("l_partkey") / 4096)]
-    return numbered(rows.select("l_orderkey", *LINE_ORDER), ["l_orderkey"], cut, LINE_ORDER)
+    return numbered(rows.select(*group, *LINE_ORDER), group, cut, LINE_ORDER)
 
 
 @query(
@@ -87,8 +88,10 @@ def numbered_lines(rows: DataFrame) -> DataFrame:
     FROM p JOIN k ON k.l_orderkey = p.l_orderkey GROUP BY 1""",
 )
 def sequence_diff(t) -> DataFrame:
-    left, right = (numbered_lines(t.lineitem.filter(F.col("l_linestatus") == s)) for s in ("F", "O"))
-    return sequences_differ(left, right, ["l_orderkey"], "seq", ["l_partkey", "l_suppkey"], "l_partkey")
+    rows = numbered_lines(t.lineitem, ["l_orderkey", "l_linestatus"])
+    return sequences_differ(
+        rows, ["l_orderkey"], "l_linestatus", ("F", "O"), "seq", ["l_partkey", "l_suppkey"], "l_partkey"
+    )
 
 
 @query(
@@ -159,8 +162,8 @@ def _codes(t) -> tuple[DataFrame, DataFrame]:
     ).select("l_suppkey", code.alias("code"))
     entries = F.array(
         *[
-            F.struct(F.lit(c).alias("scheme"), F.lit(i).alias("scheme_rank"), F.col(c).alias("code"))
-            for i, c in enumerate(SCHEME_COLUMNS)
+            F.struct(F.lit(c).alias("scheme"), F.col(c).alias("code"))
+            for c in SCHEME_COLUMNS
         ]
     )
     return observed, t.part.select(F.inline(entries)).distinct()
@@ -178,8 +181,8 @@ _CODES_SQL = """WITH o AS (SELECT DISTINCT l_suppkey, CASE WHEN l_linenumber = 7
 
 @query("q_best_scheme", _CODES_SQL + " SELECT l_suppkey, scheme, n_observed, n_matched FROM c")
 def best_schemes(t) -> DataFrame:
-    observed, schemes = _codes(t)
-    return best_scheme(observed, schemes, ["l_suppkey"], "code", "p_brand")
+    named = named_schemes(*_codes(t), ["l_suppkey"], "code")
+    return best_scheme(named, ["l_suppkey"], SCHEME_COLUMNS)
 
 
 @query(
@@ -190,9 +193,9 @@ def best_schemes(t) -> DataFrame:
     SELECT l_suppkey, coalesce(other, 'unknown') AS other, count(*) AS n FROM x WHERE NOT inside GROUP BY 1, 2""",
 )
 def strays_per_scheme(t) -> DataFrame:
-    observed, schemes = _codes(t)
-    chosen = best_scheme(observed, schemes, ["l_suppkey"], "code", "p_brand")
-    strays = scheme_strays(observed, schemes, chosen, ["l_suppkey"], "code")
+    named = named_schemes(*_codes(t), ["l_suppkey"], "code")
+    chosen = best_scheme(named, ["l_suppkey"], SCHEME_COLUMNS)
+    strays = scheme_strays(named, chosen, ["l_suppkey"], "code", SCHEME_COLUMNS)
     return strays.groupBy("l_suppkey", F.coalesce("other", F.lit("unknown")).alias("other")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -271,7 +274,7 @@ _WORDS_SQL = (
     SELECT item_id, doc_id FROM p JOIN d ON len(p.w) > 0 AND list_has_all(d.w, p.w)""",
 )
 def token_containment(t) -> DataFrame:
-    words = lambda df, key: df.select(key, F.explode(words_of(F.col("text"))).alias("word"))
+    words = lambda df, key: df.select(key, words_of(F.col("text")).alias("words"))
     return contained_words(words(t.benchmark, "item_id"), words(t.documents, "doc_id"), "item_id", "doc_id")
 
 
@@ -442,7 +445,7 @@ def set_ops(t) -> DataFrame:
       l_partkey FROM lineitem""",
 )
 def ordered_collect(t) -> DataFrame:
-    return numbered_lines(t.lineitem).select("l_orderkey", "seq", "l_partkey")
+    return numbered_lines(t.lineitem, ["l_orderkey"]).select("l_orderkey", "seq", "l_partkey")
 
 
 @query(

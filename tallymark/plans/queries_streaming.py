@@ -6,22 +6,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.operators.records import derive_state
+from tallymark.operators.records import verdict
 from tallymark.operators.upsert import read_current
 from tallymark.plans.driver import SEVERITY_SQL, query, severity_of
 from tallymark.session import scratch
-from tallymark.streaming.incremental import listing_stream, run_incremental
+from tallymark.streaming.incremental import added_up, listing_stream, run_incremental
 
+TALLIES = ("n_seen", "n_error", "n_warn", "n_info")
 STATES = T.StructType(
     [
         T.StructField("subject", T.LongType()),
         T.StructField("state", T.StringType()),
-        T.StructField("n_error", T.LongType()),
-        T.StructField("n_warn", T.LongType()),
+        *[T.StructField(c, T.LongType()) for c in TALLIES],
     ]
 )
 
 
+def refresh_states(arrived: DataFrame, current: DataFrame) -> DataFrame:
+    """Verdict per user from the recorded tallies plus the new events."""
+    severity = severity_of()
+    new = arrived.groupBy("subject").agg(
+        F.count(F.lit(1)).alias("n_seen"),
+        *[F.count_if(severity == s).alias(f"n_{s}") for s in ("error", "warn", "info")],
+    )
+    published = F.when(F.col("n_seen") > 1, "complete").otherwise("partial")
+    return added_up(new, current, ["subject"], TALLIES).withColumn("state", verdict(published))
+
+
 @query(
     "q_incremental_stale",
     f"""WITH f AS (SELECT user_id AS subject, {SEVERITY_SQL} AS severity FROM events)
@@ -31,20 +42,11 @@ STATES = T.StructType(
 )
 def incremental_stale(t) -> DataFrame:
     spark = t.spark
-    events = t.events
-    stream = listing_stream(spark, f"{t.root}/events*.parquet", events.schema).select(
-        F.col("user_id").alias("subject")
+    stream = listing_stream(spark, f"{t.root}/events*.parquet", t.events.schema).select(
+        F.col("user_id").alias("subject"), "event_type"
     )
-
-    def recheck(touched: DataFrame) -> DataFrame:
-        rows = events.select(F.col("user_id").alias("subject"), severity_of().alias("severity")).join(
-            touched, "subject", "left_semi"
-        )
-        status = rows.groupBy("subject").agg(
-            F.when(F.count(F.lit(1)) > 1, "complete").otherwise("partial").alias("state")
-        )
-        return derive_state(touched, rows, status).select("subject", "state", "n_error", "n_warn")
-
     target = scratch(spark, "states")
-    run_incremental(spark, stream, ["subject"], recheck, STATES, target, scratch(spark, "progress"))
-    return read_current(spark, target, ["subject"], STATES)
+    run_incremental(
+        spark, stream, ["subject"], refresh_states, STATES, target, scratch(spark, "progress")
+    )
+    return read_current(spark, target, ["subject"], STATES).select("subject", "state", "n_error", "n_warn")

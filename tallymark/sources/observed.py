@@ -136,16 +136,14 @@ def by_scheme(sequences: DataFrame, keys: list[str]) -> DataFrame:
     """One row per sequence and naming scheme it has a name in; last row wins."""
     pairs = F.array(
         *[
-            F.struct(
-                F.lit(s).alias("scheme"), F.lit(i).alias("scheme_rank"), F.col(s).alias("contig")
-            )
-            for i, s in enumerate(SCHEMES)
+            F.struct(F.lit(s).alias("scheme"), F.col(s).alias("contig"))
+            for s in SCHEMES
         ]
     )
     rows = sequences.select(*keys, "line", "role", "length", F.inline(pairs)).filter(
         "contig IS NOT NULL AND contig <> ''"
     )
-    return last_per_key(rows, [*keys, "scheme", "scheme_rank", "contig"], ["line"]).drop("line")
+    return last_per_key(rows, [*keys, "scheme", "contig"], ["line"]).drop("line")
 
 
 # -- variant file headers ---------------------------------------------------

@@ -1,4 +1,4 @@
-"""Re-check only the subjects that newly arrived objects belong to."""
+"""Keep records current as new objects arrive."""
 
 from __future__ import annotations
 
@@ -11,15 +11,24 @@ from pyspark.sql import types as T
 from tallymark.operators.upsert import change_only, read_current, write_changes
 
 
-def touched_subjects(arrived: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return arrived.select(*keys).distinct()
+def listing_stream(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """A directory of listing files as a stream of their rows.
+
+    Without a limit everything that has arrived is one batch.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def run_incremental(
     spark: SparkSession,
     stream: DataFrame,
     keys: Sequence[str],
-    recheck: Callable[[DataFrame], DataFrame],
+    refresh: Callable[[DataFrame, DataFrame], DataFrame],
     schema: T.StructType,
     target: str,
     checkpoint: str,
@@ -27,18 +36,21 @@ def run_incremental(
 ) -> None:
     """Process everything that has arrived, then stop.
 
-    ``recheck`` turns the touched subjects into fresh record rows; only new
-    and changed ones are written, in a directory per batch that a repeated
-    attempt replaces.
+    ``refresh(arrived, current)`` returns fresh records of the subjects the
+    batch touches; ``current`` are their records from earlier batches. Only
+    new and changed records are written, to a directory per batch that a
+    repeated attempt replaces, and ``current`` never includes what a failed
+    attempt of the same batch left behind.
     """
+    # An empty first batch, so that the target can always be read.
+    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/batch=-1")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = recheck(touched_subjects(batch, keys))
-        try:
-            # Rows a failed attempt of this batch left behind do not count.
-            current = read_current(spark, target, keys, schema, before=batch_id)
-        except Exception:  # noqa: BLE001 - nothing written yet
-            current = spark.createDataFrame([], schema)
+        touched = batch.select(*keys).distinct()
+        current = read_current(spark, target, keys, schema, before=batch_id).join(
+            touched, list(keys), "left_semi"
+        )
+        fresh = refresh(batch, current).select(*schema.names)
         write_changes(change_only(current, fresh, keys, volatile), target, batch_id)
 
     (
@@ -50,13 +62,19 @@ def run_incremental(
     )
 
 
-def listing_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
-    """A directory of listing files as a stream of their rows."""
+def added_up(
+    arrived: DataFrame, current: DataFrame, keys: Sequence[str], tallies: Sequence[str]
+) -> DataFrame:
+    """Tallies of new rows added to recorded ones; earlier rows are not read again."""
+    columns = [*keys, *tallies]
     return (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+        arrived.select(*columns)
+        .unionByName(current.select(*columns))
+        .groupBy(*keys)
+        .agg(*[F.sum(c).alias(c) for c in tallies])
     )
 
 
 def expired(lookups: DataFrame, stored_at: str, now, ttl: str) -> DataFrame:
-    """Rows too old to be trusted, to be requested again."""
+    """Lookups too old to be trusted, to be requested again."""
     return lookups.filter(F.col(stored_at) <= now - F.expr(f"INTERVAL {ttl}"))
