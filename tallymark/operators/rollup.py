@@ -207,28 +207,28 @@ def quantiles(
     def holding(base: Column, size: Column) -> Column:
         return F.filter("_want", lambda x: (x >= base) & (x < base + size))
 
+    # Infinite values get parts of their own, so ranges stay finite; halving
+    # keeps the width of any finite range from overflowing.
+    finite = F.when(F.abs("_v") < F.lit(float("inf")), F.col("_v"))
+    width = F.col("_hi") / 2 - F.col("_lo") / 2
+    place = (
+        F.when(finite.isNull(), F.when(F.col("_v") < 0, -1).otherwise(cells + 1).cast("bigint"))
+        .when(width > 0, F.floor((F.col("_v") / 2 - F.col("_lo") / 2) / width * cells))
+        .otherwise(F.lit(0).cast("bigint"))
+    )
     keys = list(group)
     summary = cut(
         rows.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias("n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
+            F.count(F.lit(1)).alias("n"), F.min(finite).alias("_lo"), F.max(finite).alias("_hi")
         )
     )
     cell = summary.withColumn("_want", wanted).withColumn("_base", F.lit(0).cast("bigint"))
     level, crowded = 0, True
     while crowded:
         part = f"_c{level}"
-        width = F.col("_hi") - F.col("_lo")
-        # A range so wide that its width overflows stays one part.
-        spread = (width > 0) & (width < F.lit(float("inf")))
-        rows = rows.join(cell.select(*keys, "_lo", "_hi"), keys).select(
-            *keys,
-            F.when(spread, F.floor((F.col("_v") - F.col("_lo")) / width * cells))
-            .otherwise(F.lit(0).cast("bigint"))
-            .alias(part),
-            "_v",
-        )
+        rows = rows.join(cell.select(*keys, "_lo", "_hi"), keys).select(*keys, place.alias(part), "_v")
         counted = rows.groupBy(*keys, part).agg(
-            F.count(F.lit(1)).alias("_k"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2")
+            F.count(F.lit(1)).alias("_k"), F.min(finite).alias("_lo2"), F.max(finite).alias("_hi2")
         )
         before = W.partitionBy(*keys).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
         cell = cut(
@@ -242,8 +242,7 @@ def quantiles(
         )
         keys = [*keys, part]
         rows = rows.join(cell.select(*keys), keys, "left_semi")
-        splittable = (F.col("_hi") > F.col("_lo")) & (F.col("_hi") - F.col("_lo") < F.lit(float("inf")))
-        crowded = not cell.filter((F.col("_k") > per_cell) & splittable).isEmpty()
+        crowded = not cell.filter((F.col("_k") > per_cell) & (width > 0)).isEmpty()
         level += 1
     before = W.partitionBy(*keys).orderBy("_v").rowsBetween(W.unboundedPreceding, -1)
     found = (
@@ -260,7 +259,8 @@ def quantiles(
     def pick(p: Column) -> Column:
         low = F.element_at("_at", F.floor(p))
         high = F.element_at("_at", F.least(F.floor(p) + 1, F.col("n") - 1))
-        return low + (high - low) * (p - F.floor(p))
+        share = p - F.floor(p)
+        return F.when(share == 0, low).otherwise(low + (high - low) * share)
 
     return out.select(*group, "n", *[pick(p).alias(name) for p, name in zip(spot, names)])
 
