@@ -38,7 +38,10 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(path, size)`` of every file; contents are not read."""
+    """``(path, size)`` of every file with content; contents are not read.
+
+    File scans pass over empty files, so only a listing table shows those.
+    """
     return spark.read.format("binaryFile").load(paths).select(
         "path", F.col("length").alias("size")
     )

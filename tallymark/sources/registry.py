@@ -35,6 +35,10 @@ WORK = (
 )
 
 
+def _unreadable() -> Column:
+    return F.try_parse_json("content").isNull()
+
+
 def run_info(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Runs from comma-separated answers, by header name."""
     rows = headed(lines, keys, comma_fields, first_line_only=True)
@@ -67,7 +71,7 @@ def assemblies(answers: DataFrame) -> DataFrame:
         first["assembly_info"]["assembly_name"].alias("assembly_name"),
         first["assembly_info"]["assembly_level"].alias("assembly_level"),
         first["assembly_info"]["paired_assembly"]["accession"].alias("paired_accession"),
-        F.when(body.isNull(), "unparseable response").alias("error"),
+        F.when(_unreadable(), "unparseable response").alias("error"),
     )
 
 
@@ -112,7 +116,9 @@ def _affiliations(hit: Column) -> Column:
 
 def literature_hits(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Candidates and lookup states from ``(bioproject, content)``."""
-    parsed = answers.select("bioproject", F.from_json("content", SEARCH).alias("body"))
+    parsed = answers.select(
+        "bioproject", F.from_json("content", SEARCH).alias("body"), _unreadable().alias("_bad")
+    )
     results = F.coalesce(F.col("body.resultList.result"), F.array())
     text = lambda c: F.coalesce(c, F.lit(""))
     hits = parsed.select(
@@ -133,7 +139,7 @@ def literature_hits(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
     states = parsed.select(
         "bioproject",
         F.coalesce("body.hitCount", F.lit(0)).alias("total"),
-        F.when(F.col("body").isNull(), "unparseable response").alias("error"),
+        F.when(F.col("_bad"), "unparseable response").alias("error"),
     )
     return candidates, states
 
@@ -165,7 +171,7 @@ def works(answers: DataFrame) -> DataFrame:
     return answers.select(
         "doi",
         "found",
-        F.when(F.col("found") & body.isNull(), "unparseable response").alias("error"),
+        F.when(F.col("found") & _unreadable(), "unparseable response").alias("error"),
         reference_line(
             first_of_many(authors),
             years,
