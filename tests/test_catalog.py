@@ -2,7 +2,7 @@
 
 import pytest
 from conftest import rows
-from corpus_data import A1, AUTHORITY, BAD, CONFIG, DATA, GOOD, NEW, RUNS, VCF_CONTIGS, obj, read_corpus, sheet_row, write_corpus
+from corpus_data import A1, BAD, CONFIG, GOOD, NEW, obj, read_corpus, sheet_row, write_corpus
 
 from tallymark.plans.catalog import catalog, orphans, validate
 from tallymark.plans.registry import Catalog, run_checks, skipped
@@ -64,9 +64,6 @@ def run_one(spark, root, check, **changes):
     return run_checks(read_corpus(spark, root, **changes), catalog.select([check]), only=[check])
 
 
-def only(name, subject):
-    return [r for r in DATA[name] if r[0] != subject]
-
 
 @pytest.mark.parametrize(
     "check, changes, want",
