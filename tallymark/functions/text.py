@@ -68,14 +68,8 @@ def blank_to_null(c: Column, tokens: tuple[str, ...] = ("",)) -> Column:
 
 def words_of(c: Column) -> Column:
     """Distinct lower-case ASCII words that carry a signal."""
-    parts = F.split(F.lower(c), r"[^a-z]+")
-    generic = F.array(*[F.lit(w) for w in GENERIC_WORDS])
-    return F.array_distinct(
-        F.filter(
-            parts,
-            lambda w: (F.length(w) >= MIN_WORD) & ~F.array_contains(generic, w),
-        )
-    )
+    words = F.regexp_extract_all(F.lower(c), F.lit(f"[a-z]{{{MIN_WORD},}}"), F.lit(0))
+    return F.filter(F.array_distinct(words), lambda w: ~w.isin(*GENERIC_WORDS))
 
 
 def words_within(wanted: Column, available: Column) -> Column:

@@ -764,7 +764,9 @@ def orphans(c: Corpus) -> DataFrame:
 def validate(corpus: Corpus, only=None, skip=None, check_runs: bool = False) -> DataFrame:
     """Findings of the catalogue plus failed lookups.
 
-    The checks against the read archive run only when asked for.
+    The checks against the read archive run only when asked for. Tables that
+    several of the selected checks share are computed when this is called.
     """
     checks = catalog.select(only, skip, () if check_runs else ("runs",))
+    corpus.materialise(catalog.required(checks))
     return run_checks(corpus, checks, only=only, skip=skip).unionByName(lookup_findings(corpus.lookups))

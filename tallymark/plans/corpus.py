@@ -62,6 +62,14 @@ TABLES = {
 }
 
 
+# Derived tables worth writing once, and the slices whose checks read them.
+SHARED = (
+    (("declared", "located", "artifacts", "status"), ("objects", "status")),
+    (("entry",), ("authority",)),
+    (("chosen", "strays"), ("assembly_seqs",)),
+)
+
+
 class Corpus:
     """Named tables; the ones not given are empty.
 
@@ -77,17 +85,23 @@ class Corpus:
         self.given = frozenset(tables)
         for name, schema in TABLES.items():
             df = tables.get(name)
-            setattr(self, name, spark.createDataFrame([], schema) if df is None else df)
+            # A zero limit lets the optimizer drop everything built on an absent table.
+            empty = lambda: spark.createDataFrame([], schema).limit(0)
+            setattr(self, name, empty() if df is None else df)
 
-    def materialise(self) -> "Corpus":
+    def materialise(self, slices: set[str] | None = None) -> "Corpus":
         """Write the derived tables many checks share and read them back.
 
         They hold a row or two per subject (and the contigs no scheme
         explains), so this is cheap, and every check then starts from a
-        short plan instead of repeating their joins.
+        short plan instead of repeating their joins. Only those the given
+        slices lead to are written.
         """
-        for name in ("declared", "located", "artifacts", "status", "entry", "chosen", "strays", "availability"):
-            setattr(self, name, cut(getattr(self, name)))
+        for names, wanted in SHARED:
+            if slices is None or slices & set(wanted):
+                for name in names:
+                    setattr(self, name, cut(getattr(self, name)))
+        self.availability = cut(self.availability)
         return self
 
     def failed(self, lookup: str) -> DataFrame:

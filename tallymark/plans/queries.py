@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from tallymark.plans import (  # noqa: F401 - importing registers them
+    queries_catalog,
     queries_curation,
     queries_reconcile,
     queries_records,

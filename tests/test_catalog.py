@@ -17,8 +17,7 @@ def root(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def findings(spark, root):
-    corpus = read_corpus(spark, root).materialise()
-    return validate(corpus, check_runs=True).cache()
+    return validate(read_corpus(spark, root), check_runs=True).cache()
 
 
 EXPECTED = {
