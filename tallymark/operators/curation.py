@@ -273,3 +273,28 @@ def citation_lines(weights: DataFrame, index: DataFrame, citations: DataFrame) -
         .select("subject", "bioproject", "weight", F.when(confirmed, F.col("doi")).alias("doi"), text.alias("line"))
         .distinct()
     )
+
+
+def coverage(weights: DataFrame, index: DataFrame, citations: DataFrame) -> DataFrame:
+    """Per subject: cited projects and samples out of all of them."""
+    citable = (
+        index.filter("status = 'confirmed'")
+        .join(citations.select("bioproject"), "bioproject", "left_semi")
+        .select("bioproject", F.lit(1).alias("_c"))
+    )
+    cited = F.col("_c") == 1
+    return (
+        weights.join(citable, "bioproject", "left")
+        .groupBy("subject")
+        .agg(
+            F.count_if(cited).alias("n_cited"),
+            F.count(F.lit(1)).alias("n_projects"),
+            F.coalesce(F.sum(F.when(cited, F.col("weight"))), F.lit(0)).alias("cited_samples"),
+            F.sum("weight").alias("samples"),
+        )
+    )
+
+
+def reading_order(candidates: DataFrame, pos: str = "pos") -> DataFrame:
+    """Candidates as a reviewer reads them: starred ones first, else as found."""
+    return candidates.orderBy("bioproject", ~F.col("starred"), pos)

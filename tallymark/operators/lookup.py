@@ -39,6 +39,20 @@ def resolve_unique(
     )
 
 
+def resolve_targets(targets: DataFrame, subjects: DataFrame) -> DataFrame:
+    """Subjects named as ``clade/slug``, ``species/clade/slug`` or bare slug.
+
+    A bare slug resolves only when exactly one subject has it.
+    """
+    wanted = targets.select(
+        "target", F.regexp_replace("target", r"^species/|/+$", "").alias("_key")
+    ).distinct()
+    names = subjects.select("subject", F.col("subject").alias("_key")).unionByName(
+        subjects.select("subject", F.col("slug").alias("_key"))
+    )
+    return resolve_unique(wanted, names, "_key", "subject").drop("_key")
+
+
 def with_fallback(
     wanted: DataFrame,
     exact: DataFrame,

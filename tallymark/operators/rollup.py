@@ -163,6 +163,17 @@ def missing_share(
     return totals.join(biggest, list(subject))
 
 
+def sizes_by_prefix(
+    objects: DataFrame, subject: Sequence[str], path: str, size: str, prefixes: Sequence[str]
+) -> DataFrame:
+    """Bytes and objects per subject, in total and below each prefix."""
+    below = {"all": F.lit(True), **{p.strip("/"): F.col(path).startswith(p) for p in prefixes}}
+    return objects.groupBy(*subject).agg(
+        *[F.sum(F.when(c, F.col(size)).otherwise(0)).alias(f"size_{n}") for n, c in below.items()],
+        *[F.count_if(c).alias(f"count_{n}") for n, c in below.items()],
+    )
+
+
 def constant_column(df: DataFrame, subject: Sequence[str], value: str) -> DataFrame:
     """The value where it is the same on all rows, else how many there are."""
     n = F.count_distinct(value)

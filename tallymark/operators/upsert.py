@@ -55,6 +55,14 @@ def without_failed(new: DataFrame, failed: DataFrame, keys: Sequence[str]) -> Da
     return new.join(failed.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def change_report(outcomes: DataFrame) -> DataFrame:
+    """Keys per outcome, in one row; what a dry run shows."""
+    names = ("new", "changed", "unchanged", "kept")
+    return outcomes.agg(*[F.count_if(F.col("outcome") == n).alias(n) for n in names]).withColumn(
+        "would_change", F.col("new") + F.col("changed") > 0
+    )
+
+
 def write_changes(outcomes: DataFrame, root: str, batch: int) -> None:
     """Write new and changed rows as one numbered batch.
 

@@ -18,7 +18,13 @@ from tallymark.operators.lookup import (
     scheme_strays,
 )
 from tallymark.operators.ranking import stable_sample
-from tallymark.operators.rollup import OPTIONAL_ARTIFACTS, REQUIRED_ARTIFACTS, publication_status
+from tallymark.operators.rollup import (
+    OPTIONAL_ARTIFACTS,
+    REQUIRED_ARTIFACTS,
+    counts_disagree,
+    publication_status,
+    set_fingerprint,
+)
 from tallymark.session import cut
 from tallymark.sources.observed import SCHEMES, by_scheme, published
 
@@ -204,6 +210,38 @@ class Corpus:
             F.array_sort(F.concat("present", extra)).alias("present"),
             "missing", "missing_optional", "n_sheet", "n_bams",
             F.when(F.col("listed"), F.col("n_vcf")).alias("n_vcf"),
+            F.coalesce(F.col("accession") != F.col("declared"), F.lit(False)).alias("accession_differs"),
+        )
+
+    @cached_property
+    def disagreements(self) -> DataFrame:
+        """Complete publications whose sample counts are not all the same."""
+        return counts_disagree(self.status.filter("state = 'complete'"), ["n_sheet", "n_bams", "n_vcf"])
+
+    @cached_property
+    def data(self) -> DataFrame:
+        """``subject, data``: what was published, precise enough to notice a change."""
+        named = F.struct("name", F.concat(F.lit("etag:"), "etag").alias("etag"))
+        kept = (
+            (F.col("dir") == "vcfs") & F.col("name").isin("raw.vcf.gz", "raw.vcf.gz.tbi", "filtered.vcf.gz")
+        ) | ((F.col("dir") == "<top>") & (F.col("name") == "sample_sheet.csv"))
+        # At most one entry per named file.
+        files = self.inventory.filter(kept).groupBy("subject").agg(F.array_sort(F.collect_list(named)).alias("objects"))
+        bams = self.inventory.filter((F.col("dir") == "bams") & F.col("name").endswith(".bam")).select(
+            "subject", F.concat_ws(":", F.expr("substring(name, 1, length(name) - 4)"), "etag").alias("item")
+        )
+        prints = set_fingerprint(bams, ["subject"], "item").select("subject", F.struct("count", "digest").alias("bams"))
+        listed = F.col("listed")
+        fields = F.struct(
+            listed.alias("published"), F.coalesce("accession", "declared").alias("accession"),
+            F.when(listed, F.coalesce("objects", F.array().cast("array<struct<name:string,etag:string>>"))).alias("objects"),
+            F.col("bams"),
+        )
+        return (
+            self.artifacts.select("subject", "listed", "accession", "declared")
+            .join(files, "subject", "left")
+            .join(prints, "subject", "left")
+            .select("subject", fields.alias("data"))
         )
 
     @cached_property

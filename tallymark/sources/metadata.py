@@ -60,6 +60,21 @@ def _issues(df: DataFrame, source: str, entries: list[Column], line: Column) ->
     return found.select("subject", "source", "_i.code", "_i.message", "path", "line")
 
 
+def subjects_from_files(files: DataFrame, clade: str | None = None) -> DataFrame:
+    """One subject per ``species/<clade>/<slug>/config.yaml`` in a file table."""
+    parts = F.regexp_extract_all(
+        "path", F.lit(r"species/([^/]+)/([^/]+)/config\.yaml$"), F.lit(0)
+    )
+    path = F.regexp_replace(F.get(parts, F.lit(0)), r"/config\.yaml$", "")
+    found = files.filter(F.size(parts) == 1).select(
+        F.substring_index(path, "/", -2).alias("subject"),
+        F.split(path, "/")[1].alias("clade"),
+        F.split(path, "/")[2].alias("slug"),
+        path.alias("path"),
+    )
+    return found if clade is None else found.filter(F.col("clade") == clade)
+
+
 def file_issues(subjects: DataFrame, files: DataFrame, name: str, source: str) -> DataFrame:
     """Missing and empty files. ``files`` has ``subject, path, size``."""
     ours = files.filter(F.col("path").endswith("/" + name))

@@ -29,6 +29,30 @@ CALLER_PATTERNS = (
     ("freebayes", r"^##source=freeBayes\b"),
 )
 
+# Columns kept of each per-sample table, their metric and kind.
+SAMPLE_METRICS = {
+    "qc_report": {
+        "mean_depth": ("mean_depth", "double"),
+        "percent_mapped": ("percent_mapped", "double"),
+        "percent_duplicates": ("percent_duplicates", "double"),
+        "percent_properly_paired": ("percent_properly_paired", "double"),
+        "fraction_passed": ("fraction_passed", "double"),
+        "total_reads": ("total_reads", "bigint"),
+        "reads_before_filtering": ("reads_before_filtering", "bigint"),
+        "reads_after_filtering": ("reads_after_filtering", "bigint"),
+        "covered_bases": ("covered_bases", "bigint"),
+    },
+    "idepth": {
+        "MEAN_DEPTH": ("depth_at_called_sites", "double"),
+        "N_SITES": ("n_sites_called", "bigint"),
+    },
+    "het": {"F": ("f_inbreeding", "double")},
+    "imiss": {"F_MISS": ("f_missing", "double"), "N_MISS": ("n_missing", "bigint")},
+}
+
+# The column naming the sample, by table.
+SAMPLE_KEY = {"qc_report": "sample", "idepth": "INDV", "het": "INDV", "imiss": "INDV"}
+
 CONTENTS = "Key string, Size bigint, ETag string, LastModified string"
 
 
