@@ -51,7 +51,7 @@ def test_details(findings):
     assert detail[("S001", BAD)] == (
         "sample_sheet.csv (5) and raw.vcf.gz (2) describe different samples",
         "only in sample_sheet.csv: SAMN10, SAMN11, SAMN9, odd8; only in raw.vcf.gz: ghost"
-        " — needs human review; either side may be the stale one",
+        "; either side may be out of date, so a person has to decide",
     )
     assert detail[("F003", BAD)] == ("contig names mix naming schemes: mostly genbank, plus 1 refseq", "NC_8.1")
     assert detail[("F021", BAD)][1].endswith("confirmed by the paired assembly")
