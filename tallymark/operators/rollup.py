@@ -277,11 +277,15 @@ def quantiles(
 
 
 def histogram(
-    df: DataFrame, group: Sequence[str], value: str, ladder: Sequence[float] = DEPTH_LADDER
+    df: DataFrame,
+    group: Sequence[str],
+    value: str,
+    ladder: Sequence[float] = DEPTH_LADDER,
+    weight: Column | None = None,
 ) -> DataFrame:
     """Counts on a fixed ladder, empty edges trimmed and inner zeros kept.
 
-    ``bar`` is the length of the longest-is-thirty bar, at least one where
+    Rows counted beforehand bring their number as ``weight``. ``bar`` is the length of the longest-is-thirty bar, at least one where
     anything was counted.
     """
     v = F.col(value)
@@ -292,7 +296,7 @@ def histogram(
         df.withColumn("bucket", rung)
         .filter("bucket IS NOT NULL")
         .groupBy(*group, "bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum(F.lit(1) if weight is None else weight).alias("_n"))
     )
     # At most one entry per rung of the ladder.
     packed = counted.groupBy(*group).agg(

@@ -151,13 +151,12 @@ SCHEME_COLUMNS = ("p_brand", "p_type", "p_name")
 def _codes(t) -> tuple[DataFrame, DataFrame]:
     """Codes seen per supplier and the schemes that could explain them."""
     n = F.col("l_linenumber")
-    code = (
-        F.when(n == 7, F.concat(F.lit("x"), F.col("l_partkey").cast("string")))
-        .when(n >= 5, F.col("p_name"))
-        .when(n >= 3, F.col("p_type"))
-        .otherwise(F.col("p_brand"))
-    )
-    observed = t.lineitem.select("l_suppkey", "l_partkey", "l_linenumber").join(
+    kind = F.when(n == 7, "none").when(n >= 5, "p_name").when(n >= 3, "p_type").otherwise("p_brand")
+    code = F.when(F.col("kind") == "none", F.concat(F.lit("x"), F.col("l_partkey").cast("string")))
+    for c in SCHEME_COLUMNS:
+        code = code.when(F.col("kind") == c, F.col(c))
+    # Distinct before the join, so a part with very many lines joins as a few rows.
+    observed = t.lineitem.select("l_suppkey", "l_partkey", kind.alias("kind")).distinct().join(
         t.part.select(F.col("p_partkey").alias("l_partkey"), *SCHEME_COLUMNS), "l_partkey"
     ).select("l_suppkey", code.alias("code"))
     entries = F.array(
@@ -238,6 +237,7 @@ def map_diff(t) -> DataFrame:
 def all_equal_first(t) -> DataFrame:
     entries = (
         t.lineitem.filter("l_quantity = 50").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
+        .distinct()
         .join(t.supplier.select("s_suppkey", "s_nationkey"), "s_suppkey")
         .join(t.part.select("p_partkey", "p_brand"), "p_partkey")
     )
@@ -321,7 +321,8 @@ def two_path_lookup(t) -> DataFrame:
     JOIN customer ON c_custkey = o_custkey WHERE n <> 1 OR one <> c_nationkey""",
 )
 def owner_check(t) -> DataFrame:
-    pairs = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey")).join(
+    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_suppkey").alias("s_suppkey"))
+    pairs = lines.distinct().join(
         t.supplier.select("s_suppkey", "s_nationkey"), "s_suppkey"
     )
     owners = pairs.select("o_orderkey", "s_nationkey").distinct().groupBy("o_orderkey").agg(

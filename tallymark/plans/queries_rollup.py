@@ -213,9 +213,10 @@ _LADDER_SQL = """WITH v AS (SELECT p_brand, CASE WHEN l_quantity >= 100 THEN 8 W
 
 @query("q_histogram_ladder", _LADDER_SQL)
 def quantity_histogram(t) -> DataFrame:
-    # Counted per part and quantity before the join, so the join moves less.
+    # Counted per part and quantity first, so a part with very many lines joins as a few rows.
     brands = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return histogram(t.lineitem.select("l_partkey", "l_quantity").join(brands, "l_partkey"), ["p_brand"], "l_quantity")
+    counted = t.lineitem.groupBy("l_partkey", "l_quantity").agg(F.count(F.lit(1)).alias("_k"))
+    return histogram(counted.join(brands, "l_partkey"), ["p_brand"], "l_quantity", weight=F.col("_k"))
 
 
 @query(

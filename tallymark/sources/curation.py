@@ -17,9 +17,9 @@ NOT_FOUND = r"^-\s+NO PUBLICATION FOUND\b"
 DOI_LINE = r"^-\s+(★)?\s*(?:\[(10\.[^\]]+)\]|(10\.\S+))"
 CONSIDERED = r"^<!--\s*considered:([^>]*?)-->"
 
-RECORD_ENTRY = (
-    "map<string,struct<status:string,title:string,submitter:string,rejected:array<string>,"
-    "citations:array<struct<doi:string,reference:string,verified:boolean>>>>"
+ENTRY = (
+    "status:string,title:string,submitter:string,rejected:array<string>,"
+    "citations:array<struct<doi:string,reference:string,verified:boolean>>"
 )
 
 
@@ -141,10 +141,27 @@ def parse_queue(lines: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def parse_record(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Projects and citation rows of the settled record; odd entries skipped."""
-    entries = documents.select(
-        F.explode(F.from_json("content", RECORD_ENTRY)).alias("bioproject", "e")
-    ).filter(F.col("e.status").isin(*CURATION_STATES))
+    """Projects and citation rows of a record kept as one mapping per document.
+
+    Entries with an unknown status are skipped.
+    """
+    return _record_rows(
+        documents.select(
+            F.explode(F.from_json("content", f"map<string,struct<{ENTRY}>>")).alias("bioproject", "e")
+        )
+    )
+
+
+def parse_record_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same from ``json`` lines, one project each, as ``render_record`` writes them."""
+    body = F.from_json("json", f"struct<bioproject:string,{ENTRY}>")
+    return _record_rows(
+        lines.select(body.alias("e")).select("e.bioproject", "e").filter("bioproject IS NOT NULL")
+    )
+
+
+def _record_rows(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    entries = entries.filter(F.col("e.status").isin(*CURATION_STATES))
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     projects = entries.select(
         "bioproject", F.col("e.status").alias("status"), text("e.title").alias("title"),

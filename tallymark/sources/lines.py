@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.text import strip
 from tallymark.operators.ranking import numbered
+from tallymark.session import cut
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """``(path, line, value)`` with 1-based line numbers.
 
     Files stay splittable: lines are numbered per file block and shifted by
-    the line counts of the blocks before.
+    the line counts of the blocks before. The lines are written out once,
+    because two scans need not cut a file into the same blocks.
     """
     raw = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("path"),
@@ -24,7 +26,7 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
         F.regexp_replace("value", "\r$", "").alias("value"),
     )
     return (
-        numbered(raw, ["path"], [F.col("_block")], ["_id"], out="line")
+        numbered(cut(raw), ["path"], [F.col("_block")], ["_id"], out="line")
         .select("path", F.col("line").cast("int").alias("line"), "value")
     )
 
