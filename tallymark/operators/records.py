@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import sha256_tag
-from tallymark.functions.values import SEVERITIES
+from tallymark.functions.values import REPORT_STATES, SEVERITIES, severity_rank
+from tallymark.operators.rollup import counts_with_zeros
 
 # Files a verdict depends on, and what does not count as content.
 INPUT_FILES = ("config.yaml", "sample_sheet.csv", "README.txt")
@@ -26,6 +27,42 @@ def severity_tallies(findings: DataFrame, subject: str = "subject") -> DataFrame
     )
 
 
+def in_report_order(findings: DataFrame) -> DataFrame:
+    """Worst first within each subject, then by id."""
+    return findings.orderBy("subject", severity_rank(F.col("severity")), "id")
+
+
+def exit_codes(findings: DataFrame) -> DataFrame:
+    """One row: 1 on errors, and strictly 1 on warnings too."""
+    def seen(*severities: str) -> Column:
+        hit = F.bool_or(F.col("severity").isin(*severities))
+        return F.coalesce(hit, F.lit(False)).cast("int")
+
+    return findings.agg(seen("error").alias("exit_code"), seen("error", "warn").alias("strict_exit"))
+
+
+def skip_reasons(findings: DataFrame, by: list[str]) -> DataFrame:
+    """Skipped checks per reason, most frequent first."""
+    reason = F.coalesce("detail", F.lit("unavailable"))
+    return (
+        findings.filter("severity = 'skipped'")
+        .groupBy(*by, reason.alias("reason"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(*by, F.desc("n"), "reason")
+    )
+
+
+def corpus_table(records: DataFrame) -> DataFrame:
+    """One row per subject of the corpus report."""
+    return records.select("subject", "state", "counts.*", "validated_at", "stale_reason")
+
+
+def corpus_summary(records: DataFrame) -> DataFrame:
+    """Subjects per state, absent states included, and the latest verdict's date."""
+    latest = records.select(F.max("validated_at")).scalar()
+    return counts_with_zeros(records, "state", REPORT_STATES).withColumn("latest", latest)
+
+
 def verdict(state: Column) -> Column:
     """Verdict from the tallies of a subject and its publication state."""
     def seen(s: str) -> Column:

@@ -82,6 +82,16 @@ def publication_status(
     )
 
 
+def optional_coverage(status: DataFrame, artifacts: Sequence[str] = OPTIONAL_ARTIFACTS) -> DataFrame:
+    """How many of the published subjects have each optional artifact."""
+    counted = status.filter("state <> 'absent'").agg(
+        F.count(F.lit(1)).alias("n_published"),
+        *[F.count_if(F.array_contains("present", a)).alias(f"_{i}") for i, a in enumerate(artifacts)],
+    )
+    pairs = [F.struct(F.lit(a).alias("artifact"), F.col(f"_{i}").alias("n")) for i, a in enumerate(artifacts)]
+    return counted.select(F.inline(F.array(*pairs)), "n_published")
+
+
 def set_fingerprint(
     df: DataFrame, subject: Sequence[str], item: str, flat: int = FLAT_MEMBERS
 ) -> DataFrame:

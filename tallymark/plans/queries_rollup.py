@@ -10,6 +10,8 @@ from tallymark.functions.values import PUBLICATION_STATES, SEVERITIES, nested, s
 from tallymark.operators.gates import codes_present
 from tallymark.operators.ranking import milestones, numbered, stable_sample
 from tallymark.operators.records import severity_tallies
+from tallymark.operators.records import skip_reasons as reasons_of
+from tallymark.operators.rollup import optional_coverage as coverage_of
 from tallymark.operators.curation import ranked_queue
 from tallymark.operators.rollup import (
     constant_column,
@@ -90,9 +92,7 @@ def status_counts(t) -> DataFrame:
     + " SELECT 'tax_free' AS artifact, count(*) FILTER (WHERE tax_free) AS n, count(*) AS n_published FROM s WHERE state <> 'absent'",
 )
 def optional_coverage(t) -> DataFrame:
-    return order_status(t).filter("state <> 'absent'").agg(
-        F.count_if(F.array_contains("present", "tax_free")).alias("n"), F.count(F.lit(1)).alias("n_published")
-    ).select(F.lit("tax_free").alias("artifact"), "n", "n_published")
+    return coverage_of(order_status(t), ("tax_free",))
 
 
 @query(
@@ -101,13 +101,8 @@ def optional_coverage(t) -> DataFrame:
     FROM events WHERE event_type = 'view' GROUP BY 1""",
 )
 def skip_reasons(t) -> DataFrame:
-    reason = F.coalesce(nested(F.col("props"), "k"), F.lit("unavailable"))
-    return (
-        t.events.filter("event_type = 'view'")
-        .groupBy(reason.alias("reason"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "reason")
-    )
+    found = t.events.select(severity_of().alias("severity"), nested(F.col("props"), "k").alias("detail"))
+    return reasons_of(found, [])
 
 
 @query(

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.functions.values import REPORT_STATES
+from tallymark.functions.values import REPORT_STATES, SEVERITIES
+from tallymark.operators.rollup import counts_with_zeros
 
 RECORD = (
     "struct<subject:string,state:string,validated_at:string,tool_version:string,catalog:string,"
@@ -36,6 +39,45 @@ def parse_records(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return records, findings
 
 
+DATASET = (
+    "struct<subject:string,harvested_at:string,tool_version:string,accession:string,"
+    "declared_accession:string,prefix:string,published:boolean,"
+    "objects:map<string,struct<size:bigint,etag:string>>,"
+    "samples:map<string,map<string,double>>,"
+    "sra:map<string,array<struct<run:string,biosample:string,bioproject:string>>>>"
+)
+
+
+class Datasets(NamedTuple):
+    """Harvested records and the tables inside them."""
+
+    records: DataFrame
+    objects: DataFrame
+    samples: DataFrame
+    runs: DataFrame
+
+
+def parse_datasets(documents: DataFrame) -> Datasets:
+    """Harvested records from ``content``; unknown fields are dropped."""
+    read = documents.select(F.from_json("content", DATASET).alias("r")).filter("r.subject IS NOT NULL")
+    whole = read.select("r.*")
+    objects = whole.select("subject", F.explode("objects").alias("path", "o")).select("subject", "path", "o.*")
+    samples = whole.select("subject", F.explode("samples").alias("sample", "m")).select(
+        "subject", "sample", F.explode("m").alias("metric", "value")
+    )
+    runs = whole.select("subject", F.explode("sra").alias("input", "runs")).select(
+        "subject", "input", F.inline("runs")
+    )
+    return Datasets(whole.drop("objects", "samples", "sra"), objects, samples, runs)
+
+
+def write_report(findings: DataFrame, statuses: DataFrame, path: str) -> None:
+    """Findings, statuses and severity counts as JSON lines below one folder."""
+    write_findings(findings, f"{path}/findings")
+    statuses.write.mode("overwrite").json(f"{path}/statuses")
+    counts_with_zeros(findings, "severity", SEVERITIES).coalesce(1).write.mode("overwrite").json(f"{path}/counts")
+
+
 def write_findings(findings: DataFrame, path: str) -> None:
     """Findings as JSON lines."""
     findings.write.mode("overwrite").json(path)

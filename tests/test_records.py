@@ -5,7 +5,18 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallymark.operators import gates
-from tallymark.operators.records import assess, build_records, derive_state, file_digests, mark_stale
+from tallymark.operators.records import (
+    assess,
+    build_records,
+    corpus_summary,
+    corpus_table,
+    derive_state,
+    exit_codes,
+    file_digests,
+    in_report_order,
+    mark_stale,
+    skip_reasons,
+)
 from tallymark.operators.upsert import change_only, read_current, without_failed, write_changes
 
 SUBJECTS = [(s,) for s in ("clean", "warned", "noted", "failed", "partial", "failed-partial", "unknown", "skips")]
@@ -141,6 +152,21 @@ def test_changed_inputs_and_stale_block(world, records, spark):
     assert got["clean"].leading == "stale_record"
 
 
+def test_report_tables(spark, records):
+    summary = {r.state: (r.n, r.latest) for r in corpus_summary(records).collect()}
+    assert summary["PASS"] == (2, "2024-01-01T00:00:00Z") and summary["STALE"][0] == 0 and len(summary) == 6
+    assert rows(corpus_table(records).filter("subject = 'failed'"), "n_error", "n_warn") == [(1, 1)]
+    found = spark.createDataFrame(
+        [("b", "Z2", "info", None), ("a", "Z2", "warn", None), ("a", "Z1", "warn", None), ("a", "Z9", "error", None), ("a", "Z3", "skipped", None), ("a", "Z4", "skipped", "needs x"), ("a", "Z5", "skipped", "needs x")],
+        "subject string, id string, severity string, detail string",
+    )
+    assert [r.id for r in in_report_order(found).collect()] == ["Z9", "Z1", "Z2", "Z3", "Z4", "Z5", "Z2"]
+    assert [tuple(r) for r in skip_reasons(found, ["subject"]).collect()] == [("a", "needs x", 2), ("a", "unavailable", 1)]
+    assert rows(exit_codes(found)) == [(1, 1)]
+    assert rows(exit_codes(found.filter("severity = 'warn'"))) == [(0, 1)]
+    assert rows(exit_codes(found.filter("severity = 'none'"))) == [(0, 0)]
+
+
 # -- change-only writing ----------------------------------------------------
 
 SCHEMA = "k string, v int, m map<string,string>, stamp string"

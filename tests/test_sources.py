@@ -302,6 +302,23 @@ def test_stored_records_are_read_tolerantly(spark):
     assert rows(found, "id", "severity") == [("S001", "error")]
 
 
+def test_stored_datasets(spark):
+    text = '{"subject":"s","published":true,"extra":[1],"objects":{"bams/a.bam":{"size":3000000000,"etag":"e"}},"samples":{"S1":{"mean_depth":15.5}},"sra":{"SRR1":[{"run":"SRR1","bioproject":"P"}]}}'
+    got = records.parse_datasets(spark.createDataFrame([(text,), ("{broken",)], "content string"))
+    assert rows(got.records, "subject", "published") == [("s", True)]
+    assert rows(got.objects) == [("s", "bams/a.bam", 3000000000, "e")]
+    assert rows(got.samples) == [("s", "S1", "mean_depth", 15.5)]
+    assert rows(got.runs) == [("s", "SRR1", "SRR1", None, "P")]
+
+
+def test_report_sink(spark, tmp_path):
+    found = spark.createDataFrame([("S001", "error", "s"), ("S002", "warn", "s")], "id string, severity string, subject string")
+    records.write_report(found, found.select("subject").distinct(), str(tmp_path / "r"))
+    counts = rows(spark.read.json(str(tmp_path / "r" / "counts")), "severity", "n")
+    assert counts == [("error", 1), ("info", 0), ("skipped", 0), ("warn", 1)]
+    assert spark.read.json(str(tmp_path / "r" / "findings")).count() == 2
+
+
 def test_table_sink(spark, tmp_path):
     df = spark.createDataFrame([("a", None, 3)], "x string, y string, z int").coalesce(1)
     records.write_table(df, str(tmp_path / "t"), ["x", "y", "w"], "\r\n")
