@@ -9,8 +9,11 @@ from tallymark.plans.catalog import orphans, validate
 from tallymark.plans.corpus import Corpus
 from tallymark.plans.driver import query
 from tallymark.plans.queries_sources import accession_of
+from tallymark.session import cut
 
-NONE = F.lit(None).cast("string")
+
+def _none():
+    return F.lit(None).cast("string")
 
 
 def _text(prefix: str, column: str):
@@ -42,8 +45,8 @@ def _config(t, source) -> DataFrame:
     urgent = F.col("o_orderpriority") == "1-URGENT"
     name = F.when(urgent, accession_of("o_custkey", F.lit("GCA_"))).otherwise(_text("Name_", "o_custkey"))
     return t.orders.select(
-        _subject("o_orderkey"), name.alias("ref_name"), source.alias("ref_source"), NONE.alias("ploidy"), NONE.alias("het_prior"),
-        NONE.alias("caller"), F.lit(True).alias("parsed"), NONE.alias("body"), F.lit("config.yaml").alias("path"),
+        _subject("o_orderkey"), name.alias("ref_name"), source.alias("ref_source"), _none().alias("ploidy"), _none().alias("het_prior"),
+        _none().alias("caller"), F.lit(True).alias("parsed"), _none().alias("body"), F.lit("config.yaml").alias("path"),
     )
 
 
@@ -58,7 +61,7 @@ def _sheet(t) -> DataFrame:
     return t.lineitem.select(
         _subject("l_orderkey"), F.col("l_linenumber").alias("line"),
         F.when(flagged, _text("S", "l_partkey")).otherwise(_text("SAMN", "l_partkey")).alias("sample_id"),
-        F.lit("srr").alias("input_type"), value.alias("input"), NONE.alias("library_id"),
+        F.lit("srr").alias("input_type"), value.alias("input"), _none().alias("library_id"),
         F.create_map().cast("map<string,string>").alias("extra"), F.lit("sample_sheet.csv").alias("path"),
     )
 
@@ -109,12 +112,12 @@ def catalog_declared(t) -> DataFrame:
             "sheet": _sheet(t),
             "issues": sheet_issues.unionByName(config_issues),
             "readme": t.orders.filter("o_orderpriority = '2-HIGH'").select(
-                _subject("o_orderkey"), F.lit("text").alias("text"), NONE.alias("species"), canonical.alias("accession"),
+                _subject("o_orderkey"), F.lit("text").alias("text"), _none().alias("species"), canonical.alias("accession"),
                 F.array().cast("array<string>").alias("bioprojects"), F.lit("README.txt").alias("path"),
             ),
             "runs": t.supplier.select(
                 _text("SRR", "s_suppkey").alias("run"), _text("SRX", "s_nationkey").alias("experiment"),
-                _text("SAMN", "s_suppkey").alias("biosample"), _text("PRJNA", "s_nationkey").alias("bioproject"), NONE.alias("sample_name"),
+                _text("SAMN", "s_suppkey").alias("biosample"), _text("PRJNA", "s_nationkey").alias("bioproject"), _none().alias("sample_name"),
             ),
         },
     )
@@ -174,7 +177,8 @@ def catalog_published(t) -> DataFrame:
     one = F.lit(1)
     with_vcf = published.filter("o_orderpriority <> '5-LOW'")
     with_index = with_vcf.filter("o_orderpriority <> '3-MEDIUM'")
-    listing = (
+    # A listing is a stored table in use; here it is written once.
+    listing = cut(
         objects(files, "l_orderkey", "bams", bam, F.when(F.col("hollow"), 0).otherwise(1))
         .unionByName(objects(files.filter("indexed"), "l_orderkey", "bams", F.concat(bam, F.lit(".csi")), one))
         .unionByName(objects(with_vcf, "o_orderkey", "vcfs", F.lit("raw.vcf.gz"), one))
@@ -213,7 +217,7 @@ def catalog_published(t) -> DataFrame:
 )
 def catalog_orphans(t) -> DataFrame:
     """Published accessions no order claims, in either form."""
-    acc = lambda df, key, prefix: df.select(accession_of(key, F.lit(prefix)).alias("accession"), NONE.alias("dir"))
+    acc = lambda df, key, prefix: df.select(accession_of(key, F.lit(prefix)).alias("accession"), _none().alias("dir"))
     published = acc(t.supplier, "s_suppkey", "GCA_").unionByName(acc(t.customer.filter("c_acctbal < 0"), "c_custkey", "GCA_"))
     form = F.when(F.col("o_orderstatus") == "O", "GCF_").otherwise("GCA_")
     corpus = Corpus(

@@ -2,6 +2,8 @@
 
 import math
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -44,6 +46,12 @@ def test_query_matches_sql(spark, duck, name):
     assert got == want
 
 
+def test_import_needs_no_session():
+    root = os.path.dirname(os.path.abspath(entry_module.__file__))
+    code = "import __spark_entry__ as e; assert len(e.queries()) == len(e.oracle_sql()) > 100"
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
 def test_entry(spark):
     assert sorted(entry_module.entry(spark).columns) == ["id", "n", "n_subjects", "severity"]
 
