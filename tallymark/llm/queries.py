@@ -1,4 +1,4 @@
-"""The operators over the given tables, and their SQL twins."""
+"""The operators over the given tables, and their SQL twins where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,16 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import quality
+from tallymark.llm import decontaminate, mixing, quality, simhash, token_counts, token_files, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+TOKEN_FILE_VOCABULARY = "word_bpe_49k.json"
+TOKEN_COUNT_VOCABULARY = "byte_bpe_50k.json"
+END_ID = 2
+TOKEN_LIMIT = 512
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -26,3 +37,124 @@ def query(function):
 def op1_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judged(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+@query
+def op3_token_files(spark, sf_dir):
+    blocks = token_files.written(table(spark, sf_dir, "documents"), vocabulary(TOKEN_FILE_VOCABULARY), END_ID)
+    return token_files.read_blocks(blocks)
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(TOKEN_COUNT_VOCABULARY))
+    return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op5_decontaminate(spark, sf_dir):
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+ORACLES["op5_decontaminate"] = r"""
+WITH item AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+spans AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS span
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item WHERE len(w) > 0)),
+doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+lens AS (SELECT DISTINCT n FROM spans),
+place AS (
+  SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS span
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, lens WHERE len(w) >= n)),
+met AS (SELECT p.doc_id, p.i, p.n, s.item_id FROM place p JOIN spans s ON p.n = s.n AND p.span = s.span),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS pos FROM met) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM met) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= len(d.w) AS contaminated
+FROM doc d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+
+@query
+def op6_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+@query
+def op9_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+FIRST_DAY = "2024-01-01"
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """Pages with the day of their capture, spread over a year by their id."""
+    return pages.select("page_id", "url", F.expr(f"date_add(date '{FIRST_DAY}', cast(page_id % 365 as int))").alias("day"))
+
+
+def listed(pages: DataFrame) -> DataFrame:
+    """A dated list drawn from the pages themselves: their hosts, parent domains and first path segments."""
+    name = url_lists.host(F.col("url"))
+    segment = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]+)", 1)
+    n = F.col("page_id")
+    pattern = (
+        F.when(n % 5 < 2, name)
+        .when(n % 5 < 4, F.concat(name, segment))
+        .otherwise(F.regexp_extract(name, r"[^.]+\.[^.]+\.[^.]+$", 0))
+    )
+    action = F.when(n % 3 == 0, "block").when(n % 3 == 1, "allow").otherwise("remove")
+    return pages.filter(name != "").select(pattern.alias("pattern"), F.expr(f"date_add(date '{FIRST_DAY}', cast((page_id * 7) % 365 as int))").alias("day"), action.alias("action"))
+
+
+@query
+def op10_url_lists(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_lists.judged(captures(pages), listed(pages)).select("page_id", "day", "pattern", "action", "kept")
+
+
+ORACLES["op10_url_lists"] = r"""
+WITH page AS (
+  SELECT page_id, url, date_add(DATE '2024-01-01', CAST(page_id % 365 AS INTEGER)) AS day,
+         regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1)), '\.$', '') AS host,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) AS path,
+         regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^/?#]+)', 1) AS segment
+  FROM pages),
+entry AS (
+  SELECT CASE WHEN page_id % 5 < 2 THEN host WHEN page_id % 5 < 4 THEN host || segment
+              ELSE regexp_extract(host, '[^.]+\.[^.]+\.[^.]+$', 0) END AS pattern,
+         CAST(date_add(DATE '2024-01-01', CAST((page_id * 7) % 365 AS INTEGER)) AS DATE) AS day,
+         CASE page_id % 3 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS rank
+  FROM page WHERE host <> ''),
+daily AS (SELECT pattern, day, min(rank) AS rank FROM entry GROUP BY pattern, day),
+valid AS (SELECT pattern, rank, day AS valid_from, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS valid_to FROM daily),
+part AS (SELECT page_id, host, string_split(host, '.') AS labels, list_filter(string_split(path, '/'), lambda x: x <> '') AS seg FROM page WHERE host <> ''),
+asked AS (
+  SELECT page_id, 1000 - i AS place, host || '/' || array_to_string(seg[1:i], '/') AS pattern
+  FROM (SELECT *, unnest(range(1, least(len(seg), 16) + 1)) AS i FROM part)
+  UNION ALL
+  SELECT page_id, 1000 + i, array_to_string(labels[i:], '.') FROM (SELECT *, unnest(range(1, len(labels) + 1)) AS i FROM part)),
+met AS (
+  SELECT a.page_id, a.place, a.pattern, v.rank
+  FROM asked a JOIN page p USING (page_id) JOIN valid v ON a.pattern = v.pattern
+  WHERE v.rank > 1 AND v.valid_from <= CAST(p.day AS DATE) AND (v.valid_to IS NULL OR CAST(p.day AS DATE) < v.valid_to)),
+best AS (SELECT page_id, arg_min(pattern, place) AS pattern, arg_min(rank, place) AS rank FROM met GROUP BY page_id)
+SELECT p.page_id, CAST(p.day AS DATE) AS day, b.pattern, CASE b.rank WHEN 3 THEN 'block' WHEN 2 THEN 'allow' END AS action, coalesce(b.rank <> 3, true) AS kept
+FROM page p LEFT JOIN best b USING (page_id)
+"""
