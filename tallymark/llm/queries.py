@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, mixing, quality, simhash, token_counts, token_files, url_lists
+from tallymark.llm import decontaminate, licenses, lm_score, mixing, quality, secrets, simhash, token_counts, token_files, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -39,6 +39,13 @@ def op1_quality(spark, sf_dir):
     return quality.judged(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
+@query
+def op2_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = secrets.trained(secrets.labelled_samples(docs))
+    return secrets.scanned(docs, weights).drop("text", "found")
+
+
 @query
 def op3_token_files(spark, sf_dir):
     blocks = token_files.written(table(spark, sf_dir, "documents"), vocabulary(TOKEN_FILE_VOCABULARY), END_ID)
@@ -95,6 +102,16 @@ def op6_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+@query
+def op7_licenses(spark, sf_dir):
+    return licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op8_lm_score(spark, sf_dir):
+    return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_simhash(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
