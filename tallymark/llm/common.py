@@ -96,3 +96,14 @@ def text_key(text: Column) -> Column:
 def long_table(values: list[int]) -> Column:
     """A constant array of whole numbers, folded to one literal by the optimizer."""
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def settled(frame: DataFrame, kept: list[str], *results: Column) -> DataFrame:
+    """The kept columns and the results, computed once a row.
+
+    A filter on a result stays above: pushed below the columns that the result is
+    made of, it would compute them again for every element of an array.
+    """
+    name = fresh(frame, "settled")
+    once = frame.select(*kept, F.explode(F.array(F.struct(*results))).alias(name))
+    return once.select(*kept, f"{name}.*")

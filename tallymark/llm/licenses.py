@@ -22,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import fresh, terms
+from tallymark.llm.common import fresh, settled, terms
 
 INDEXED = 6
 RARE = 4
@@ -148,8 +148,9 @@ def scanned(docs: DataFrame, text: str = "text", templates=TEMPLATES, phrases=No
     base = F.array(*[F.when(F.size(F.get(p, i)) > 0, label) for i, label in enumerate(phrases.values())])
     more = F.array(*[F.when(F.get(s, i) > 0, label) for i, (label, _, _) in enumerate(templates)])
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(F.array_compact(labels))), ",")
-    return rows.select(
-        *kept,
+    return settled(
+        rows,
+        kept,
         F.size(words).cast("long").alias("n_words"),
         F.size(every).cast("long").alias("n_base"),
         F.array_min(every).cast("long").alias("first_word"),

@@ -4,7 +4,8 @@ Two multinomials over hashed word n-grams (one and two words) are estimated, one
 from trusted documents and one from the whole corpus. A document's score is the
 mean of log(trusted / raw) over its n-grams, so that length does not matter. It
 is rejected below a threshold that is a fixed margin plus what sampling noise
-moves a mean by: buckets / (2 * n-grams of the trusted side).
+moves a mean by: buckets / (2 * smoothed n-grams of the trusted side). Smoothing
+adds SMOOTHING to a trusted bucket and as much, relative to its size, to a raw one.
 
 Weights are whole numbers of 1/SCALE, so sums do not depend on their order.
 
@@ -20,13 +21,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import fresh, long_table, spaced_words
+from tallymark.llm.common import fresh, long_table, settled, spaced_words
 
 # A power of two.
 BUCKETS = 32_768
 SMOOTHING = 10.0
 # Mean log ratio per n-gram below which a document is unlike the trusted ones.
-MARGIN = 0.1
+MARGIN = 0.05
 SCALE = 1_000_000
 # Trusted documents used at most, picked by the hash of their id.
 TRUSTED_LIMIT = 20_000
@@ -82,13 +83,14 @@ def weights(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str
         F.sum("raw").alias("n_raw"),
         F.sum("good").alias("n_good"),
     )
-    spread = SMOOTHING * BUCKETS
-    ratio = lambda x: (
-        F.log((x["good"] + SMOOTHING) / (F.col("n_good") + spread)) - F.log((x["raw"] + SMOOTHING) / (F.col("n_raw") + spread))
-    )
+    n_good, n_raw = F.greatest(F.col("n_good"), F.lit(1)), F.greatest(F.col("n_raw"), F.lit(1))
+    # Both sides are drawn towards the uniform distribution to the same degree.
+    raw = lambda x: F.log((x["raw"] + SMOOTHING * n_raw / n_good) / n_raw)
+    ratio = lambda x: F.log((x["good"] + SMOOTHING) / n_good) - raw(x)
+    noise = BUCKETS / (2 * (F.col("n_good") + SMOOTHING * BUCKETS))
     return table.select(
         F.transform("t", lambda x: F.when(F.col("n_good") > 0, F.round(ratio(x) * SCALE).cast("long")).otherwise(F.lit(0).cast("long"))).alias("weights"),
-        F.round(-(MARGIN + BUCKETS / (2 * F.greatest(F.col("n_good"), F.lit(1)))) * SCALE).cast("long").alias("threshold"),
+        F.round(-(MARGIN + noise) * SCALE).cast("long").alias("threshold"),
     )
 
 
@@ -129,7 +131,7 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     [fitted] = model.collect()
     table, limit = long_table(fitted["weights"]), F.lit(fitted["threshold"]).cast("long")
     kept_columns = [c for c in docs.columns if c.lower() not in RESULTS or c in (text, id_col)]
-    w, b, r, ln, g = (fresh(docs, name) for name in ("words", "bits", "windows", "lines", "grams"))
+    w, b, r, ln, g, n = (fresh(docs, name) for name in ("words", "bits", "windows", "lines", "grams", "repeated"))
     words = F.col(w)
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1), lambda x: x.rlike(WORDY))
     # Each column is used at least twice later on, so that it is computed once a row and not in a lambda.
@@ -138,24 +140,22 @@ def judged(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     out = out.select("*", _windows(words, F.col(b)).alias(r), lines.alias(ln), grams(words).alias(g))
     n_grams = F.size(g).cast("long")
     total = F.aggregate(g, F.lit(0).cast("long"), lambda s, b: s + F.get(table, b.cast("int")))
-    out = out.select(
-        *kept_columns,
-        F.size(words).cast("long").alias("n_words"),
+    n_words, repeated = F.size(words).cast("long"), _covered(F.col(r), F.col(b))
+    out = out.select("*", repeated.alias(n))
+    repeated = F.col(n)
+    failed = (n_words < MIN_WORDS) | (100 * repeated > 50 * n_words)
+    return settled(
+        out,
+        kept_columns,
+        n_words.alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         (F.size(ln) - F.size(F.array_distinct(F.col(ln)))).cast("long").alias("n_dup_lines"),
-        _covered(F.col(r), F.col(b)).alias("n_repeat_words"),
+        repeated.alias("n_repeat_words"),
+        failed.alias("base_failed"),
         F.when(n_grams > 0, total / (n_grams * F.lit(SCALE))).otherwise(0.0).alias("score"),
-        ((n_grams > 0) & (total >= limit * n_grams)).alias("kept"),
+        (~failed & (n_grams > 0) & (total >= limit * n_grams)).alias("kept"),
     )
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return out.select(
-        *kept_columns,
-        "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"),
-        "score",
-        (~failed & F.col("kept")).alias("kept"),
-    )
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:

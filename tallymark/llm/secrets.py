@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import fresh, long_table
+from tallymark.llm.common import fresh, long_table, settled
 
 # The known forms, in their order.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -129,7 +129,7 @@ def scanned(docs: DataFrame, weights: list[int], text: str = "text", evidence: f
     name = F.array(*map(F.lit, KINDS))
     spelled = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["at"], s["to"])), ",")
     sizes = [F.size(x).cast("long").alias(f"n_{k}") for k, x in zip(KINDS, (a, b, c, n), strict=True)]
-    return rows.select(*kept, *sizes, F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"), spelled(found).alias("spans"), found.alias("found"))
+    return settled(rows, kept, *sizes, F.sha2(spelled(base).cast("binary"), 256).alias("base_sha256"), spelled(found).alias("spans"), found.alias("found"))
 
 
 def redacted(docs: DataFrame, weights: list[int], text: str = "text", mark: str = "[secret]") -> DataFrame:

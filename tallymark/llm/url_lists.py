@@ -92,7 +92,7 @@ def keep_unlisted(captures: DataFrame, entries: DataFrame, url: str = "url", day
     """The captures, with their own columns, that no active entry blocks."""
     at = {c: f"c{i}" for i, c in enumerate(captures.columns)}
     narrow = captures.select(*[F.col(c).alias(n) for c, n in at.items()])
-    bad = judged(narrow.select(at[url], at[day]).distinct(), entries, at[url], at[day], at[url]).filter("not kept")
-    bad = bad.select(F.col(bad.columns[0]).alias("bad_url"), F.col(bad.columns[2]).alias("bad_day"))
+    asked = narrow.select(F.lit(0).alias("id"), F.col(at[url]).alias("bad_url"), F.col(at[day]).alias("bad_day")).distinct()
+    bad = judged(asked, entries, "bad_url", "bad_day", "id").filter("not kept").select("bad_url", "bad_day")
     kept = narrow.join(bad, (F.col(at[url]) == F.col("bad_url")) & (F.col(at[day]) == F.col("bad_day")), "left_anti")
     return kept.select(*[F.col(n).alias(c) for c, n in at.items()])

@@ -151,10 +151,8 @@ def test_quality_matches_plain_python(spark, docs):
         if d in good:
             trusted.update(g)
     n_raw, n_good = sum(raw.values()), sum(trusted.values())
-    weight = [
-        math.log((trusted[b] + 10) / (n_good + 10 * 32768)) - math.log((raw[b] + 10) / (n_raw + 10 * 32768)) for b in range(32768)
-    ]
-    threshold = -(0.1 + 32768 / (2 * n_good))
+    weight = [math.log((trusted[b] + 10) / n_good) - math.log((raw[b] + 10 * n_raw / n_good) / n_raw) for b in range(32768)]
+    threshold = -(0.05 + 32768 / (2 * (n_good + 10 * 32768)))
     for d, text, _ in docs:
         want, row = plain_quality(text), got[d]
         assert {k: row[k] for k in want} == want
