@@ -20,7 +20,7 @@ from tallymark.functions.identifiers import (
     same_assembly,
 )
 from tallymark.functions.text import describe, normalized_document, slugify, strip
-from tallymark.functions.values import as_number, close_enough
+from tallymark.functions.values import as_finite, as_whole, close_enough
 from tallymark.operators.lookup import candidates_by_slug, resolve_runs
 from tallymark.operators.ranking import described, first_n, numbered
 from tallymark.operators.reconcile import (
@@ -35,7 +35,7 @@ from tallymark.operators.reconcile import (
 from tallymark.operators.rollup import missing_share
 from tallymark.plans.checks import CHECKS, RETIRED
 from tallymark.plans.corpus import Corpus
-from tallymark.plans.registry import Catalog, finding, lookup_findings, run_checks, text
+from tallymark.plans.registry import finding, lookup_findings, pick, run_checks, slices_of, table_of_checks, text
 from tallymark.sources.observed import (
     aligner_reference,
     classify_lines,
@@ -45,9 +45,6 @@ from tallymark.sources.observed import (
     tool_ids,
 )
 
-catalog = Catalog()
-catalog.retire(*RETIRED)
-
 # Percentage of assembly bases that may be absent before F009 warns.
 MISSING_PERCENT = 1.0
 
@@ -96,7 +93,7 @@ def set_check(left, right, key, id, severity, left_name, right_name, paths=None)
         path = F.col("path")
     return finding(
         diff, id, severity,
-        text(f"{left_name} (", F.col("n_left"), f") and {right_name} (", F.col("n_right"), ") describe different samples"),
+        text(f"{left_name} (", F.col("n_left"), f") and {right_name} (", F.col("n_right"), ") do not hold the same samples"),
         text(either_side(left_name, right_name), REVIEW), path,
     )
 
@@ -116,67 +113,59 @@ def _both(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
 # -- declared side on its own -----------------------------------------------
 
 
-@catalog.check("R001", **CHECKS["R001"])
 def config_wellformed(c: Corpus) -> DataFrame:
     return issues_to_findings(c.issues.filter("source = 'config'"), CONFIG_CODES)
 
 
-@catalog.check("R002", **CHECKS["R002"])
 def source_usable(c: Corpus) -> DataFrame:
     s = F.col("ref_source")
     bad = c.config.filter(s.isNotNull() & ~(is_assembly(s) | is_url(s) | is_local_source(s)))
-    return finding(bad, "R002", "error", text("reference.source '", s, "' is not an accession, URL or path"), path=F.col("path"))
+    return finding(bad, "R002", "error", text("cannot tell what reference.source '", s, "' points at"), path=F.col("path"))
 
 
-@catalog.check("R003", **CHECKS["R003"])
 def name_is_a_name(c: Corpus) -> DataFrame:
     bad = c.config.filter(is_assembly(F.col("ref_name")))
     return finding(
-        bad, "R003", "warn", text("reference.name is an accession (", F.col("ref_name"), "), not a species name"),
-        "the reference is staged as results/reference/<name>.fa.gz", F.col("path"),
+        bad, "R003", "warn", text("reference.name holds an accession, ", F.col("ref_name"), ", where a species is expected"),
+        "the name becomes part of the reference's file name", F.col("path"),
     )
 
 
-@catalog.check("R010", **CHECKS["R010"])
 def sheet_wellformed(c: Corpus) -> DataFrame:
     return issues_to_findings(c.issues.filter("source = 'sheet'"), SHEET_CODES)
 
 
-@catalog.check("R013", **CHECKS["R013"])
 def inputs_are_accessions(c: Corpus) -> DataFrame:
     bad = c.sheet.filter((F.col("input_type") == "srr") & ~is_archive_input(F.col("input")))
     return finding(
-        bad, "R013", "error", text(F.col("sample_id"), ": input '", F.col("input"), "' is not an SRA accession"),
-        "neither a run nor an experiment", F.col("path"), F.col("line"),
+        bad, "R013", "error", text("archive input '", F.col("input"), "' of ", F.col("sample_id"), " has no accession's form"),
+        "expected a run or an experiment", F.col("path"), F.col("line"),
     )
 
 
-@catalog.check("R015", **CHECKS["R015"])
 def inputs_not_local(c: Corpus) -> DataFrame:
     return finding(
         c.sheet.filter(is_local_input(F.col("input"))), "R015", "warn",
-        text(F.col("sample_id"), ": input is a local path, so the run is not reproducible"),
+        text(F.col("sample_id"), " reads a file of one machine; nobody else can repeat it"),
         F.col("input"), F.col("path"), F.col("line"),
     )
 
 
-@catalog.check("R016", **CHECKS["R016"])
 def ids_are_biosamples(c: Corpus) -> DataFrame:
     odd = described(c.sheet.filter(~is_biosample(F.col("sample_id"))), ["subject"], "sample_id")
     return finding(
         odd.join(sheet_paths(c), "subject", "left"), "R016", "warn",
-        text(F.col("n"), " sample_id(s) are not BioSample accessions"),
+        text("names without a BioSample accession's form: ", F.col("n")),
         describe(F.col("head"), F.col("n")), F.col("path"),
     )
 
 
-@catalog.check("R020", **CHECKS["R020"])
 def readme_accession(c: Corpus) -> DataFrame:
     pairs = c.readme.join(c.config.select("subject", "ref_source"), "subject").filter(
         "accession <> ref_source AND ref_source <> ''"
     )
     return finding(
-        pairs, "R020", "warn", text("README.txt says ", F.col("accession"), ", config says ", F.col("ref_source")),
+        pairs, "R020", "warn", text("assembly ", F.col("accession"), " in README.txt, ", F.col("ref_source"), " in the config"),
         path=F.col("path"),
     )
 
@@ -188,59 +177,51 @@ def _listed(c: Corpus) -> DataFrame:
     return c.artifacts.filter("listed")
 
 
-@catalog.check("G001", **CHECKS["G001"])
 def accession_published(c: Corpus) -> DataFrame:
     empty = c.artifacts.filter("accession IS NOT NULL AND NOT listed")
-    return finding(empty, "G001", "error", text(F.col("accession"), " exists but published no objects"))
+    return finding(empty, "G001", "error", text("nothing is stored under ", F.col("accession")))
 
 
-@catalog.check("G010", **CHECKS["G010"])
 def raw_vcf_present(c: Corpus) -> DataFrame:
-    detail = F.when(F.col("n_bams") > 0, text(F.col("n_bams"), " BAM(s) present, no VCF")).otherwise("nothing in vcfs/")
-    return finding(_listed(c).filter("NOT raw_vcf"), "G010", "warn", text("no vcfs/raw.vcf.gz"), detail)
+    detail = F.when(F.col("n_bams") > 0, text("alignments: ", F.col("n_bams"), ", variants: none")).otherwise("no variant file at all")
+    return finding(_listed(c).filter("NOT raw_vcf"), "G010", "warn", text("the raw variant file is missing"), detail)
 
 
-@catalog.check("G011", **CHECKS["G011"])
 def raw_vcf_indexed(c: Corpus) -> DataFrame:
-    return finding(_listed(c).filter("raw_vcf AND NOT raw_vcf_index"), "G011", "error", text("no vcfs/raw.vcf.gz.tbi"))
+    return finding(_listed(c).filter("raw_vcf AND NOT raw_vcf_index"), "G011", "error", text("the raw variant file has no index"))
 
 
-@catalog.check("G012", **CHECKS["G012"])
 def bams_present(c: Corpus) -> DataFrame:
-    return finding(_listed(c).filter("NOT bams"), "G012", "error", text("no BAMs published"))
+    return finding(_listed(c).filter("NOT bams"), "G012", "error", text("no alignment file is published"))
 
 
-@catalog.check("G013", **CHECKS["G013"])
 def bams_indexed(c: Corpus) -> DataFrame:
     stem = F.regexp_extract("name", r"^(.*)\.bam\.(?:csi|bai)$", 1)
     indexes = c.inventory.filter("dir = 'bams'").select("subject", stem.alias("sample")).filter("sample <> ''")
     bare = described(missing_from(c.bams, indexes, ["subject", "sample"]), ["subject"], "sample")
     return finding(
-        bare, "G013", "error", text(F.col("n"), " BAM(s) have no .csi or .bai index"), describe(F.col("head"), F.col("n"))
+        bare, "G013", "error", text("alignment files without an index: ", F.col("n")), describe(F.col("head"), F.col("n"))
     )
 
 
-@catalog.check("G014", **CHECKS["G014"])
 def no_empty_objects(c: Corpus) -> DataFrame:
     empty = c.inventory.filter(F.col("dir").isin("bams", "vcfs", "<top>") & (F.col("size") == 0))
     named = empty.withColumn("_n", F.regexp_extract("key", r"GC[AF]_\d+\.\d+/(.*)$", 1))
-    some = described(named, ["subject"], "_n")
-    return finding(
-        some, "G014", "error", text(F.col("n"), " zero-byte object(s) in the data directories"),
-        describe(F.col("head"), F.col("n")),
-    )
+    # Every one is named: a row each, numbered, instead of a list that grows with the subject.
+    counts = named.groupBy("subject").agg(F.countDistinct("_n").alias("n"))
+    each = named.select("subject", "_n").distinct().join(counts, "subject")
+    return finding(each, "G014", "error", text("objects of no bytes: ", F.col("n")), F.col("_n"))
 
 
-@catalog.check("G017", **CHECKS["G017"])
 def readmes_in_sync(c: Corpus) -> DataFrame:
     full = lambda c_: F.nullif(normalized_document(c_), F.lit(""))
     local = c.readme.select("subject", full(F.col("text")).alias("a"), "path")
     remote = c.published_readme.select("subject", full(F.col("text")).alias("b"))
     pairs = two_sided(local, remote, ["subject"], "a", "b").filter("side NOT IN ('same', 'neither')")
     message = (
-        F.when(F.col("side") == "right only", "the store publishes a README.txt that is not in the repo")
-        .when(F.col("side") == "left only", "the repo has a README.txt that the store does not publish")
-        .otherwise("the repo and published README.txt differ")
+        F.when(F.col("side") == "right only", "only the store has a README.txt")
+        .when(F.col("side") == "left only", "only the repository has a README.txt")
+        .otherwise("two different README.txt are in use")
     )
     detail = (
         F.when(F.col("side") == "right only", "add it to the subject's folder")
@@ -250,13 +231,12 @@ def readmes_in_sync(c: Corpus) -> DataFrame:
     return finding(pairs, "G017", "warn", message, detail, F.col("path"))
 
 
-@catalog.check("G018", **CHECKS["G018"])
 def readme_somewhere(c: Corpus) -> DataFrame:
     remote = c.published_readme.filter("text <> ''").select("subject")
     known = c.readme.select("subject").unionByName(remote)
     return finding(
-        missing_from(c.subjects, known, ["subject"]), "G018", "warn", text("no README.txt in the repo or in the store"),
-        "no document says which bioprojects the data came from",
+        missing_from(c.subjects, known, ["subject"]), "G018", "warn", text("a README.txt is found on neither side"),
+        "the origin of the data is not written down",
     )
 
 
@@ -267,7 +247,6 @@ def _sheet_samples(c: Corpus) -> DataFrame:
     return c.sheet.select("subject", F.col("sample_id").alias("sample"))
 
 
-@catalog.check("S001", **CHECKS["S001"])
 def sheet_matches_vcf(c: Corpus) -> DataFrame:
     return set_check(
         _sheet_samples(c), c.vcf_samples, "sample", "S001", "error", "sample_sheet.csv", "raw.vcf.gz", sheet_paths(c)
@@ -279,7 +258,6 @@ def _complete_with_bams(c: Corpus, df: DataFrame) -> DataFrame:
     return df.join(c.complete, "subject", "left_semi")
 
 
-@catalog.check("S002", **CHECKS["S002"])
 def sheet_matches_bams(c: Corpus) -> DataFrame:
     return set_check(
         _complete_with_bams(c, _sheet_samples(c)), _complete_with_bams(c, c.bams),
@@ -287,7 +265,6 @@ def sheet_matches_bams(c: Corpus) -> DataFrame:
     )
 
 
-@catalog.check("S003", **CHECKS["S003"])
 def vcf_matches_bams(c: Corpus) -> DataFrame:
     return set_check(
         _complete_with_bams(c, c.vcf_samples), _complete_with_bams(c, c.bams),
@@ -295,7 +272,6 @@ def vcf_matches_bams(c: Corpus) -> DataFrame:
     )
 
 
-@catalog.check("S004", **CHECKS["S004"])
 def read_groups_match_names(c: Corpus) -> DataFrame:
     keys = ["subject", "bam"]
     files = c.bam_records.select(*keys).distinct()
@@ -305,22 +281,20 @@ def read_groups_match_names(c: Corpus) -> DataFrame:
     )
     shown = F.when(F.col("n").isNull(), "<none>").otherwise(describe(F.col("head"), F.col("n")))
     return finding(
-        odd, "S004", "error", text(F.col("bam"), ".bam has @RG SM [", shown, "]"),
-        "expected the sample in the file name",
+        odd, "S004", "error", text("read groups of ", F.col("bam"), ".bam name ", shown),
+        "they should name the file's own sample",
     )
 
 
-@catalog.check("S005", **CHECKS["S005"])
 def qc_matches_vcf(c: Corpus) -> DataFrame:
     diff = reconcile_sets(c.qc_samples, c.vcf_samples, ["subject"], "sample")
     return finding(
         diff, "S005", "warn",
-        text("qc/individuals.samps.txt (", F.col("n_left"), ") disagrees with the VCF (", F.col("n_right"), ")"),
+        text("sample list (", F.col("n_left"), ") and variant file (", F.col("n_right"), ") hold different samples"),
         either_side("QC", "VCF"),
     )
 
 
-@catalog.check("S006", **CHECKS["S006"])
 def published_sheet_matches(c: Corpus) -> DataFrame:
     columns = ["subject", "line", "sample_id", "input_type", "input"]
     left, right = _both(c.sheet.select(*columns), c.published_sheet.select(*columns))
@@ -331,15 +305,14 @@ def published_sheet_matches(c: Corpus) -> DataFrame:
     ).filter("outcome <> 'same'")
     names = reconcile_sets(left, right, ["subject"], "sample_id")
     detail = F.when(
-        F.col("outcome") == "same keys", "the samples agree, their rows do not"
+        F.col("outcome") == "same keys", "same samples, other contents"
     ).otherwise(either_side("repo", "published"))
     return finding(
         differing.join(names, "subject", "left").join(sheet_paths(c), "subject", "left"), "S006", "warn",
-        text("the published sample_sheet.csv differs from the repo copy"), detail, F.col("path"),
+        text("sample_sheet.csv has two versions, stored and published"), detail, F.col("path"),
     )
 
 
-@catalog.check("S007", **CHECKS["S007"])
 def libraries_match(c: Corpus) -> DataFrame:
     keys = ["subject", "bam"]
     files = c.bam_records.select(*keys).distinct()
@@ -357,7 +330,7 @@ def libraries_match(c: Corpus) -> DataFrame:
     have = described(observed, keys, "lib").select(*keys, describe(F.col("head"), F.col("n")).alias("_h"))
     odd = flags.unionByName(bare).join(want, keys, "left").join(have, keys, "left")
     return finding(
-        odd, "S007", "warn", text(F.col("bam"), ".bam @RG LB [", F.col("_h"), "] != sheet library_id [", F.col("_w"), "]")
+        odd, "S007", "warn", text("libraries of ", F.col("bam"), ".bam: ", F.col("_h"), " in its header, ", F.col("_w"), " in the sheet")
     )
 
 
@@ -372,7 +345,6 @@ def _assembly_names(c: Corpus) -> DataFrame:
     return c.assemblies.select(F.col("queried").alias("accession"), "assembly_name")
 
 
-@catalog.check("F001", **CHECKS["F001"])
 def contigs_exist(c: Corpus) -> DataFrame:
     unknown = described(c.strays.filter("other IS NULL"), ["subject", "accession"], "contig")
     rows = (
@@ -382,8 +354,8 @@ def contigs_exist(c: Corpus) -> DataFrame:
     )
     return finding(
         rows, "F001", "error",
-        text(F.col("n"), " of ", F.col("n_observed"), " VCF contig(s) do not exist in ", F.col("accession"), " (", F.col("assembly_name"), ")"),
-        text(describe(F.col("head"), F.col("n")), "; the reference is not the declared one"), F.col("path"),
+        text("contigs unknown to ", F.col("accession"), " (", F.col("assembly_name"), "): ", F.col("n"), " of ", F.col("n_observed")),
+        text(describe(F.col("head"), F.col("n")), "; called on something else than declared"), F.col("path"),
     )
 
 
@@ -391,7 +363,6 @@ def _chosen_names(c: Corpus) -> DataFrame:
     return c.names.join(c.chosen.select("subject", "accession", "scheme"), ["accession", "scheme"])
 
 
-@catalog.check("F002", **CHECKS["F002"])
 def contig_lengths(c: Corpus) -> DataFrame:
     keys = ["subject", "accession", "contig"]
     known = _chosen_names(c).select(*keys, F.col("length").alias("_asm"))
@@ -400,16 +371,15 @@ def contig_lengths(c: Corpus) -> DataFrame:
     shown = (
         first_n(off, ["subject"], ["contig"], 3)
         .groupBy("subject")
-        .agg(F.array_sort(F.collect_list(text(F.col("contig"), ": VCF ", F.col("length"), ", assembly ", F.col("_asm")))).alias("_ex"))
+        .agg(F.array_sort(F.collect_list(text(F.col("contig"), " ", F.col("length"), " instead of ", F.col("_asm")))).alias("_ex"))
     )
     rows = counts.join(shown, "subject").join(_config_paths(c), "subject", "left")
     return finding(
-        rows, "F002", "error", text(F.col("n"), " contig(s) have a different length in the VCF than in ", F.col("accession")),
-        text(F.array_join("_ex", "; "), "; probably another assembly of the species"), F.col("path"),
+        rows, "F002", "error", text("contigs longer or shorter than in ", F.col("accession"), ": ", F.col("n")),
+        text(F.array_join("_ex", "; "), "; a sign of another assembly"), F.col("path"),
     )
 
 
-@catalog.check("F003", **CHECKS["F003"])
 def one_naming_scheme(c: Corpus) -> DataFrame:
     other = c.strays.filter("other IS NOT NULL")
     # At most one part per naming scheme.
@@ -423,12 +393,11 @@ def one_naming_scheme(c: Corpus) -> DataFrame:
     names = described(other, ["subject"], "contig")
     rows = parts.join(names, "subject").join(c.chosen.select("subject", "scheme"), "subject")
     return finding(
-        rows, "F003", "error", text("contig names mix naming schemes: mostly ", F.col("scheme"), ", plus ", F.col("_parts")),
+        rows, "F003", "error", text("contigs are named by ", F.col("scheme"), " and also by ", F.col("_parts")),
         describe(F.col("head"), F.col("n")),
     )
 
 
-@catalog.check("F004", **CHECKS["F004"])
 def bam_matches_vcf(c: Corpus) -> DataFrame:
     keys = ["subject", "bam"]
     files = c.bam_records.select(*keys).distinct()
@@ -437,17 +406,16 @@ def bam_matches_vcf(c: Corpus) -> DataFrame:
     )
     detail = F.concat_ws(
         "; ",
-        F.when(F.col("n_only_left") > 0, text("only in BAM: ", F.col("only_left_names"))),
-        F.when(F.col("n_only_right") > 0, text("only in VCF: ", F.col("only_right_names"))),
-        F.when(F.col("n_value") > 0, text("different lengths: ", F.col("value_names"))),
+        F.when(F.col("n_only_left") > 0, text("alignments alone: ", F.col("only_left_names"))),
+        F.when(F.col("n_only_right") > 0, text("variants alone: ", F.col("only_right_names"))),
+        F.when(F.col("n_value") > 0, text("other length: ", F.col("value_names"))),
     )
     return finding(
         diff, "F004", "error",
-        text(F.col("bam"), ".bam @SQ (", F.col("n_left"), ") does not match the VCF contigs (", F.col("n_right"), ")"), detail,
+        text("sequences of ", F.col("bam"), ".bam (", F.col("n_left"), ") are not those of the variant file (", F.col("n_right"), ")"), detail,
     )
 
 
-@catalog.check("F005", **CHECKS["F005"])
 def bams_agree(c: Corpus) -> DataFrame:
     members = unlike_first(reference_lengths(c.bam_records, ["subject", "bam"]), ["subject"], "bam", ["contig", "length"])
     odd = described(members.filter("differs"), ["subject"], "bam")
@@ -456,12 +424,11 @@ def bams_agree(c: Corpus) -> DataFrame:
     rows = odd.join(read, "subject").join(total, "subject", "left")
     scope = F.when(F.col("_read") >= F.coalesce("n_bams", F.lit(0)), "all").otherwise(text(F.col("_read"), " sampled"))
     return finding(
-        rows, "F005", "error", text(F.col("n"), " of ", scope, " BAM(s) have a different @SQ list from the others"),
-        text(describe(F.col("head"), F.col("n")), "; not all files were made against one reference"),
+        rows, "F005", "error", text("alignment files with sequences of their own: ", F.col("n"), " of ", scope),
+        text(describe(F.col("head"), F.col("n")), "; more than one reference was used"),
     )
 
 
-@catalog.check("F006", **CHECKS["F006"])
 def aligner_reference_matches(c: Corpus) -> DataFrame:
     used = aligner_reference(c.bam_records, ["subject", "bam"])
     rows = used.join(c.config.select("subject", "ref_name", "path"), "subject").filter(
@@ -469,16 +436,15 @@ def aligner_reference_matches(c: Corpus) -> DataFrame:
     )
     return finding(
         rows, "F006", "warn",
-        text(F.col("bam"), ".bam was aligned against '", F.col("reference"), "', but reference.name is '", F.col("ref_name"), "'"),
-        "the reference is staged as results/reference/<name>.fa.gz", F.col("path"),
+        text("aligner of ", F.col("bam"), ".bam read '", F.col("reference"), "', the config names '", F.col("ref_name"), "'"),
+        "the name becomes part of the reference's file name", F.col("path"),
     )
 
 
-@catalog.check("F008", **CHECKS["F008"])
 def contig_map_matches(c: Corpus) -> DataFrame:
     odd = described(missing_from(c.contig_map, c.vcf_contigs, ["subject", "contig"]), ["subject"], "contig")
     return finding(
-        odd, "F008", "warn", text("qc/contig_map.tsv names ", F.col("n"), " contig(s) that are not in the VCF"),
+        odd, "F008", "warn", text("contig map entries that the variant file lacks: ", F.col("n")),
         describe(F.col("head"), F.col("n")),
     )
 
@@ -490,21 +456,19 @@ def _megabases(entries: str) -> Column:
     )
 
 
-@catalog.check("F009", **CHECKS["F009"])
 def sequences_present(c: Corpus) -> DataFrame:
     gone = missing_share(c.wanted, c.observed, ["subject"], "contig", "length", MISSING_PERCENT)
     return finding(
         gone, "F009", F.col("severity"),
-        text(F.col("n_missing"), " assembly sequence(s) absent from the VCF, ", F.format_string("%.2f", F.col("percent")), "% of assembly bases"),
-        text("largest: ", _megabases("largest")),
+        text("sequences without variants: ", F.col("n_missing"), ", ", F.format_string("%.2f", F.col("percent")), "% of all bases"),
+        text("first by size: ", _megabases("largest")),
     )
 
 
-@catalog.check("F011", **CHECKS["F011"])
 def molecules_present(c: Corpus) -> DataFrame:
     whole = c.wanted.filter("role = 'assembled-molecule'")
     gone = missing_share(whole, c.observed, ["subject"], "contig", "length", top=5)
-    return finding(gone, "F011", "warn", text(F.col("n_missing"), " assembled molecule(s) absent from the VCF"), _megabases("largest"))
+    return finding(gone, "F011", "warn", text("molecules without variants: ", F.col("n_missing")), _megabases("largest"))
 
 
 # -- reference canonicality -------------------------------------------------
@@ -523,35 +487,32 @@ def _declared_entry(c: Corpus) -> DataFrame:
     )
 
 
-@catalog.check("F020", **CHECKS["F020"])
 def reference_is_canonical(c: Corpus) -> DataFrame:
     rows = _declared_entry(c).filter(~same_assembly(F.col("declared"), F.col("canonical")))
     bits = F.concat_ws(", ", F.nullif("assembly_name", F.lit("")), F.nullif("assembly_level", F.lit("")))
     label = F.when(bits != "", text(" (", bits, ")")).otherwise("")
     return finding(
         rows, "F020", "error",
-        text("config declares ", F.col("declared"), label, ", but the listed assembly for ", F.col("scientific_name"), " is ", F.col("canonical")),
-        "another assembly altogether", F.col("path"),
+        text(F.col("scientific_name"), " is listed with ", F.col("canonical"), ", declared is ", F.col("declared"), label),
+        "not even the same assembly", F.col("path"),
     )
 
 
-@catalog.check("F021", **CHECKS["F021"])
 def reference_form(c: Corpus) -> DataFrame:
     rows = _declared_entry(c).filter(
         (F.col("declared") != F.col("canonical")) & same_assembly(F.col("declared"), F.col("canonical"))
     )
     paired = (F.col("canonical") == F.col("_acc")) | (F.col("canonical") == F.col("_pair"))
     detail = text(
-        "the same assembly under the other prefix",
+        "one assembly, other database",
         F.when(paired, "; confirmed by the paired assembly").otherwise(""),
     )
     return finding(
-        rows, "F021", "error", text("config declares ", F.col("declared"), "; the listed accession is ", F.col("canonical")),
+        rows, "F021", "error", text("listed as ", F.col("canonical"), ", declared as ", F.col("declared")),
         detail, F.col("path"),
     )
 
 
-@catalog.check("F022", **CHECKS["F022"])
 def species_listed(c: Corpus) -> DataFrame:
     unresolved = missing_from(c.subjects, c.entry, ["subject"])
     several = candidates_by_slug(unresolved.select("subject", "slug"), c.authority).withColumn(
@@ -560,13 +521,12 @@ def species_listed(c: Corpus) -> DataFrame:
     named = described(several, ["subject"], "_name")
     rows = unresolved.join(named, "subject", "left")
     message = F.when(
-        F.col("n").isNotNull(), text(F.col("slug"), " matches ", F.col("n"), " listed entries")
-    ).otherwise(text(F.col("slug"), " has no entry in the authority list"))
+        F.col("n").isNotNull(), text("entries that fit ", F.col("slug"), ": ", F.col("n"))
+    ).otherwise(text("nothing is listed for ", F.col("slug")))
     detail = F.when(F.col("n").isNotNull(), describe(F.col("head"), F.col("n")))
     return finding(rows, "F022", "error", message, detail)
 
 
-@catalog.check("F023", **CHECKS["F023"])
 def names_agree(c: Corpus) -> DataFrame:
     listed = c.entry.select("subject", "scientific_name")
     full = slugify(F.col("scientific_name"))
@@ -574,20 +534,19 @@ def names_agree(c: Corpus) -> DataFrame:
     rows = listed.join(c.subjects.select("subject", "slug"), "subject")
     by_directory = finding(
         rows.filter(~fits(F.col("slug"))), "F023", "warn",
-        text("directory '", F.col("slug"), "' does not match listed name '", F.col("scientific_name"), "'"),
+        text("listed name '", F.col("scientific_name"), "' does not give the folder '", F.col("slug"), "'"),
     )
     named = listed.join(c.config.select("subject", "ref_name", "path"), "subject").filter(
         (F.col("ref_name") != "") & ~is_assembly(F.col("ref_name"))
     )
     by_config = finding(
         named.filter(~fits(slugify(F.replace("ref_name", F.lit("_"), F.lit(" "))))), "F023", "warn",
-        text("reference.name '", F.col("ref_name"), "' does not match listed name '", F.col("scientific_name"), "'"),
+        text("listed name '", F.col("scientific_name"), "' does not give reference.name '", F.col("ref_name"), "'"),
         path=F.col("path"),
     )
     return by_directory.unionByName(by_config)
 
 
-@catalog.check("F024", **CHECKS["F024"])
 def taxid_agrees(c: Corpus) -> DataFrame:
     rows = (
         c.entry.select("subject", "taxid")
@@ -597,7 +556,7 @@ def taxid_agrees(c: Corpus) -> DataFrame:
     )
     return finding(
         rows, "F024", "warn",
-        text(F.col("accession"), " has taxid ", F.col("tax_id"), " (", F.col("organism_name"), "), the authority list says ", F.col("taxid")),
+        text("taxid of ", F.col("accession"), ": ", F.col("tax_id"), " (", F.col("organism_name"), "), listed ", F.col("taxid")),
     )
 
 
@@ -607,27 +566,26 @@ def taxid_agrees(c: Corpus) -> DataFrame:
 def _numeric(c: Corpus, id: str, label: str, flag: str, column: str, whole: bool) -> DataFrame:
     recorded = command_argument(c.vcf_lines, ["subject"], flag)
     rows = recorded.join(c.config.select("subject", "path", F.col(column).alias("_d")), "subject").filter("_d IS NOT NULL")
-    a, b = as_number(F.col("argument")), as_number(F.col("_d"))
-    same = (a.cast("bigint") == b.cast("bigint")) if whole else close_enough(a, b)
+    # What is no whole or no finite number cannot be compared; it never ends the run.
+    read = as_whole if whole else as_finite
+    a, b = read(F.col("argument")), read(F.col("_d"))
+    same = (a == b) if whole else close_enough(a, b)
     unclear = a.isNull() | b.isNull()
     message = F.when(
-        unclear, text(f"{label}: cannot compare config '", F.col("_d"), f"' with recorded --{flag} '", F.col("argument"), "'")
-    ).otherwise(text(f"{label}: config says ", F.col("_d"), f", the run recorded --{flag} ", F.col("argument")))
-    detail = F.when(~unclear, "the config may have been edited since the run")
+        unclear, text(f"{label} not comparable: '", F.col("_d"), f"' in the config against '", F.col("argument"), f"' for --{flag}")
+    ).otherwise(text(f"{label} differs: ", F.col("_d"), " in the config, ", F.col("argument"), f" for --{flag} in the header"))
+    detail = F.when(~unclear, "one of the two was changed after the call")
     return finding(rows.filter(unclear | ~same), id, "warn", message, detail, F.col("path"))
 
 
-@catalog.check("P001", **CHECKS["P001"])
 def ploidy_matches(c: Corpus) -> DataFrame:
     return _numeric(c, "P001", "ploidy", "sample-ploidy", "ploidy", True)
 
 
-@catalog.check("P002", **CHECKS["P002"])
 def het_prior_matches(c: Corpus) -> DataFrame:
     return _numeric(c, "P002", "heterozygosity prior", "heterozygosity", "het_prior", False)
 
 
-@catalog.check("P003", **CHECKS["P003"])
 def caller_matches(c: Corpus) -> DataFrame:
     # The set of labels is bounded by the pattern table.
     recorded = classify_lines(c.vcf_lines, ["subject"]).groupBy("subject").agg(
@@ -647,8 +605,8 @@ def caller_matches(c: Corpus) -> DataFrame:
     seen = F.coalesce(describe(F.col("head"), F.col("n")), F.lit(""))
     return finding(
         rows, "P003", "warn",
-        text("config declares tool '", F.col("_d"), "', but the VCF header records ", F.array_join("_r", ", ")),
-        text("recorded invocations: ", F.when(seen == "", "none").otherwise(seen)), F.col("path"),
+        text("caller in the config: '", F.col("_d"), "'; in the header: ", F.array_join("_r", ", ")),
+        text("calls in the header: ", F.when(seen == "", "none").otherwise(seen)), F.col("path"),
     )
 
 
@@ -659,7 +617,6 @@ def _resolved(c: Corpus) -> DataFrame:
     return resolve_runs(c.sheet.filter(is_archive_input(F.col("input"))), c.runs, "input")
 
 
-@catalog.check("E001", **CHECKS["E001"])
 def inputs_belong(c: Corpus) -> DataFrame:
     rows = c.sheet.filter(is_archive_input(F.col("input")))
     resolved = _resolved(c)
@@ -669,13 +626,13 @@ def inputs_belong(c: Corpus) -> DataFrame:
     shown = F.when(F.col("n").isNull(), "<no biosample>").otherwise(describe(F.col("head"), F.col("n")))
     one = finding(
         wrong, "E001", "error",
-        text(F.col("input"), " belongs to ", shown, ", but the sheet lists it under ", F.col("sample_id")),
+        text("archive has ", F.col("input"), " under ", shown, ", the sheet under ", F.col("sample_id")),
         path=F.col("path"), line=F.col("line"),
     )
     unknown = described(missing_from(rows, resolved, ["input"]), ["subject"], "input")
     rest = finding(
         unknown.join(sheet_paths(c), "subject", "left"), "E001", "error",
-        text(F.col("n"), " input accession(s) are unknown to the archive"), describe(F.col("head"), F.col("n")), F.col("path"),
+        text("inputs the archive does not know: ", F.col("n")), describe(F.col("head"), F.col("n")), F.col("path"),
     )
     return one.unionByName(rest)
 
@@ -692,43 +649,40 @@ def _projects(c: Corpus) -> tuple[DataFrame, DataFrame]:
     return contributing, documented
 
 
-@catalog.check("E002", **CHECKS["E002"])
 def projects_documented(c: Corpus) -> DataFrame:
     contributing, documented = _projects(c)
     diff = reconcile_sets(contributing, documented, ["subject"], "bioproject").filter("n_only_left > 0")
     listed = described(documented, ["subject"], "bioproject").select("subject", describe(F.col("head"), F.col("n")).alias("_doc"))
     rows = diff.join(listed, "subject").join(c.readme.select("subject", "path"), "subject")
     return finding(
-        rows, "E002", "warn", text(F.col("n_only_left"), " bioproject(s) contribute runs but are not in README.txt"),
-        text(F.col("only_left"), "; README lists ", F.col("_doc")), F.col("path"),
+        rows, "E002", "warn", text("bioprojects with runs that README.txt leaves out: ", F.col("n_only_left")),
+        text(F.col("only_left"), "; documented are ", F.col("_doc")), F.col("path"),
     )
 
 
-@catalog.check("E003", **CHECKS["E003"])
 def projects_contribute(c: Corpus) -> DataFrame:
     contributing, documented = _projects(c)
     idle = reconcile_sets(contributing, documented, ["subject"], "bioproject").filter("n_only_right > 0")
     return finding(
         idle.join(c.readme.select("subject", "path"), "subject"), "E003", "warn",
-        text("README.txt cites ", F.col("n_only_right"), " bioproject(s) that contribute no runs to the sheet"),
+        text("documented bioprojects without a run: ", F.col("n_only_right")),
         F.col("only_right"), F.col("path"),
     )
 
 
-@catalog.check("R017", **CHECKS["R017"])
 def inputs_unambiguous(c: Corpus) -> DataFrame:
     rows = c.sheet.filter(is_experiment(F.col("input")))
     runs = described(resolve_runs(rows, c.runs, "input"), ["input"], "run")
     known = rows.join(runs, "input")
     several = finding(
         known.filter("n > 1"), "R017", "error",
-        text(F.col("sample_id"), ": experiment ", F.col("input"), " contains ", F.col("n"), " runs, so the sheet does not identify which reads were used"),
+        text("experiment ", F.col("input"), " of ", F.col("sample_id"), " has ", F.col("n"), " runs; which of them were read is open"),
         text("runs: ", describe(F.col("head"), F.col("n"))), F.col("path"), F.col("line"),
     )
     one = described(known.filter("n = 1").select("subject", "input"), ["subject"], "input")
     single = finding(
         one.join(sheet_paths(c), "subject", "left"), "R017", "info",
-        text(F.col("n"), " input(s) name an SRA experiment rather than a run, each containing exactly one run"),
+        text("inputs given as an experiment of one run: ", F.col("n")),
         describe(F.col("head"), F.col("n")), F.col("path"),
     )
     return several.unionByName(single)
@@ -754,9 +708,59 @@ def orphans(c: Corpus) -> DataFrame:
     return finding(
         rows, F.when(listed, "G020").otherwise("G021"), "warn",
         F.when(
-            listed, text(F.col("accession"), " (", F.col("_name"), ") is published and listed, but has no species directory")
-        ).otherwise(text(F.col("accession"), " is published but is neither in the repo nor listed")),
-    )
+            listed, text("no folder for ", F.col("accession"), " (", F.col("_name"), "), though listed and published")
+        ).otherwise(text("published without folder or listing: ", F.col("accession"))),
+    )
+
+
+# Which function computes which check.
+BUILDERS = {
+    "R001": config_wellformed,
+    "R002": source_usable,
+    "R003": name_is_a_name,
+    "R010": sheet_wellformed,
+    "R013": inputs_are_accessions,
+    "R015": inputs_not_local,
+    "R016": ids_are_biosamples,
+    "R020": readme_accession,
+    "G001": accession_published,
+    "G010": raw_vcf_present,
+    "G011": raw_vcf_indexed,
+    "G012": bams_present,
+    "G013": bams_indexed,
+    "G014": no_empty_objects,
+    "G017": readmes_in_sync,
+    "G018": readme_somewhere,
+    "S001": sheet_matches_vcf,
+    "S002": sheet_matches_bams,
+    "S003": vcf_matches_bams,
+    "S004": read_groups_match_names,
+    "S005": qc_matches_vcf,
+    "S006": published_sheet_matches,
+    "S007": libraries_match,
+    "F001": contigs_exist,
+    "F002": contig_lengths,
+    "F003": one_naming_scheme,
+    "F004": bam_matches_vcf,
+    "F005": bams_agree,
+    "F006": aligner_reference_matches,
+    "F008": contig_map_matches,
+    "F009": sequences_present,
+    "F011": molecules_present,
+    "F020": reference_is_canonical,
+    "F021": reference_form,
+    "F022": species_listed,
+    "F023": names_agree,
+    "F024": taxid_agrees,
+    "P001": ploidy_matches,
+    "P002": het_prior_matches,
+    "P003": caller_matches,
+    "E001": inputs_belong,
+    "E002": projects_documented,
+    "E003": projects_contribute,
+    "R017": inputs_unambiguous,
+}
+CATALOG = table_of_checks(CHECKS, BUILDERS, RETIRED)
 
 
 def validate(corpus: Corpus, only=None, skip=None, check_runs: bool = False) -> DataFrame:
@@ -765,6 +769,6 @@ def validate(corpus: Corpus, only=None, skip=None, check_runs: bool = False) ->
     The checks against the read archive run only when asked for. Tables that
     several of the selected checks share are computed when this is called.
     """
-    checks = catalog.select(only, skip, () if check_runs else ("runs",))
-    corpus.materialise(catalog.required(checks))
+    checks = pick(CATALOG, only, skip, () if check_runs else ("runs",))
+    corpus.materialise(slices_of(checks))
     return run_checks(corpus, checks, only=only, skip=skip).unionByName(lookup_findings(corpus.lookups))

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from tallymark.operators import gates
 from tallymark.operators.records import VOLATILE, assess, build_records, derive_state
 from tallymark.operators.upsert import change_only
-from tallymark.plans.catalog import catalog, validate
+from tallymark.plans.catalog import CATALOG, validate
 from tallymark.plans.corpus import Corpus
+from tallymark.plans.registry import pick, selection_digest
 from tallymark.session import cut
 
 
@@ -34,13 +35,13 @@ def run(
     ``digests`` comes from ``records.file_digests``. The findings are written
     once, since records and gates both read them.
     """
-    checks = catalog.select(only, skip, () if check_runs else ("runs",))
+    checks = pick(CATALOG, only, skip, () if check_runs else ("runs",))
     findings = cut(validate(corpus, only, skip, check_runs))
     states = derive_state(corpus.subjects, findings, corpus.status)
     records = build_records(
         states, digests, corpus.data, corpus.status,
-        checks_run=[i for c in checks for i in c.ids], checks_available=len(catalog.all),
-        catalog=catalog.digest(checks), tool_version=tool_version, validated_at=validated_at,
+        checks_run=[i for c in checks for i in c.ids], checks_available=len(CATALOG),
+        catalog=selection_digest(checks), tool_version=tool_version, validated_at=validated_at,
     )
     return Validation(findings, records)
 
@@ -52,10 +53,10 @@ def outcomes(previous: DataFrame, records: DataFrame) -> DataFrame:
 
 def stale(corpus: Corpus, records: DataFrame, digests: DataFrame, check_runs: bool = False) -> DataFrame:
     """Subjects to validate again, and why."""
-    checks = catalog.select(without_needs=() if check_runs else ("runs",))
+    checks = pick(CATALOG, lacking=() if check_runs else ("runs",))
     published = corpus.located.filter("accession IS NOT NULL").select("accession")
     reasons = assess(
-        corpus.subjects, records, digests, catalog=catalog.digest(checks), published=published, data=corpus.data
+        corpus.subjects, records, digests, catalog=selection_digest(checks), published=published, data=corpus.data
     )
     return reasons.filter("stale")
 
