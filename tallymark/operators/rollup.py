@@ -20,9 +20,6 @@ OPTIONAL_ARTIFACTS = ("filtered_vcf",)
 DEPTH_LADDER = (0, 5, 10, 15, 20, 30, 40, 60, 100)
 BAR_WIDTH = 30
 
-# Largest group whose members are joined into one text before hashing.
-FLAT_MEMBERS = 100_000
-
 
 def counts_with_zeros(
     df: DataFrame, column: str, values: Sequence[str], out: str = "n"
@@ -92,35 +89,26 @@ def optional_coverage(status: DataFrame, artifacts: Sequence[str] = OPTIONAL_ART
     return counted.select(F.inline(F.array(*pairs)), "n_published")
 
 
-def set_fingerprint(
-    df: DataFrame, subject: Sequence[str], item: str, flat: int = FLAT_MEMBERS
-) -> DataFrame:
-    """Per subject: member count and a digest of the sorted members.
+def set_fingerprint(df: DataFrame, subject: Sequence[str], item: str) -> DataFrame:
+    """Per subject: member count and one digest of its members, whatever its size.
 
-    Subjects of ordinary size get the digest of the newline-joined members.
-    Larger ones get the digest of 65,536 part digests, each over the members
-    whose own hash starts with the same four digits, so no task ever holds
-    a whole large subject.
+    Members are counted, dealt by the first four hex digits of their own hash,
+    and each of the parts that occur, 65,536 at most, is digested with its
+    members in order; the subject's digest is that of its parts. Copies collapse
+    before a part is gathered, so no task holds a whole subject.
     """
+
     def digest(parts: Column) -> Column:
         return sha256_tag(F.array_join(F.array_sort(parts), "\n"))
 
-    counts = df.groupBy(*subject).agg(F.count(F.lit(1)).alias("count"))
-    large = counts.filter(F.col("count") > flat)
-    small_rows = df.join(large, list(subject), "left_anti")
-    plain = small_rows.groupBy(*subject).agg(
-        F.count(F.lit(1)).alias("count"), digest(F.collect_list(item)).alias("digest")
-    )
-    leaves = (
-        df.join(large, list(subject), "left_semi")
-        .groupBy(*subject, F.substring(F.sha2(F.col(item), 256), 1, 4).alias("_leaf"))
-        .agg(F.count(F.lit(1)).alias("_n"), digest(F.collect_list(item)).alias("_d"))
+    part = F.substring(F.sha2("_item", 256), 1, 4)
+    members = df.groupBy(*subject, F.col(item).alias("_item")).agg(F.count(F.lit(1)).alias("_n"))
+    parts = members.groupBy(*subject, part.alias("_part")).agg(
+        F.sum("_n").alias("_n"), digest(F.collect_list(F.concat_ws("\t", "_item", "_n"))).alias("_d")
     )
-    tree = leaves.groupBy(*subject).agg(
-        F.sum("_n").alias("count"),
-        digest(F.collect_list(F.concat_ws(":", "_leaf", "_d"))).alias("digest"),
+    return parts.groupBy(*subject).agg(
+        F.sum("_n").alias("count"), digest(F.collect_list(F.concat_ws(":", "_part", "_d"))).alias("digest")
     )
-    return plain.unionByName(tree)
 
 
 def missing_share(

@@ -133,16 +133,25 @@ def test_histogram_trims_edges_and_keeps_inner_zeros(spark):
 def test_fingerprint_small_and_large_subjects(skewed):
     data, df = skewed
     members = df.select("g", F.concat_ws(":", "name", "pos").alias("item"))
-    flat = {r.g: (r["count"], r.digest) for r in rollup.set_fingerprint(members, ["g"], "item").collect()}
+    tree = lambda d: {r.g: (r["count"], r.digest) for r in rollup.set_fingerprint(d, ["g"], "item").collect()}
+    digest = lambda lines: "sha256:" + hashlib.sha256("\n".join(sorted(lines)).encode()).hexdigest()
+    found = tree(members)
     for g, names in groups([(r[0], f"{r[3]}:{r[1]}") for r in data], 0, 1).items():
-        text = "\n".join(sorted(names)).encode()
-        assert flat[g] == (len(names), "sha256:" + hashlib.sha256(text).hexdigest())
-    tree = lambda d: {r.g: (r["count"], r.digest) for r in rollup.set_fingerprint(d, ["g"], "item", 100).collect()}
-    split = tree(members)
-    assert split == tree(members.repartition(5))
-    assert split[0][0] == flat[0][0] and split[0][1] != flat[0][1]
-    assert tree(members.filter("item <> 'm-out:3000'"))[0] != split[0]
-    assert {g: v for g, v in split.items() if v[0] <= 100} == {g: v for g, v in flat.items() if v[0] <= 100}
+        parts = {}
+        for name in set(names):
+            parts.setdefault(hashlib.sha256(name.encode()).hexdigest()[:4], []).append(f"{name}\t{names.count(name)}")
+        assert found[g] == (len(names), digest(f"{part}:{digest(lines)}" for part, lines in parts.items()))
+    assert found == tree(members.repartition(5))
+    assert tree(members.filter("item <> 'm-out:3000'"))[0] != found[0]
+
+
+def test_fingerprint_of_a_large_subject_is_defined_the_same_way(spark):
+    big = spark.range(120_000).select(F.when(F.col("id") < 110_000, "big").otherwise("small").alias("g"), F.col("id").cast("string").alias("item"))
+    copies = big.unionByName(spark.range(60_000).select(F.lit("big").alias("g"), F.lit("same").alias("item")))
+    tree = lambda d: {r.g: (r["count"], r.digest) for r in rollup.set_fingerprint(d, ["g"], "item").collect()}
+    found = tree(copies)
+    assert found["big"][0] == 170_000 and found["small"] == tree(copies.filter("g = 'small'"))["small"]
+    assert found == tree(copies.repartition(3, "item"))
 
 
 def test_missing_share_warns_strictly_above(spark):
