@@ -34,15 +34,28 @@ def severity_rank(c: Column) -> Column:
     return rank_in(c, SEVERITIES)
 
 
+# Decimal numbers and the words for what is none; no hex, no type suffix.
+NUMBER = r"^[+-]?(\d[\d_]*\.?\d*([eE][+-]?\d+)?|\.\d+([eE][+-]?\d+)?)$"
+NO_FINITE = r"^[+-]?(?i:inf|infinity|nan)$"
+
+
 def as_number(c: Column) -> Column:
     """A double, or null when the text is no number."""
-    return strip(c.cast("string")).try_cast("double")
+    t = strip(c.cast("string"))
+    return F.when(t.rlike(NUMBER) | t.rlike(NO_FINITE), F.regexp_replace(t, r"(?<=\d)_(?=\d)", "").try_cast("double"))
 
 
-def as_whole(c: Column) -> Column:
-    """A bigint, or null when the number has a fraction."""
+def as_finite(c: Column) -> Column:
+    """A double that is neither infinite nor NaN, or null."""
     n = as_number(c)
-    return F.when(n == F.floor(n), n.try_cast("bigint"))
+    return F.when(F.abs(n) < float("inf"), n)
+
+
+def as_whole(c: Column) -> Column:
+    """A bigint, or null when the number has a fraction or is too large; digits are kept exactly."""
+    t = strip(c.cast("string"))
+    n = as_finite(c)
+    return F.coalesce(F.when(t.rlike(r"^[+-]?\d+$"), t.try_cast("bigint")), F.when((n == F.floor(n)) & (F.abs(n) < 2.0**63), n.try_cast("bigint")))
 
 
 def close_enough(a: Column, b: Column, tolerance: float = TOLERANCE) -> Column:

@@ -11,13 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session names it.
 
-    Only a session that names none, as in tests, gets a local one.
+    A folder set on the context counts as well. Without one only local mode
+    gets a temporary folder; on a cluster it would be another one on each machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
+        if context.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors reach")
         root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -27,6 +31,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows read back from a reliable checkpoint."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The same rows, written to the shared folder as Parquet, so that readers still prune columns and push filters."""
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

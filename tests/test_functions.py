@@ -95,3 +95,13 @@ def test_numbers(spark):
     assert not one(spark, vl.close_enough(F.lit(0.005), F.lit(0.0051)))
     assert one(spark, vl.severity_rank(F.lit("info"))) == 2
     assert one(spark, vl.severity_rank(F.lit("odd"))) is None
+
+
+def test_tolerant_numbers_take_what_is_a_decimal_number(spark):
+    from tallymark.functions import values
+
+    texts = ["1", " 2.50 ", "1e30", "NaN", "inf", "1d", "0x1p3", "", "x", "9007199254740993", "-7.0", "1_000", "9223372036854775808", ".5"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = rows.select("i", values.as_finite(F.col("t")).alias("f"), values.as_whole(F.col("t")).alias("w")).orderBy("i").collect()
+    assert [r["f"] for r in got] == [1.0, 2.5, 1e30, None, None, None, None, None, None, 9007199254740992.0, -7.0, 1000.0, 9.223372036854775808e18, 0.5]
+    assert [r["w"] for r in got] == [1, None, None, None, None, None, None, None, None, 9007199254740993, -7, 1000, None, None]
