@@ -329,6 +329,6 @@ class Corpus:
             "subject", F.coalesce("have", none).alias("have")
         )
 
-    def sampled_bams(self, size: int = 3, seed: str = "0") -> DataFrame:
+    def sampled_bams(self, size: int, seed: str = "0") -> DataFrame:
         """The alignment files whose headers are worth reading."""
         return stable_sample(self.bams, ["subject"], "sample", size, seed)

@@ -131,17 +131,17 @@ def parse_sheets(lines: DataFrame, source: str = "sheet") -> Scan:
         read,
         source,
         [
-            _when(blank, "blank_row", F.lit("blank row skipped")),
+            _when(blank, "blank_row", F.lit("nothing in this row")),
             _when(
                 short,
                 "short_row",
-                F.format_string(f"row has %d field(s), expected at least {len(SHEET_COLUMNS)}", width),
+                F.format_string(f"too short: %d of {len(SHEET_COLUMNS)} fields", width),
             ),
-            _when(usable & unnamed, "empty_sample_id", F.lit("sample_id is empty")),
+            _when(usable & unnamed, "empty_sample_id", F.lit("row without a sample_id")),
             _when(
                 usable & ~unnamed & odd_type,
                 "unknown_input_type",
-                F.concat(F.lit("input_type '"), "input_type", F.lit(f"' is not one of [{kinds}]")),
+                F.concat(F.lit("input_type is '"), "input_type", F.lit(f"', known are {kinds}")),
             ),
         ],
         F.col("line"),
@@ -157,7 +157,7 @@ def parse_sheets(lines: DataFrame, source: str = "sheet") -> Scan:
         [
             _issue(
                 "duplicate_run",
-                F.concat(F.lit("("), "sample_id", F.lit(", "), "input", F.lit(") appears more than once")),
+                F.concat(F.lit("input "), "input", F.lit(" is given again for "), "sample_id"),
             )
         ],
         F.col("line"),
@@ -170,7 +170,7 @@ def parse_sheets(lines: DataFrame, source: str = "sheet") -> Scan:
         source,
         [
             _when(
-                ~F.array_contains("header", c), "missing_column", F.lit(f"required column '{c}' is missing")
+                ~F.array_contains("header", c), "missing_column", F.lit(f"the header lacks '{c}'")
             )
             for c in SHEET_COLUMNS
         ],
@@ -209,23 +209,23 @@ def parse_configs(documents: DataFrame) -> Scan:
         read,
         "config",
         [
-            _when(F.col("body").isNull(), "parse_error", F.lit("document did not parse")),
+            _when(F.col("body").isNull(), "parse_error", F.lit("no readable document")),
             _when(
                 F.col("body").isNotNull() & ~ok,
                 "parse_error",
-                F.lit("top level of config is not a mapping"),
+                F.lit("the document holds no keys"),
             ),
-            _when(ok & ~F.col("_ref"), "missing_key", F.lit("config has no reference: block")),
+            _when(ok & ~F.col("_ref"), "missing_key", F.lit("nothing is said about the reference")),
             *[
                 _when(
                     ref & F.col(f"ref_{k}").isNull(),
                     "missing_key",
-                    F.lit(f"reference.{k} is missing or empty"),
+                    F.lit(f"no value for reference.{k}"),
                 )
                 for k in ("name", "source")
             ],
             *[
-                _when(ok & part(k).isNull(), "missing_key", F.lit(f"config has no {k}: key"))
+                _when(ok & part(k).isNull(), "missing_key", F.lit(f"the key {k} is not there"))
                 for k in ("samples", "variant_calling")
             ],
         ],
@@ -323,7 +323,7 @@ def parse_authority(lines: DataFrame) -> Scan:
         "authority",
         [
             _when(short, "short_row", F.format_string("row has %d field(s)", F.col("_width"))),
-            _when(incomplete, "incomplete_row", F.lit("scientific name or accession is empty")),
+            _when(incomplete, "incomplete_row", F.lit("entry without name or accession")),
             _when(
                 complete & (F.col("taxid") != "") & ~digits,
                 "bad_taxid",
@@ -340,7 +340,7 @@ def parse_authority(lines: DataFrame) -> Scan:
     duplicates = _issues(
         doubled,
         "authority",
-        [_issue("duplicate_accession", F.concat("accession", F.lit(" appears more than once")))],
+        [_issue("duplicate_accession", F.concat(F.lit("listed again: "), "accession"))],
         F.lit(None),
     )
     out = entries.select(

@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from tallymark.functions.text import blank_to_null, first_author, first_of_many, reference_line, strip
 from tallymark.sources.lines import cell, comma_fields, headed
 
-# Fixed value: hits considered per project.
-MAX_CANDIDATES = 5
 
 ASSEMBLY_REPORT = (
     "struct<reports:array<struct<accession:string,"
@@ -115,14 +113,14 @@ def _affiliations(hit: Column) -> Column:
 
 
 def literature_hits(answers: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Candidates and lookup states from ``(bioproject, content)``."""
+    """All candidates in their order (``pos``) and lookup states, from ``(bioproject, content)``."""
     parsed = answers.select(
         "bioproject", F.from_json("content", SEARCH).alias("body"), _unreadable().alias("_bad")
     )
     results = F.coalesce(F.col("body.resultList.result"), F.array())
     text = lambda c: F.coalesce(c, F.lit(""))
     hits = parsed.select(
-        "bioproject", F.posexplode(F.slice(results, 1, MAX_CANDIDATES)).alias("pos", "hit")
+        "bioproject", F.posexplode(results).alias("pos", "hit")
     )
     hit = F.col("hit")
     candidates = hits.select(

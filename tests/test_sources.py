@@ -51,7 +51,7 @@ def test_sheet_rows_and_issues(spark, tree):
         (3, "empty_sample_id"), (4, "blank_row"), (5, "unknown_input_type"), (6, "duplicate_run"), (7, "short_row")
     ]
     b = rows(scan.issues.filter("subject = 'birds/b'"), "line", "code", "message")
-    assert b == [(1, "missing_column", "required column 'input_type' is missing")]
+    assert b == [(1, "missing_column", "the header lacks 'input_type'")]
     assert rows(scan.rows.filter("subject = 'birds/b'"), "sample_id", "input_type", "input") == [("SAMN1", "", "SRR1")]
 
 
@@ -88,12 +88,12 @@ def test_configs(spark, tree):
         ("birds/e", None, None, None, None, None),
     ]
     assert rows(scan.issues, "subject", "code", "message") == [
-        ("birds/b", "missing_key", "config has no variant_calling: key"),
-        ("birds/b", "missing_key", "reference.name is missing or empty"),
-        ("birds/b", "missing_key", "reference.source is missing or empty"),
-        ("birds/c", "parse_error", "top level of config is not a mapping"),
-        ("birds/d", "parse_error", "document did not parse"),
-        ("birds/e", "missing_key", "config has no reference: block"),
+        ("birds/b", "missing_key", "no value for reference.name"),
+        ("birds/b", "missing_key", "no value for reference.source"),
+        ("birds/b", "missing_key", "the key variant_calling is not there"),
+        ("birds/c", "parse_error", "the document holds no keys"),
+        ("birds/d", "parse_error", "no readable document"),
+        ("birds/e", "missing_key", "nothing is said about the reference"),
     ]
 
 
@@ -224,7 +224,7 @@ def test_literature_and_works(spark):
         "bioproject string, content string",
     )
     candidates, states = registry.literature_hits(answers)
-    assert candidates.count() == 5
+    assert candidates.count() == 7
     first = candidates.filter("pos = 0").first()
     assert first.reference == "Doe J et al. (2020) A title J."
     assert first.affiliations == ["Uni A", "Uni B"]
