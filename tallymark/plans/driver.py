@@ -47,10 +47,6 @@ def since(column: str, start: str, end: str) -> Column:
     return (F.col(column) >= day(start)) & (F.col(column) < day(end))
 
 
-def year(column: str, y: int) -> Column:
-    return since(column, f"{y}-01-01", f"{y + 1}-01-01")
-
-
 def flag(c: Column) -> Column:
     return c.cast("int")
 

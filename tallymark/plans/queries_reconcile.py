@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import GENERIC_WORDS, describe, words_of
@@ -27,20 +28,25 @@ from tallymark.operators.reconcile import (
     set_equals,
     unlike_first,
 )
-from tallymark.plans.driver import cents, cents_sql, described_sql, flag, query, year
+from tallymark.plans.driver import cents, cents_sql, described_sql, flag, query
 from tallymark.plans.queries_sources import accession_of
 
 # -- set reconciliation -----------------------------------------------------
 
 
-def _customers_of(t, y: int) -> DataFrame:
-    buyers = t.orders.filter(year("o_orderdate", y)).select(F.col("o_custkey").alias("c_custkey"))
+URGENT = "o_orderpriority IN ('1-URGENT', '2-HIGH')"
+
+
+def _customers_of(t, urgent: bool) -> DataFrame:
+    """Customers with orders of either kind; the two kinds are all orders."""
+    kind = F.expr(URGENT) if urgent else ~F.expr(URGENT)
+    buyers = t.orders.filter(kind).select(F.col("o_custkey").alias("c_custkey"))
     return t.customer.join(buyers, "c_custkey", "left_semi").select("c_nationkey", "c_name")
 
 
-_SIDES_SQL = """WITH c AS (SELECT c_nationkey, c_name,
-    c_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1996) AS l,
-    c_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1997) AS r FROM customer)
+_SIDES_SQL = f"""WITH c AS (SELECT c_nationkey, c_name,
+    c_custkey IN (SELECT o_custkey FROM orders WHERE {URGENT}) AS l,
+    c_custkey IN (SELECT o_custkey FROM orders WHERE NOT ({URGENT})) AS r FROM customer)
   SELECT c_nationkey, count(*) FILTER (WHERE l) AS n_left, count(*) FILTER (WHERE r) AS n_right,
     count(*) FILTER (WHERE l AND NOT r) AS n_only_left, count(*) FILTER (WHERE r AND NOT l) AS n_only_right,
     """ + described_sql("c_name", "l AND NOT r") + " AS only_left, " + described_sql(
@@ -50,18 +56,19 @@ _SIDES_SQL = """WITH c AS (SELECT c_nationkey, c_name,
 
 @query("q_reconcile_sets", _SIDES_SQL)
 def reconciled(t) -> DataFrame:
-    return reconcile_sets(_customers_of(t, 1996), _customers_of(t, 1997), ["c_nationkey"], "c_name")
+    return reconcile_sets(_customers_of(t, True), _customers_of(t, False), ["c_nationkey"], "c_name")
 
 
-_BIG_NATIONS = "SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) >= 60"
+_BIG_NATIONS = "SELECT c_nationkey FROM customer GROUP BY 1 HAVING count(*) * 25 >= (SELECT count(*) FROM customer)"
 
 
 @query("q_reconcile_sets_guarded", f"SELECT * FROM ({_SIDES_SQL}) WHERE c_nationkey IN ({_BIG_NATIONS})")
 def reconciled_guarded(t) -> DataFrame:
-    complete = t.customer.groupBy("c_nationkey").count().filter("count >= 60")
-    left, right = (
-        _customers_of(t, y).join(complete, "c_nationkey", "left_semi") for y in (1996, 1997)
-    )
+    # One row for each nation: those with a twenty-fifth of all customers or more.
+    counts = t.customer.groupBy("c_nationkey").count()
+    share = F.col("count") * 25 >= F.sum("count").over(W.partitionBy())
+    complete = counts.withColumn("large", share).filter("large").select("c_nationkey")
+    left, right = (_customers_of(t, kind).join(complete, "c_nationkey", "left_semi") for kind in (True, False))
     return reconcile_sets(left, right, ["c_nationkey"], "c_name")
 
 
@@ -135,12 +142,13 @@ def value_mismatch(t) -> DataFrame:
 
 @query(
     "q_asymmetric_containment",
-    """SELECT DISTINCT l_partkey FROM lineitem WHERE year(l_shipdate) = 1996
-    AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE year(l_shipdate) = 1997)""",
+    """SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 1
+    AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity <= 1)""",
 )
 def asymmetric_containment(t) -> DataFrame:
-    shipped = lambda y: t.lineitem.filter(year("l_shipdate", y)).select("l_partkey").distinct()
-    return missing_from(shipped(1996), shipped(1997), ["l_partkey"])
+    """Parts that were never sold singly."""
+    sold = lambda how: t.lineitem.filter(f"l_quantity {how} 1").select("l_partkey").distinct()
+    return missing_from(sold(">"), sold("<="), ["l_partkey"])
 
 
 # -- naming schemes ---------------------------------------------------------
@@ -229,17 +237,17 @@ def map_diff(t) -> DataFrame:
 
 @query(
     "q_all_equal_first",
-    """WITH e AS (SELECT DISTINCT s_nationkey, s_suppkey, p_brand FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
-        JOIN part ON p_partkey = l_partkey WHERE l_quantity = 50),
+    """WITH e AS (SELECT DISTINCT s_nationkey, s_suppkey, p_brand || '/' || p_size AS p_brand FROM lineitem JOIN supplier ON s_suppkey = l_suppkey
+        JOIN part ON p_partkey = l_partkey),
     m AS (SELECT s_nationkey, s_suppkey, list_sort(list(p_brand)) AS brands FROM e GROUP BY 1, 2)
     SELECT s_nationkey, s_suppkey, CAST(brands <> first_value(brands) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INT) AS differs FROM m""",
 )
 def all_equal_first(t) -> DataFrame:
     entries = (
-        t.lineitem.filter("l_quantity = 50").select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
+        t.lineitem.select(F.col("l_suppkey").alias("s_suppkey"), F.col("l_partkey").alias("p_partkey"))
         .distinct()
         .join(t.supplier.select("s_suppkey", "s_nationkey"), "s_suppkey")
-        .join(t.part.select("p_partkey", "p_brand"), "p_partkey")
+        .join(t.part.select("p_partkey", F.concat_ws("/", "p_brand", "p_size").alias("p_brand")), "p_partkey")
     )
     return unlike_first(entries, ["s_nationkey"], "s_suppkey", ["p_brand"]).withColumn("differs", flag(F.col("differs")))
 
@@ -336,25 +344,23 @@ def owner_check(t) -> DataFrame:
 
 @query(
     "q_documented_vs_observed",
-    """WITH d AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer WHERE c_acctbal > 9000),
-    o AS (SELECT DISTINCT c_nationkey, c_mktsegment FROM customer JOIN orders ON o_custkey = c_custkey WHERE o_totalprice > 490000
-      AND c_nationkey IN (SELECT c_nationkey FROM d)),
-    b AS (SELECT coalesce(d.c_nationkey, o.c_nationkey) AS c_nationkey, coalesce(d.c_mktsegment, o.c_mktsegment) AS seg,
-      d.c_mktsegment IS NOT NULL AS l, o.c_mktsegment IS NOT NULL AS r FROM d FULL JOIN o ON d.c_nationkey = o.c_nationkey AND d.c_mktsegment = o.c_mktsegment)
-    SELECT c_nationkey, count(*) FILTER (WHERE l) AS n_left, count(*) FILTER (WHERE r) AS n_right,
+    """WITH d AS (SELECT DISTINCT l_orderkey, 'S' || l_suppkey AS supplier FROM lineitem WHERE l_linestatus = 'F'),
+    o AS (SELECT DISTINCT l_orderkey, 'S' || l_suppkey AS supplier FROM lineitem WHERE l_linestatus <> 'F'
+      AND l_orderkey IN (SELECT l_orderkey FROM d)),
+    b AS (SELECT coalesce(d.l_orderkey, o.l_orderkey) AS l_orderkey, coalesce(d.supplier, o.supplier) AS seg,
+      d.supplier IS NOT NULL AS l, o.supplier IS NOT NULL AS r FROM d FULL JOIN o ON d.l_orderkey = o.l_orderkey AND d.supplier = o.supplier)
+    SELECT l_orderkey, count(*) FILTER (WHERE l) AS n_left, count(*) FILTER (WHERE r) AS n_right,
       count(*) FILTER (WHERE NOT r) AS n_only_left, count(*) FILTER (WHERE NOT l) AS n_only_right, """
     + described_sql("seg", "NOT r") + " AS only_left, " + described_sql("seg", "NOT l") + " AS only_right "
     + "FROM b GROUP BY 1 HAVING count(*) FILTER (WHERE NOT (l AND r)) > 0",
 )
 def documented_vs_observed(t) -> DataFrame:
-    declared = t.customer.filter("c_acctbal > 9000").select("c_nationkey", "c_mktsegment").distinct()
-    big = t.orders.filter("o_totalprice > 490000").select(F.col("o_custkey").alias("c_custkey"))
-    observed = (
-        t.customer.join(big, "c_custkey", "left_semi")
-        .select("c_nationkey", "c_mktsegment")
-        .join(declared.select("c_nationkey"), "c_nationkey", "left_semi")
-    )
-    return reconcile_sets(declared, observed, ["c_nationkey"], "c_mktsegment")
+    """Suppliers of finished lines against those of open ones, where an order has finished lines."""
+    rows = t.lineitem.select("l_orderkey", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("supplier"), "l_linestatus")
+    declared = rows.filter("l_linestatus = 'F'").select("l_orderkey", "supplier").distinct()
+    observed = rows.filter("l_linestatus <> 'F'").select("l_orderkey", "supplier").distinct()
+    observed = observed.join(declared.select("l_orderkey").distinct(), "l_orderkey", "left_semi")
+    return reconcile_sets(declared, observed, ["l_orderkey"], "supplier")
 
 
 @query(
@@ -417,14 +423,14 @@ def membership(t) -> DataFrame:
 
 @query(
     "q_set_ops",
-    """WITH k AS (SELECT l_partkey, bool_or(year(l_shipdate) = 1996) AS l, bool_or(year(l_shipdate) = 1997) AS r FROM lineitem GROUP BY 1)
+    """WITH k AS (SELECT l_partkey, bool_or(l_quantity <= 1) AS l, bool_or(l_quantity > 1) AS r FROM lineitem GROUP BY 1)
     SELECT 'union' AS op, count(*) AS n, min(l_partkey) AS first_key FROM k WHERE l OR r
     UNION ALL SELECT 'intersect', count(*), min(l_partkey) FROM k WHERE l AND r
     UNION ALL SELECT 'except', count(*), min(l_partkey) FROM k WHERE l AND NOT r
     UNION ALL SELECT 'symmetric', count(*), min(l_partkey) FROM k WHERE l <> r""",
 )
 def set_ops(t) -> DataFrame:
-    sides = [t.lineitem.filter(year("l_shipdate", y)).select("l_partkey") for y in (1996, 1997)]
+    sides = [t.lineitem.filter(f"l_quantity {how} 1").select("l_partkey") for how in ("<=", ">")]
     flags = presence(*sides, ["l_partkey"])
     ops = {
         "union": F.lit(True),

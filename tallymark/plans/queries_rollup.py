@@ -121,10 +121,16 @@ def corpus_table(t) -> DataFrame:
 # -- fingerprints and shares ------------------------------------------------
 
 
+# A digest of part digests, as the operator defines it.
+FINGERPRINT_SQL = """SELECT %(k)s, CAST(sum(n) AS BIGINT) AS count, 'sha256:' || sha256(string_agg(part || ':sha256:' || d, chr(10) ORDER BY part)) AS digest
+    FROM (SELECT %(k)s, part, sum(n) AS n, sha256(string_agg(item || chr(9) || n, chr(10) ORDER BY item || chr(9) || n)) AS d
+      FROM (SELECT %(k)s, item, substr(sha256(item), 1, 4) AS part, count(*) AS n
+        FROM (SELECT %(k)s, l_partkey || ':' || CAST(l_quantity AS BIGINT) AS item FROM lineitem) GROUP BY ALL) GROUP BY ALL) GROUP BY ALL"""
+
+
 @query(
     "q_set_fingerprint",
-    """SELECT l_orderkey, count(*) AS count, 'sha256:' || sha256(array_to_string(list_sort(list(l_partkey || ':' || CAST(l_quantity AS BIGINT))), chr(10))) AS digest
-    FROM lineitem GROUP BY 1""",
+    FINGERPRINT_SQL % {"k": "l_orderkey"},
 )
 def fingerprints(t) -> DataFrame:
     item = F.concat_ws(":", F.col("l_partkey").cast("string"), F.col("l_quantity").cast("bigint").cast("string"))
@@ -133,8 +139,7 @@ def fingerprints(t) -> DataFrame:
 
 @query(
     "q_data_staleness",
-    """WITH d AS (SELECT l_orderkey, l_linestatus, sha256(array_to_string(list_sort(list(l_partkey || ':' || CAST(l_quantity AS BIGINT))), chr(10))) AS digest
-      FROM lineitem GROUP BY 1, 2)
+    f"""WITH d AS ({FINGERPRINT_SQL % {'k': 'l_orderkey, l_linestatus'}})
     SELECT coalesce(a.l_orderkey, b.l_orderkey) AS l_orderkey, CAST(a.digest IS DISTINCT FROM b.digest AS INT) AS stale
     FROM (SELECT * FROM d WHERE l_linestatus = 'F') a FULL JOIN (SELECT * FROM d WHERE l_linestatus = 'O') b ON a.l_orderkey = b.l_orderkey""",
 )
@@ -309,12 +314,10 @@ def sampled(t) -> DataFrame:
     "q_findings_ranked",
     f"""SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY
       CASE {SEVERITY_SQL} WHEN 'error' THEN 0 WHEN 'warn' THEN 1 WHEN 'info' THEN 2 ELSE 3 END, event_id) AS seq
-    FROM events WHERE event_type <> 'click'""",
+    FROM events""",
 )
 def findings_ranked(t) -> DataFrame:
-    found = t.events.filter("event_type <> 'click'").select(
-        "user_id", "event_id", severity_rank(severity_of()).alias("_rank")
-    )
+    found = t.events.select("user_id", "event_id", F.coalesce(severity_rank(severity_of()), F.lit(3)).alias("_rank"))
     cut = [F.col("_rank"), F.floor(F.col("event_id") / 65536)]
     return numbered(found, ["user_id"], cut, ["_rank", "event_id"]).select("user_id", "event_id", "seq")
 
@@ -335,6 +338,25 @@ def queue_head(t) -> DataFrame:
     return top.withColumn("place", F.row_number().over(place).cast("bigint"))
 
 
+@query(
+    "q_rank_queue_all",
+    """SELECT bioproject, weight, n_subjects, row_number() OVER (ORDER BY weight DESC, n_subjects DESC, bioproject) AS place FROM
+    (SELECT p_brand || '/' || p_type AS bioproject, count(*) AS weight, count(DISTINCT p_size) AS n_subjects FROM part GROUP BY 1)""",
+)
+def whole_queue(t) -> DataFrame:
+    """Every project's place: numbered within its weight, after all that are heavier."""
+    projects = t.part.groupBy(F.concat_ws("/", "p_brand", "p_type").alias("bioproject")).agg(
+        F.count(F.lit(1)).alias("weight"), F.count_distinct("p_size").alias("n_subjects")
+    )
+    # One row for each weight that occurs.
+    heavier = projects.groupBy("weight").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_before", F.coalesce(F.sum("_n").over(W.orderBy(F.desc("weight")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    )
+    same = W.partitionBy("weight").orderBy(F.desc("n_subjects"), "bioproject")
+    placed = projects.withColumn("_place", F.row_number().over(same)).join(heavier, "weight")
+    return placed.select("bioproject", "weight", "n_subjects", (F.col("_before") + F.col("_place")).alias("place"))
+
+
 # -- facts worth showing ----------------------------------------------------
 
 

@@ -49,7 +49,7 @@ from tallymark.plans.driver import (
     since,
     user_days,
 )
-from tallymark.plans.registry import Check, finding, patterns_of, skipped, text
+from tallymark.plans.registry import Check, finding, prefixes, skipped, text
 from tallymark.sources.lines import is_blank
 from tallymark.sources.metadata import labelled_value
 from tallymark.sources.observed import classify_lines, tag_records
@@ -153,18 +153,18 @@ def param_row(t) -> DataFrame:
 
 @query(
     "q_authority_issues",
-    """SELECT 'duplicate_name' AS code, p_name AS key, count(*) AS n FROM part GROUP BY 2 HAVING count(*) > 30
+    """SELECT 'duplicate_name' AS code, p_name AS key, count(*) AS n FROM part GROUP BY 2 HAVING count(*) > 1
     UNION ALL
     SELECT 'duplicate_key', p_brand || '-' || p_size, count(*) FROM part GROUP BY 2 HAVING count(*) > 1""",
 )
 def authority_issues(t) -> DataFrame:
-    def repeated(key, code, above):
+    def repeated(key, code):
         counted = t.part.groupBy(key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
-        return counted.filter(F.col("n") > above).select(F.lit(code).alias("code"), "key", "n")
+        return counted.filter(F.col("n") > 1).select(F.lit(code).alias("code"), "key", "n")
 
     brand_size = F.concat_ws("-", "p_brand", F.col("p_size").cast("string"))
-    return repeated(F.col("p_name"), "duplicate_name", 30).unionByName(
-        repeated(brand_size, "duplicate_key", 1)
+    return repeated(F.col("p_name"), "duplicate_name").unionByName(
+        repeated(brand_size, "duplicate_key")
     )
 
 
@@ -381,6 +381,10 @@ def unpivot_metrics(t) -> DataFrame:
     )
 
 
+# After all orders: the second state of the table covers the whole of it.
+FUTURE = "2100-01-01"
+
+
 def _customer_totals(t, until: str) -> DataFrame:
     return (
         t.orders.filter(since("o_orderdate", "1900-01-01", until))
@@ -397,7 +401,7 @@ _TOTALS_SQL = f"""SELECT o_custkey AS c_custkey, count(*) AS n_orders,
   CAST(sum({cents_sql('o_totalprice')}) AS BIGINT) AS total, '%s' AS stamp FROM orders
   WHERE o_orderdate < TIMESTAMP '%s' GROUP BY 1"""
 _UPSERT_SQL = """WITH o AS (""" + _TOTALS_SQL % ("1996-01-01", "1996-01-01") + """),
-n AS (SELECT * FROM (""" + _TOTALS_SQL % ("1996-03-01", "1996-03-01") + """) %s),
+n AS (SELECT * FROM (""" + _TOTALS_SQL % (FUTURE, FUTURE) + """) %s),
 p AS (SELECT coalesce(o.c_custkey, n.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NULL THEN 'kept'
   WHEN o.c_custkey IS NULL THEN 'new' WHEN o.n_orders = n.n_orders AND o.total = n.total THEN 'unchanged' ELSE 'changed' END AS outcome,
   o.n_orders AS on_, n.n_orders AS nn, o.total AS ot, n.total AS nt, o.stamp AS os, n.stamp AS ns
@@ -409,7 +413,7 @@ SELECT c_custkey, outcome, CASE WHEN outcome IN ('new', 'changed') THEN nn ELSE
 
 @query("q_upsert_changed_only", _UPSERT_SQL % "")
 def upsert_changed_only(t) -> DataFrame:
-    old, new = _customer_totals(t, "1996-01-01"), _customer_totals(t, "1996-03-01")
+    old, new = _customer_totals(t, "1996-01-01"), _customer_totals(t, FUTURE)
     return change_only(old, new, ["c_custkey"], ["stamp"])
 
 
@@ -418,7 +422,7 @@ def upsert_changed_only(t) -> DataFrame:
     _UPSERT_SQL % "WHERE c_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)",
 )
 def upsert_skip_failed(t) -> DataFrame:
-    old, new = _customer_totals(t, "1996-01-01"), _customer_totals(t, "1996-03-01")
+    old, new = _customer_totals(t, "1996-01-01"), _customer_totals(t, FUTURE)
     failed = t.customer.filter("c_acctbal < 0")
     return change_only(old, without_failed(new, failed, ["c_custkey"]), ["c_custkey"], ["stamp"])
 
@@ -602,7 +606,7 @@ def zero_size(t) -> DataFrame:
       OR starts_with(event_type, 'v')) AND NOT starts_with(event_type, 'cl') GROUP BY 1""",
 )
 def select_by_prefix(t) -> DataFrame:
-    only, skip = patterns_of(["p", " c", "v", ""]), patterns_of(["cl", " "])
+    only, skip = prefixes(["p", " c", "v", ""]), prefixes(["cl", " "])
     begins = lambda ps: reduce(lambda a, b: a | b, [F.col("event_type").startswith(p) for p in ps])
     return t.events.filter(begins(only) & ~begins(skip)).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
