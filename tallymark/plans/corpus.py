@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,7 +107,7 @@ class Corpus:
             if slices is None or slices & set(wanted):
                 for name in names:
                     setattr(self, name, cut(getattr(self, name)))
-        self.availability = cut(self.availability)
+        self.availability = cut(self.availability_of(slices))
         return self
 
     def failed(self, lookup: str) -> DataFrame:
@@ -288,46 +288,57 @@ class Corpus:
     @cached_property
     def availability(self) -> DataFrame:
         """``subject, have``: the slices at hand for each subject."""
-        def of(df: DataFrame, name: str) -> DataFrame:
-            return df.select("subject", F.lit(name).alias("slice"))
+        return self.availability_of(None)
 
+    def availability_of(self, slices: set[str] | None) -> DataFrame:
+        """``subject, have`` for the given slices alone; tables behind others are not read."""
         unread = ("missing_file", "unreadable", "parse_error")
-        readable = self.issues.filter((F.col("source") == "sheet") & ~F.col("code").isin(*unread))
-        archive = self.sheet.filter(is_archive_input(F.col("input")))
-        listed = self.artifacts.filter("listed")
-        declared = self.declared.filter("declared IS NOT NULL")
-        known = self.assemblies.filter("error IS NULL AND accession IS NOT NULL")
-        parts = [
-            of(self.config.filter("parsed"), "config"),
-            of(self.sheet, "sheet"),
-            of(readable, "sheet"),
-            of(self.readme, "readme"),
-            of(listed, "objects"),
-            of(self.vcf_lines, "vcf_header"),
-            of(self.bam_records, "bam_headers"),
-            of(self.qc_samples, "qc_samples"),
-            of(self.published_sheet, "published_sheet"),
-            of(self.contig_map, "contig_map"),
-            of(declared.join(known.select(F.col("queried").alias("declared")), "declared", "left_semi"), "assembly"),
-            of(
-                declared.join(self.assembly_seqs.select(F.col("accession").alias("declared")), "declared", "left_semi"),
-                "assembly_seqs",
-            ),
-        ]
+
+        def read_sheets() -> DataFrame:
+            reported = self.issues.filter((F.col("source") == "sheet") & ~F.col("code").isin(*unread))
+            return self.sheet.select("subject").unionByName(reported.select("subject"))
+
+        def declared() -> DataFrame:
+            return self.declared.filter("declared IS NOT NULL")
+
+        def known(table: DataFrame, key: str) -> DataFrame:
+            return declared().join(table.select(F.col(key).alias("declared")), "declared", "left_semi")
+
+        def archive() -> DataFrame:
+            return self.sheet.filter(is_archive_input(F.col("input"))).join(self.failed("runs"), "subject", "left_anti")
+
+        branches = {
+            "config": lambda: self.config.filter("parsed"),
+            "sheet": read_sheets,
+            "readme": lambda: self.readme,
+            "objects": lambda: self.artifacts.filter("listed"),
+            "vcf_header": lambda: self.vcf_lines,
+            "bam_headers": lambda: self.bam_records,
+            "qc_samples": lambda: self.qc_samples,
+            "published_sheet": lambda: self.published_sheet,
+            "contig_map": lambda: self.contig_map,
+            "assembly": lambda: known(self.assemblies.filter("error IS NULL AND accession IS NOT NULL"), "queried"),
+            "assembly_seqs": lambda: known(self.assembly_seqs, "accession"),
+        }
+        # Without the table these are at hand for nobody.
         if "authority" in self.given:
-            parts.append(of(self.subjects, "authority"))
+            branches["authority"] = lambda: self.subjects
         if "runs" in self.given:
-            parts.append(of(archive.join(self.failed("runs"), "subject", "left_anti"), "runs"))
+            branches["runs"] = archive
         if "objects" in self.given:
-            parts.append(of(self.located, "status"))
-        union = parts[0]
-        for p in parts[1:]:
-            union = union.unionByName(p)
-        have = union.groupBy("subject").agg(F.collect_set("slice").alias("have"))
+            branches["status"] = lambda: self.located
+        subjects = self.subjects.select("subject")
+        # Each slice is reduced to its subjects before the slices meet.
+        parts = [
+            rows().select("subject").distinct().withColumn("slice", F.lit(name))
+            for name, rows in branches.items()
+            if slices is None or name in slices
+        ]
         none = F.array().cast("array<string>")
-        return self.subjects.select("subject").join(have, "subject", "left").select(
-            "subject", F.coalesce("have", none).alias("have")
-        )
+        if not parts:
+            return subjects.withColumn("have", none)
+        have = reduce(DataFrame.unionByName, parts).groupBy("subject").agg(F.collect_set("slice").alias("have"))
+        return subjects.join(have, "subject", "left").select("subject", F.coalesce("have", none).alias("have"))
 
     def sampled_bams(self, size: int, seed: str = "0") -> DataFrame:
         """The alignment files whose headers are worth reading."""

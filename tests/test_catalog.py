@@ -177,3 +177,21 @@ def test_no_number_ends_the_run(spark, root, ploidy):
     config = [(*row[:3], ploidy, *row[4:]) for row in CONFIG]
     found = run_checks(read_corpus(spark, root, config=config), pick(CATALOG, ["P001"]), only=["P001"])
     assert {r[0] for r in rows(found.filter("severity <> 'skipped'"), "severity")} <= {"warn"}
+
+
+def test_selection_leaves_other_tables_alone(spark, root):
+    corpus = read_corpus(spark, root)
+    read = []
+    tables = {name: getattr(corpus, name) for name in ("vcf_lines", "readme")}
+
+    class Watched:
+        def __init__(self, name):
+            self.name = name
+
+        def __getattr__(self, item):
+            read.append(self.name)
+            return getattr(tables[self.name], item)
+
+    corpus.vcf_lines, corpus.readme = Watched("vcf_lines"), Watched("readme")
+    assert corpus.availability_of({"config"}).count() == 3 and read == []
+    assert corpus.availability_of({"readme"}).count() == 3 and set(read) == {"readme"}
