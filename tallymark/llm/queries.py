@@ -107,6 +107,64 @@ def op7_licenses(spark, sf_dir):
     return licenses.scanned(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(v) if isinstance(v, int) else f"'{v}'" for v in row) + ")" for row in rows)
+
+
+ORACLES["op7_licenses"] = (
+    f"""
+WITH phrase(label, words) AS (VALUES {_values((label, phrase) for phrase, label in licenses.PHRASES.items())}),
+tpl(t, label, text, key) AS (VALUES {_values((i, *one) for i, one in enumerate(licenses.TEMPLATES))}),
+""" + r"""doc AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM doc),
+pw AS (SELECT label, words, unnest(string_split(words, ' ')) AS word, unnest(range(len(string_split(words, ' ')))) AS k FROM phrase),
+place AS (
+  SELECT d.doc_id, p.label, d.pos - p.k AS pos FROM dw d JOIN pw p ON d.word = p.word
+  GROUP BY d.doc_id, p.label, p.words, d.pos - p.k HAVING count(*) = len(string_split(p.words, ' '))),
+base AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word FROM place GROUP BY doc_id),
+tw AS (SELECT t, unnest(string_split(text, ' ')) AS word, unnest(range(len(string_split(text, ' ')))) AS pos FROM tpl),
+df AS (SELECT word, count(DISTINCT doc_id) AS df FROM dw WHERE word IN (SELECT word FROM tw) GROUP BY word),
+idf AS (
+  SELECT word, ln(((SELECT count(*) FROM documents) + 1) / (coalesce(df, 0) + 1)) + 1e-3 AS idf
+  FROM (SELECT DISTINCT word FROM tw) LEFT JOIN df USING (word)),
+ix AS (
+  SELECT t, word, idf FROM (SELECT DISTINCT t, word FROM tw) JOIN idf USING (word)
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY idf DESC, word) <= 6),
+present AS (SELECT DISTINCT doc_id, word FROM dw WHERE word IN (SELECT word FROM ix)),
+chosen AS (
+  SELECT doc_id, t, word FROM present JOIN ix USING (word)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, t ORDER BY idf DESC, word) <= 4),
+vote AS (
+  SELECT c.doc_id, c.t, d.pos - tw.pos AS off FROM chosen c
+  JOIN dw d ON d.doc_id = c.doc_id AND d.word = c.word JOIN tw ON tw.t = c.t AND tw.word = c.word
+  GROUP BY c.doc_id, c.t, d.pos - tw.pos HAVING count(DISTINCT c.word) >= 3),
+key AS (
+  SELECT t, unnest(string_split(key, ' ')) AS word, len(string_split(key, ' ')) AS n,
+         unnest(range(len(string_split(key, ' ')))) + len(string_split(trim(split_part(' ' || text || ' ', ' ' || key || ' ', 1)), ' '))
+           - CASE WHEN trim(split_part(' ' || text || ' ', ' ' || key || ' ', 1)) = '' THEN 1 ELSE 0 END AS pos
+  FROM tpl),
+verified AS (
+  SELECT v.doc_id, v.t, v.off FROM vote v JOIN key k ON k.t = v.t
+  JOIN dw d ON d.doc_id = v.doc_id AND d.pos = v.off + k.pos AND d.word = k.word
+  GROUP BY v.doc_id, v.t, v.off, k.n HAVING count(*) = k.n),
+total AS (SELECT t, sum(idf) AS total FROM tw JOIN idf USING (word) GROUP BY t),
+scored AS (
+  SELECT v.doc_id, v.t, v.off, round(least(sum(i.idf) / any_value(total.total), 1.0), 6) AS score
+  FROM verified v JOIN tw ON tw.t = v.t JOIN dw d ON d.doc_id = v.doc_id AND d.pos = v.off + tw.pos AND d.word = tw.word
+  JOIN idf i ON i.word = tw.word JOIN total ON total.t = v.t GROUP BY v.doc_id, v.t, v.off),
+best AS (SELECT doc_id, max(score) AS score FROM scored GROUP BY doc_id),
+base_label AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM (SELECT DISTINCT doc_id, label FROM place) GROUP BY doc_id),
+every AS (SELECT doc_id, label FROM place UNION SELECT doc_id, label FROM scored JOIN tpl USING (t)),
+label AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(b.n_base, 0) AS n_base, b.first_word, b.last_word,
+       coalesce(bl.labels, '') AS base_labels, coalesce(l.labels, '') AS labels, coalesce(best.score, 0.0) AS score
+FROM doc d LEFT JOIN base b USING (doc_id) LEFT JOIN base_label bl USING (doc_id) LEFT JOIN label l USING (doc_id) LEFT JOIN best USING (doc_id)
+"""
+)
+
+
 @query
 def op8_lm_score(spark, sf_dir):
     return lm_score.pseudo_likelihood(table(spark, sf_dir, "documents"))
