@@ -23,7 +23,9 @@ first. No documents give no blocks. Other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +40,11 @@ from tallymark.llm.elias_fano import EliasFano
 
 BLOCK_IDS = 1 << 18
 # White space beyond what separates words here.
-UNICODE_SPACE = regex.compile(r"[\s\x1c-\x1f]")
+UNICODE_SPACE = regex.compile(r"[^\S ]|[\x1c-\x1f]")
 # Words whose ids a Python worker remembers.
 REMEMBERED = 1_000_000
+# Documents whose words are learned together.
+TOGETHER = 1_000
 
 
 def block_schema(id_type: T.DataType) -> T.StructType:
@@ -67,47 +71,63 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
+        self.code = "H" if self.width == 2 else "I"
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.remembered, self.known, self.pieces = remembered, {}, {}
 
     def _learn(self, words: list[bytes]) -> None:
         """Normalise and split all words in one go, then run the model once for each new piece."""
-        plain, odd = [], []
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            (odd if any(a in text for a in self.added) or UNICODE_SPACE.search(text) else plain).append((word, text))
-        for word, text in odd:
-            self.known[word] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-        if not plain:
+        texts = [word.decode("utf-8", "replace") for word in words]
+        joined = " ".join(texts)
+        if any(a in joined for a in self.added) or UNICODE_SPACE.search(joined):
+            odd = {i for i, text in enumerate(texts) if any(a in text for a in self.added) or UNICODE_SPACE.search(text)}
+            for i in odd:
+                ids = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+                self.known[words[i]] = array(self.code, ids).tobytes()
+            words = [word for i, word in enumerate(words) if i not in odd]
+            joined = " ".join(text for i, text in enumerate(texts) if i not in odd)
+        if not words:
             return
-        joined = " ".join(text for _, text in plain)
         if self.tokenizer.normalizer is not None:
             joined = self.tokenizer.normalizer.normalize_str(joined)
-        ends = np.cumsum([len(one) + 1 for one in joined.split(" ")])
-        if len(ends) != len(plain):
+        lengths = list(map(len, joined.split(" ")))
+        if len(lengths) != len(words):
             raise ValueError("the normalizer changes white space")
-        ids: list[list[bytes]] = [[] for _ in plain]
-        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(joined)
-        for at, (piece, _) in zip(np.searchsorted(ends, [o[0] for _, o in pieces], "right").tolist(), pieces, strict=True):
-            found = self.pieces.get(piece)
-            if found is None:
-                found = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], self.kind).tobytes()
-                self.pieces[piece] = found
-            ids[at].append(found)
-        for (word, _), one in zip(plain, ids, strict=True):
-            self.known[word] = b"".join(one)
-        if len(self.pieces) > self.remembered:
-            self.pieces.clear()
-
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        new = set(words).difference(self.known)
+        # Pieces come in order; a word ends where the next one begins.
+        found, learned, own, last, end = self.pieces, [], [], 0, lengths[0]
+        for piece, (at, _) in self.tokenizer.pre_tokenizer.pre_tokenize_str(joined):
+            while at > end:
+                learned.append(b"".join(own))
+                own = []
+                last += 1
+                end += lengths[last] + 1
+            ids = found.get(piece)
+            if ids is None:
+                ids = found[piece] = array(self.code, [t.id for t in self.tokenizer.model.tokenize(piece)]).tobytes()
+            own.append(ids)
+        learned.append(b"".join(own))
+        learned += [b""] * (len(words) - len(learned))
+        self.known.update(zip(words, learned, strict=True))
+        if len(found) > self.remembered:
+            found.clear()
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Meet all words of the texts, each given as its words, at once."""
+        new = set(chain.from_iterable(texts)).difference(self.known)
         if new:
             if len(self.known) + len(new) > self.remembered:
                 self.known.clear()
-                new = set(words)
+                new = set(chain.from_iterable(texts))
             self._learn(list(new))
+
+    def encode(self, text: bytes) -> bytes:
+        """Ids of one text."""
+        words = text.split()
+        self.learn([words])
+        return self.joined(words)
+
+    def joined(self, words: list[bytes]) -> bytes:
+        """Ids of words that have been learned."""
         return b"".join(map(self.known.__getitem__, words))
 
 
@@ -134,18 +154,21 @@ def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema) -> Callab
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-            for i, one in enumerate(texts):
-                piece = encoder.encode(one.as_py() or b"") + end
-                pieces.append(piece)
-                doc_ids.append(ids[i])
-                lengths.append(len(piece) // encoder.width)
-                held += lengths[-1]
-                if held >= block_ids:
-                    yield full()
-                    before += held
-                    pieces, doc_ids, lengths, held = [], [], [], 0
-                    block += 1
+            for first in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(first, TOGETHER)
+                texts = [(one or b"").split() for one in part.column(1).cast(pa.binary()).to_pylist()]
+                encoder.learn(texts)
+                for doc_id, words in zip(part.column(0).to_pylist(), texts, strict=True):
+                    piece = encoder.joined(words) + end
+                    pieces.append(piece)
+                    doc_ids.append(doc_id)
+                    lengths.append(len(piece) // encoder.width)
+                    held += lengths[-1]
+                    if held >= block_ids:
+                        yield full()
+                        before += held
+                        pieces, doc_ids, lengths, held = [], [], [], 0
+                        block += 1
         if doc_ids:
             yield full()
 
