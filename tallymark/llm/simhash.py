@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallymark.llm import near_texts
 from tallymark.llm.common import fresh, ship, stored, text_key
 from tallymark.llm.components import components
 
@@ -190,11 +191,13 @@ def hexadecimal(fp: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """One document of each component, with its own columns: the row with the smallest id.
+    """One document of each group of near texts, with its own columns: the row with the smallest id.
 
-    Rows that agree in id and text are one document.
+    Near texts share four fifths of their five-word shingles (``near_texts``), which
+    fingerprints two bits apart do not find. Rows that agree in id and text are one document.
     """
-    found = stored(near_duplicates(docs, text, id_col), "near-duplicates")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text)).alias("key"))
+    found = stored(rows.join(near_texts.groups(docs, text), "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root")), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
     kept = found.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.doc_id").alias("kept_id"), F.col("least.key").alias("kept_key"))
     key, names = fresh(docs, "key"), docs.columns
