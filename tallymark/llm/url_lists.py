@@ -27,8 +27,6 @@ from pyspark.sql import functions as F
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)"
-# Path segments and domain labels that can be listed; deeper ones are judged by these.
-MOST_SEGMENTS = 16
 ORDER = ("remove", "allow", "block")
 
 
@@ -37,13 +35,13 @@ def host(url: Column) -> Column:
     return F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)), r"\.$", "")
 
 
-def patterns(url: Column) -> Column:
-    """All patterns that cover a URL, the most specific first: paths, host, parent domains."""
+def patterns(url: Column, deepest: int | None = None) -> Column:
+    """All patterns that cover a URL, the most specific first: paths of up to ``deepest`` segments, host, parent domains."""
     name = host(url)
     labels = F.split(name, r"\.")
     domains = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     parts = F.array_remove(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1), "/"), "")
-    depth = F.least(F.size(parts), F.lit(MOST_SEGMENTS))
+    depth = F.size(parts) if deepest is None else F.least(F.size(parts), F.lit(deepest))
     paths = F.when(depth > 0, F.transform(F.sequence(depth, F.lit(1)), lambda i: F.concat(name, F.lit("/"), F.array_join(F.slice(parts, F.lit(1), i), "/"))))
     return F.when(name != "", F.concat(F.coalesce(paths, F.array().cast("array<string>")), domains)).otherwise(F.array().cast("array<string>"))
 
@@ -75,7 +73,9 @@ def judged(captures: DataFrame, entries: DataFrame, url: str = "url", day: str =
     rows = captures.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(day).alias("day"))
     # Captures that agree in URL and day share their answer.
     each = rows.filter("url is not null and day is not null").groupBy("url", "day").agg(F.count("*").alias("n"))
-    asked = each.select("url", "day", F.posexplode(patterns(F.col("url"))).alias("place", "pattern"))
+    # No entry has more segments, so longer paths would meet none.
+    deepest = entries.agg(F.max(F.size(F.split("pattern", "/"))).alias("n")).first()["n"] or 1
+    asked = each.select("url", "day", F.posexplode(patterns(F.col("url"), deepest - 1)).alias("place", "pattern"))
     answers = as_of(asked, intervals(entries)).withColumnRenamed("day", "on").withColumnRenamed("pattern", "p")
     met = asked.join(answers, (F.col("pattern") == F.col("p")) & (F.col("day") == F.col("on")))
     first = met.groupBy("url", "day").agg(F.min_by(F.struct("pattern", "action"), "place").alias("hit"))
