@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import decontaminate, licenses, lm_score, mixing, quality, secrets, simhash, token_counts, token_files, url_lists
+from tallymark.llm import cover_codes, decontaminate, licenses, lm_score, mixing, quality, secrets, simhash, token_counts, token_files, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -233,3 +233,9 @@ best AS (SELECT page_id, arg_min(pattern, place) AS pattern, arg_min(rank, place
 SELECT p.page_id, CAST(p.day AS DATE) AS day, b.pattern, CASE b.rank WHEN 3 THEN 'block' WHEN 2 THEN 'allow' END AS action, coalesce(b.rank <> 3, true) AS kept
 FROM page p LEFT JOIN best b USING (page_id)
 """
+
+
+@query
+def op11_vector_codes(spark, sf_dir):
+    codes, books = cover_codes.compressed(table(spark, sf_dir, "embeddings"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(cover_codes.digest(books)).alias("codebooks_sha256"))
