@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import cover_codes, decontaminate, licenses, lm_score, mixing, quality, secrets, simhash, token_counts, token_files, url_lists
+from tallymark.llm import cover_codes, decontaminate, licenses, lm_score, mixing, quality, secrets, simhash, token_counts, token_files, tree_search, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -239,3 +239,31 @@ FROM page p LEFT JOIN best b USING (page_id)
 def op11_vector_codes(spark, sf_dir):
     codes, books = cover_codes.compressed(table(spark, sf_dir, "embeddings"))
     return codes.select("vec_id", "code", "error", "label_error", F.lit(cover_codes.digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op13_ranked_search(spark, sf_dir):
+    found = tree_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+ORACLES["op13_ranked_search"] = r"""
+WITH dw AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM dw GROUP BY doc_id, term),
+len AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+tot AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM len),
+norm AS (SELECT doc_id, 100 - 75 + ((75 * n * n_docs) // n_terms) AS m FROM len, tot),
+iw AS (
+  SELECT item_id, term, count(*) AS c FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark)
+  GROUP BY item_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, tot GROUP BY term),
+score AS (
+  SELECT item_id, doc_id, sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM iw JOIN tf USING (term) JOIN w USING (term) JOIN norm USING (doc_id) GROUP BY item_id, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
