@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymark.llm import cover_codes, decontaminate, licenses, lm_score, mixing, quality, secrets, simhash, token_counts, token_files, tree_search, url_lists
+from tallymark.llm import cover_codes, decontaminate, licenses, lm_score, mixing, quality, repeated_bytes, secrets, simhash, token_counts, token_files, tree_search, url_lists
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -241,6 +241,12 @@ def op11_vector_codes(spark, sf_dir):
     return codes.select("vec_id", "code", "error", "label_error", F.lit(cover_codes.digest(books)).alias("codebooks_sha256"))
 
 
+@query
+def op12_repeated_bytes(spark, sf_dir):
+    kept = repeated_bytes.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op13_ranked_search(spark, sf_dir):
     found = tree_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
