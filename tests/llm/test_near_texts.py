@@ -2,6 +2,7 @@
 
 import collections
 
+import numpy as np
 import pytest
 
 pytest.importorskip("duckdb")
@@ -46,3 +47,37 @@ def test_one_of_near_copies_stays(spark):
     far = " ".join([*words[:154], *(f"y{i}" for i in range(46))])
     docs = spark.createDataFrame([(1, " ".join(words)), *((i, t) for i, t in enumerate(near, 2)), (500, far)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.one_of_each(docs).collect()) == [1, 500]
+
+
+def test_sketches_never_rule_out_a_near_pair():
+    rng = np.random.default_rng(4)
+    for n in (3, 40, 700, 1100, 5000):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            b = np.unique(np.r_[a[rng.random(len(a)) > 0.1], rng.integers(0, 1 << 63, n // 10).astype(np.uint64)])
+            differ = len(np.setxor1d(a, b))
+            assert near_texts.apart(near_texts.sketch(a), near_texts.sketch(b)) <= differ
+    a, b = (rng.integers(0, 1 << 63, 3000).astype(np.uint64) for _ in "ab")
+    assert 9 * near_texts.apart(near_texts.sketch(a), near_texts.sketch(b)) > 6000
+
+
+def test_hashes_are_those_of_the_words(monkeypatch):
+    texts = ["", " \n", "a", "A  b", "a b c d e", "x A\tb c d E y", "a b c d e f " * 30, "ß Ü ü 字 x y z"]
+    sets = {i: set(s.tolist()) for i, s in near_texts.shingle_sets([t.encode() for t in texts])}
+    monkeypatch.setattr(near_texts, "TOGETHER", 8)
+    assert sets == {i: set(s.tolist()) for i, s in near_texts.shingle_sets([t.encode() for t in texts])}
+    assert [len(sets[i]) for i in range(len(texts))] == [len(plain(t)) for t in texts]
+    assert sets[0] == sets[1] and sets[4] < sets[5] and not sets[2] & sets[3]
+
+
+def test_a_passage_in_thousands_of_texts_forms_no_pairs(spark):
+    # One passage of 40 words in 4,000 otherwise different texts, some of them near copies.
+    rng = np.random.default_rng(5)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, " ".join(map(str, rng.integers(0, 1 << 40, 60))) + f" {passage} " + " ".join(map(str, rng.integers(0, 1 << 40, 60)))) for i in range(4000)]
+    rows += [(10_000 + i, rows[i][1] + " end") for i in range(0, 4000, 100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.select(text_key(docs["text"]).alias("key"), "text")
+    places = near_texts.at_shingles(texts, near_texts.often_shared(texts))
+    assert places.groupBy("shingle").count().agg({"count": "max"}).first()[0] < 50
+    assert near_texts.groups(docs).count() == 80
