@@ -81,3 +81,14 @@ def test_a_passage_in_thousands_of_texts_forms_no_pairs(spark):
     places = near_texts.at_shingles(texts, near_texts.often_shared(texts))
     assert places.groupBy("shingle").count().agg({"count": "max"}).first()[0] < 50
     assert near_texts.groups(docs).count() == 80
+
+
+def test_short_near_copies_do_not_meet_at_what_they_share(spark):
+    # One word less each: similarity well below 4/5 in every pair, with nearly all shingles in common.
+    base = [f"b{i}" for i in range(25)]
+    rows = [(i * 1000 + j, " ".join(base[:j] + base[j + 1 :] + [f"t{i}"])) for i in range(40) for j in range(1, 24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    texts = docs.select(text_key(docs["text"]).alias("key"), "text")
+    places = near_texts.at_shingles(texts, near_texts.often_shared(texts))
+    met = near_texts.meeting(places.withColumn("root", places["key"])).count()
+    assert met < len(rows) ** 2 / 20
