@@ -35,7 +35,7 @@ from tallymark.operators.reconcile import (
 from tallymark.operators.rollup import missing_share
 from tallymark.plans.checks import CHECKS, RETIRED
 from tallymark.plans.corpus import Corpus
-from tallymark.plans.registry import finding, lookup_findings, pick, run_checks, slices_of, table_of_checks, text
+from tallymark.plans.registry import finding, lookup_findings, pick, row_rule, run_checks, slices_of, table_of_checks, text
 from tallymark.sources.observed import (
     aligner_reference,
     classify_lines,
@@ -69,11 +69,17 @@ SHEET_CODES = {
 REVIEW = "; either side may be out of date, so a person has to decide"
 
 
-def issues_to_findings(issues: DataFrame, codes: dict[str, str], severity: str = "error") -> DataFrame:
+def issue_parts(codes: dict[str, str]) -> dict:
     """Issues whose code is mapped; the others stay silent."""
     mapping = F.create_map(*[F.lit(v) for pair in codes.items() for v in pair])
-    mapped = issues.withColumn("_id", F.try_element_at(mapping, F.col("code"))).filter("_id IS NOT NULL")
-    return finding(mapped, F.col("_id"), severity, F.col("message"), F.col("code"), F.col("path"), F.col("line"))
+    id = F.try_element_at(mapping, F.col("code"))
+    return {"when": id.isNotNull(), "id": id, "message": F.col("message"), "detail": F.col("code"), "path": F.col("path"), "line": F.col("line")}
+
+
+def issues_to_findings(issues: DataFrame, codes: dict[str, str], severity: str = "error") -> DataFrame:
+    """Findings of a table of issues, whatever their source."""
+    parts = issue_parts(codes)
+    return finding(issues.filter(parts.pop("when")), severity=severity, **parts)
 
 
 def either_side(left: str, right: str) -> Column:
@@ -99,7 +105,12 @@ def set_check(left, right, key, id, severity, left_name, right_name, paths=None)
 
 
 def sheet_paths(c: Corpus) -> DataFrame:
-    return c.sheet.groupBy("subject").agg(F.min("path").alias("path"))
+    return c.sheet_names.filter("kind = 'sheet'").select("subject", "path")
+
+
+def sheet_names(c: Corpus, kind: str, name: str) -> DataFrame:
+    """``subject`` and the distinct names of a kind in its sheet."""
+    return c.sheet_names.filter(F.col("kind") == kind).select("subject", F.col("name").alias(name))
 
 
 def _both(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -113,46 +124,56 @@ def _both(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
 # -- declared side on its own -----------------------------------------------
 
 
-def config_wellformed(c: Corpus) -> DataFrame:
-    return issues_to_findings(c.issues.filter("source = 'config'"), CONFIG_CODES)
+@row_rule("issues", "R001", "error")
+def config_wellformed() -> dict:
+    parts = issue_parts(CONFIG_CODES)
+    return parts | {"when": (F.col("source") == "config") & parts["when"]}
 
 
-def source_usable(c: Corpus) -> DataFrame:
+@row_rule("config", "R002", "error")
+def source_usable() -> dict:
     s = F.col("ref_source")
-    bad = c.config.filter(s.isNotNull() & ~(is_assembly(s) | is_url(s) | is_local_source(s)))
-    return finding(bad, "R002", "error", text("cannot tell what reference.source '", s, "' points at"), path=F.col("path"))
+    return {
+        "when": s.isNotNull() & ~(is_assembly(s) | is_url(s) | is_local_source(s)),
+        "message": text("cannot tell what reference.source '", s, "' points at"), "path": F.col("path"),
+    }
 
 
-def name_is_a_name(c: Corpus) -> DataFrame:
-    bad = c.config.filter(is_assembly(F.col("ref_name")))
-    return finding(
-        bad, "R003", "warn", text("reference.name holds an accession, ", F.col("ref_name"), ", where a species is expected"),
-        "the name becomes part of the reference's file name", F.col("path"),
-    )
+@row_rule("config", "R003", "warn")
+def name_is_a_name() -> dict:
+    return {
+        "when": is_assembly(F.col("ref_name")),
+        "message": text("reference.name holds an accession, ", F.col("ref_name"), ", where a species is expected"),
+        "detail": "the name becomes part of the reference's file name", "path": F.col("path"),
+    }
 
 
-def sheet_wellformed(c: Corpus) -> DataFrame:
-    return issues_to_findings(c.issues.filter("source = 'sheet'"), SHEET_CODES)
+@row_rule("issues", "R010", "error")
+def sheet_wellformed() -> dict:
+    parts = issue_parts(SHEET_CODES)
+    return parts | {"when": (F.col("source") == "sheet") & parts["when"]}
 
 
-def inputs_are_accessions(c: Corpus) -> DataFrame:
-    bad = c.sheet.filter((F.col("input_type") == "srr") & ~is_archive_input(F.col("input")))
-    return finding(
-        bad, "R013", "error", text("archive input '", F.col("input"), "' of ", F.col("sample_id"), " has no accession's form"),
-        "expected a run or an experiment", F.col("path"), F.col("line"),
-    )
+@row_rule("sheet", "R013", "error")
+def inputs_are_accessions() -> dict:
+    return {
+        "when": (F.col("input_type") == "srr") & ~is_archive_input(F.col("input")),
+        "message": text("archive input '", F.col("input"), "' of ", F.col("sample_id"), " has no accession's form"),
+        "detail": "expected a run or an experiment", "path": F.col("path"), "line": F.col("line"),
+    }
 
 
-def inputs_not_local(c: Corpus) -> DataFrame:
-    return finding(
-        c.sheet.filter(is_local_input(F.col("input"))), "R015", "warn",
-        text(F.col("sample_id"), " reads a file of one machine; nobody else can repeat it"),
-        F.col("input"), F.col("path"), F.col("line"),
-    )
+@row_rule("sheet", "R015", "warn")
+def inputs_not_local() -> dict:
+    return {
+        "when": is_local_input(F.col("input")),
+        "message": text(F.col("sample_id"), " reads a file of one machine; nobody else can repeat it"),
+        "detail": F.col("input"), "path": F.col("path"), "line": F.col("line"),
+    }
 
 
 def ids_are_biosamples(c: Corpus) -> DataFrame:
-    odd = described(c.sheet.filter(~is_biosample(F.col("sample_id"))), ["subject"], "sample_id")
+    odd = described(sheet_names(c, "odd sample", "sample_id"), ["subject"], "sample_id")
     return finding(
         odd.join(sheet_paths(c), "subject", "left"), "R016", "warn",
         text("names without a BioSample accession's form: ", F.col("n")),
@@ -173,26 +194,25 @@ def readme_accession(c: Corpus) -> DataFrame:
 # -- integrity of what was published ----------------------------------------
 
 
-def _listed(c: Corpus) -> DataFrame:
-    return c.artifacts.filter("listed")
-
-
-def accession_published(c: Corpus) -> DataFrame:
-    empty = c.artifacts.filter("accession IS NOT NULL AND NOT listed")
-    return finding(empty, "G001", "error", text("nothing is stored under ", F.col("accession")))
+@row_rule("artifacts", "G001", "error")
+def accession_published() -> dict:
+    return {"when": F.expr("accession IS NOT NULL AND NOT listed"), "message": text("nothing is stored under ", F.col("accession"))}
 
 
-def raw_vcf_present(c: Corpus) -> DataFrame:
+@row_rule("artifacts", "G010", "warn")
+def raw_vcf_present() -> dict:
     detail = F.when(F.col("n_bams") > 0, text("alignments: ", F.col("n_bams"), ", variants: none")).otherwise("no variant file at all")
-    return finding(_listed(c).filter("NOT raw_vcf"), "G010", "warn", text("the raw variant file is missing"), detail)
+    return {"when": F.expr("listed AND NOT raw_vcf"), "message": F.lit("the raw variant file is missing"), "detail": detail}
 
 
-def raw_vcf_indexed(c: Corpus) -> DataFrame:
-    return finding(_listed(c).filter("raw_vcf AND NOT raw_vcf_index"), "G011", "error", text("the raw variant file has no index"))
+@row_rule("artifacts", "G011", "error")
+def raw_vcf_indexed() -> dict:
+    return {"when": F.expr("listed AND raw_vcf AND NOT raw_vcf_index"), "message": F.lit("the raw variant file has no index")}
 
 
-def bams_present(c: Corpus) -> DataFrame:
-    return finding(_listed(c).filter("NOT bams"), "G012", "error", text("no alignment file is published"))
+@row_rule("artifacts", "G012", "error")
+def bams_present() -> dict:
+    return {"when": F.expr("listed AND NOT bams"), "message": F.lit("no alignment file is published")}
 
 
 def bams_indexed(c: Corpus) -> DataFrame:
@@ -204,13 +224,15 @@ def bams_indexed(c: Corpus) -> DataFrame:
     )
 
 
-def no_empty_objects(c: Corpus) -> DataFrame:
+def empty_objects(c: Corpus) -> DataFrame:
+    """``subject, name`` of every object of no bytes where data is expected."""
     empty = c.inventory.filter(F.col("dir").isin("bams", "vcfs", "<top>") & (F.col("size") == 0))
-    named = empty.withColumn("_n", F.regexp_extract("key", r"GC[AF]_\d+\.\d+/(.*)$", 1))
-    # Every one is named: a row each, numbered, instead of a list that grows with the subject.
-    counts = named.groupBy("subject").agg(F.countDistinct("_n").alias("n"))
-    each = named.select("subject", "_n").distinct().join(counts, "subject")
-    return finding(each, "G014", "error", text("objects of no bytes: ", F.col("n")), F.col("_n"))
+    return empty.select("subject", F.regexp_extract("key", r"GC[AF]_\d+\.\d+/(.*)$", 1).alias("name")).distinct()
+
+
+def no_empty_objects(c: Corpus) -> DataFrame:
+    some = described(empty_objects(c), ["subject"], "name")
+    return finding(some, "G014", "error", text("objects of no bytes: ", F.col("n")), describe(F.col("head"), F.col("n")))
 
 
 def readmes_in_sync(c: Corpus) -> DataFrame:
@@ -244,7 +266,7 @@ def readme_somewhere(c: Corpus) -> DataFrame:
 
 
 def _sheet_samples(c: Corpus) -> DataFrame:
-    return c.sheet.select("subject", F.col("sample_id").alias("sample"))
+    return sheet_names(c, "sample", "sample")
 
 
 def sheet_matches_vcf(c: Corpus) -> DataFrame:
@@ -398,11 +420,26 @@ def one_naming_scheme(c: Corpus) -> DataFrame:
     )
 
 
+def _map_digest(maps: DataFrame, keys: list[str]) -> DataFrame:
+    """Digest of the contig lengths of each file, in no order; equal for equal maps."""
+    entry = F.xxhash64("contig", "length")
+    return maps.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(entry.cast("decimal(38,0)")).alias("_sum"), F.bit_xor(F.hash("contig", "length", entry)).alias("_xor")
+    )
+
+
 def bam_matches_vcf(c: Corpus) -> DataFrame:
     keys = ["subject", "bam"]
-    files = c.bam_records.select(*keys).distinct()
+    lengths = reference_lengths(c.bam_records, keys)
+    # Files with the variant file's digest are settled; only the others meet its contigs one by one.
+    called = c.vcf_contigs.groupBy("subject", "contig").agg(F.max("length").alias("length"))
+    digest = F.struct("_n", "_sum", "_xor")
+    own = _map_digest(lengths, keys).select(*keys, digest.alias("_own"))
+    called_digest = _map_digest(called, ["subject"]).select("subject", digest.alias("_called"))
+    files = c.bam_records.select(*keys).distinct().join(own, keys, "left").join(called_digest, "subject", "left")
+    differing = files.filter(~F.col("_own").eqNullSafe(F.col("_called"))).select(*keys)
     diff = map_differences(
-        reference_lengths(c.bam_records, keys), c.vcf_contigs.join(files, "subject"), keys, "contig", "length"
+        lengths.join(differing, keys, "left_semi"), called.join(differing, "subject"), keys, "contig", "length"
     )
     detail = F.concat_ws(
         "; ",
@@ -614,7 +651,7 @@ def caller_matches(c: Corpus) -> DataFrame:
 
 
 def _resolved(c: Corpus) -> DataFrame:
-    return resolve_runs(c.sheet.filter(is_archive_input(F.col("input"))), c.runs, "input")
+    return resolve_runs(sheet_names(c, "archive input", "input"), c.runs, "input")
 
 
 def inputs_belong(c: Corpus) -> DataFrame:
@@ -629,7 +666,7 @@ def inputs_belong(c: Corpus) -> DataFrame:
         text("archive has ", F.col("input"), " under ", shown, ", the sheet under ", F.col("sample_id")),
         path=F.col("path"), line=F.col("line"),
     )
-    unknown = described(missing_from(rows, resolved, ["input"]), ["subject"], "input")
+    unknown = described(missing_from(sheet_names(c, "archive input", "input"), resolved, ["input"]), ["subject"], "input")
     rest = finding(
         unknown.join(sheet_paths(c), "subject", "left"), "E001", "error",
         text("inputs the archive does not know: ", F.col("n")), describe(F.col("head"), F.col("n")), F.col("path"),
@@ -641,9 +678,10 @@ def _projects(c: Corpus) -> tuple[DataFrame, DataFrame]:
     """Projects the runs come from and projects the documentation names."""
     documented = c.readme.select("subject", F.explode("bioprojects").alias("bioproject")).distinct()
     contributing = (
-        c.sheet.select("subject", "input")
-        .join(_resolved(c).filter("bioproject IS NOT NULL").select("input", "bioproject"), "input")
+        sheet_names(c, "archive input", "input")
+        .join(_resolved(c).filter("bioproject IS NOT NULL").select("input", "bioproject").distinct(), "input")
         .select("subject", "bioproject")
+        .distinct()
         .join(documented.select("subject"), "subject", "left_semi")
     )
     return contributing, documented
@@ -671,15 +709,14 @@ def projects_contribute(c: Corpus) -> DataFrame:
 
 
 def inputs_unambiguous(c: Corpus) -> DataFrame:
-    rows = c.sheet.filter(is_experiment(F.col("input")))
-    runs = described(resolve_runs(rows, c.runs, "input"), ["input"], "run")
-    known = rows.join(runs, "input")
+    asked = sheet_names(c, "experiment", "input")
+    runs = described(resolve_runs(asked, c.runs, "input"), ["input"], "run")
     several = finding(
-        known.filter("n > 1"), "R017", "error",
+        c.sheet.filter(is_experiment(F.col("input"))).join(runs.filter("n > 1"), "input"), "R017", "error",
         text("experiment ", F.col("input"), " of ", F.col("sample_id"), " has ", F.col("n"), " runs; which of them were read is open"),
         text("runs: ", describe(F.col("head"), F.col("n"))), F.col("path"), F.col("line"),
     )
-    one = described(known.filter("n = 1").select("subject", "input"), ["subject"], "input")
+    one = described(asked.join(runs.filter("n = 1").select("input"), "input"), ["subject"], "input")
     single = finding(
         one.join(sheet_paths(c), "subject", "left"), "R017", "info",
         text("inputs given as an experiment of one run: ", F.col("n")),
@@ -763,12 +800,13 @@ BUILDERS = {
 CATALOG = table_of_checks(CHECKS, BUILDERS, RETIRED)
 
 
-def validate(corpus: Corpus, only=None, skip=None, check_runs: bool = False) -> DataFrame:
+def validate(corpus: Corpus, only=None, skip=None, check_runs: bool = False, guarded: bool = False) -> DataFrame:
     """Findings of the catalogue plus failed lookups.
 
     The checks against the read archive run only when asked for. Tables that
-    several of the selected checks share are computed when this is called.
+    several of the selected checks share are computed when this is called, and
+    the findings as well where they are ``guarded`` against failing checks.
     """
     checks = pick(CATALOG, only, skip, () if check_runs else ("runs",))
     corpus.materialise(slices_of(checks))
-    return run_checks(corpus, checks, only=only, skip=skip).unionByName(lookup_findings(corpus.lookups))
+    return run_checks(corpus, checks, only=only, skip=skip, guarded=guarded).unionByName(lookup_findings(corpus.lookups))

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark import schemas
-from tallymark.functions.identifiers import is_archive_input, is_assembly
+from tallymark.functions.identifiers import counterpart, is_archive_input, is_assembly, is_biosample, is_experiment
 from tallymark.operators.lookup import (
     authority_entry,
     best_scheme,
@@ -70,6 +70,7 @@ TABLES = {
 
 # Derived tables worth writing once, and the slices whose checks read them.
 SHARED = (
+    (("sheet_names",), ("sheet", "runs")),
     (("declared", "located", "artifacts", "status"), ("objects", "status")),
     (("entry",), ("authority",)),
     (("chosen", "strays"), ("assembly_seqs",)),
@@ -95,6 +96,35 @@ class Corpus:
             empty = lambda: spark.createDataFrame([], schema).limit(0)
             setattr(self, name, empty() if df is None else df)
 
+    def where(self, condition: Callable[[Column], Column]) -> Corpus:
+        """The corpus of the subjects that meet a condition; it reaches the scan of every table with subjects."""
+        return Corpus(self.spark, {
+            name: df.filter(condition(F.col("subject"))) if "subject" in df.columns else df
+            for name, df in ((n, getattr(self, n)) for n in self.given)
+        })
+
+    def only(self, subjects: DataFrame | Sequence[str]) -> Corpus:
+        """The corpus of chosen subjects: their names, or a table with ``subject``.
+
+        Names reach the scans as a filter. A table is joined to every table with
+        subjects; objects and directories stay if they lie under an accession that one of
+        the subjects may own.
+        """
+        if not isinstance(subjects, DataFrame):
+            names = list(subjects)
+            chosen = self.where(lambda subject: subject.isin(names))
+        else:
+            # Written once, so that every table is joined to the same rows.
+            wanted = cut(subjects.select(F.col("subject").alias("_chosen")).distinct())
+            chosen = Corpus(self.spark, {
+                name: df.join(wanted, df["subject"] == wanted["_chosen"], "left_semi") if "subject" in df.columns else df
+                for name, df in ((n, getattr(self, n)) for n in self.given)
+            })
+        own = chosen.declared.filter("declared IS NOT NULL").select(F.explode(F.array("declared", counterpart(F.col("declared")))).alias("accession")).distinct()
+        for name in {"objects", "subdirs"} & self.given:
+            setattr(chosen, name, getattr(chosen, name).join(own, "accession", "left_semi"))
+        return chosen
+
     def materialise(self, slices: set[str] | None = None) -> "Corpus":
         """Write the derived tables many checks share and read them back.
 
@@ -123,6 +153,20 @@ class Corpus:
             "left",
         )
 
+    @cached_property
+    def sheet_names(self) -> DataFrame:
+        """``subject, kind, name, path``: what the sheet names, once each; kind 'sheet' has a row a subject.
+
+        One pass over the sheet serves every check that compares names.
+        """
+        sample, value = F.col("sample_id"), F.col("input")
+        kinds = {
+            "sheet": (F.lit(True), F.lit(None).cast("string")), "sample": (sample.isNotNull(), sample), "odd sample": (~is_biosample(sample), sample),
+            "archive input": (is_archive_input(value), value), "experiment": (is_experiment(value), value),
+        }
+        named = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("kind"), n.alias("name"))) for k, (c, n) in kinds.items()]))
+        return self.sheet.select("subject", "path", F.inline(named)).groupBy("subject", "kind", "name").agg(F.min("path").alias("path"))
+
     @cached_property
     def located(self) -> DataFrame:
         """``subject, declared, accession``: where the data was found."""
@@ -169,9 +213,7 @@ class Corpus:
                 F.max(F.col("dir") == "callable_sites").alias("_sites2"),
             )
         )
-        sheet = self.sheet.select("subject", "sample_id").distinct().groupBy("subject").agg(
-            F.count(F.lit(1)).alias("n_sheet")
-        )
+        sheet = self.sheet_names.filter("kind = 'sample'").groupBy("subject").agg(F.count(F.lit(1)).alias("n_sheet"))
         vcf_n = self.vcf_samples.groupBy("subject").agg(F.count(F.lit(1)).alias("n_vcf"))
         no = F.lit(False)
         return (
@@ -296,7 +338,7 @@ class Corpus:
 
         def read_sheets() -> DataFrame:
             reported = self.issues.filter((F.col("source") == "sheet") & ~F.col("code").isin(*unread))
-            return self.sheet.select("subject").unionByName(reported.select("subject"))
+            return self.sheet_names.filter("kind = 'sheet'").select("subject").unionByName(reported.select("subject"))
 
         def declared() -> DataFrame:
             return self.declared.filter("declared IS NOT NULL")
@@ -305,7 +347,7 @@ class Corpus:
             return declared().join(table.select(F.col(key).alias("declared")), "declared", "left_semi")
 
         def archive() -> DataFrame:
-            return self.sheet.filter(is_archive_input(F.col("input"))).join(self.failed("runs"), "subject", "left_anti")
+            return self.sheet_names.filter("kind = 'archive input'").join(self.failed("runs"), "subject", "left_anti")
 
         branches = {
             "config": lambda: self.config.filter("parsed"),

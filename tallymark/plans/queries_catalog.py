@@ -142,7 +142,7 @@ def catalog_declared(t) -> DataFrame:
         UNION ALL SELECT 'G011', 'error', k FROM c WHERE vcf AND NOT tbi
         UNION ALL SELECT 'G012', 'error', k FROM c WHERE NOT bams
         UNION ALL SELECT DISTINCT 'G013', 'error', k FROM b WHERE NOT indexed AND k IN (SELECT k FROM c)
-        UNION ALL SELECT 'G014', 'error', k FROM b WHERE hollow AND k IN (SELECT k FROM c)
+        UNION ALL SELECT DISTINCT 'G014', 'error', k FROM b WHERE hollow AND k IN (SELECT k FROM c)
         UNION ALL SELECT 'G018', 'warn', o_orderkey FROM orders
         UNION ALL SELECT 'S001', 'error', k FROM s1 WHERE differs AND k IN (SELECT k FROM v)
         UNION ALL SELECT 'S002', 'error', s2.k FROM s2 JOIN c ON c.k = s2.k WHERE differs AND complete

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallymark.functions.values import SEVERITIES
 from tallymark.schemas import FINDING_COLUMNS
+from tallymark.session import cut
 
 
 class Check(NamedTuple):
@@ -140,17 +141,119 @@ def skipped(availability: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
-def _built(corpus, check: Check) -> DataFrame:
-    """The check's findings; a plan that cannot be made is one for every subject."""
+class RowRule:
+    """A check of single rows of one table: a finding for each row that meets a condition.
+
+    All rules over a table are evaluated in one pass over it. ``parts`` gives the
+    columns ``when`` and ``message``, and ``detail``, ``path``, ``line``, ``id`` and
+    ``severity`` where they are not empty or fixed.
+    """
+
+    def __init__(self, table: str, id: str, severity: str, parts: Callable[[], dict]):
+        self.table, self.id, self.severity, self.parts = table, id, severity, parts
+
+    def found(self) -> Column:
+        """The finding as a struct, null where the row is as it should be."""
+        given = {"id": F.lit(self.id), "severity": F.lit(self.severity), **self.parts()}
+        kinds = {"id": "string", "severity": "string", "message": "string", "detail": "string", "path": "string", "line": "int"}
+        columns = {name: given.get(name, F.lit(None)) for name in kinds}
+        typed = [(c if isinstance(c, Column) else F.lit(c)).cast(kinds[name]).alias(name) for name, c in columns.items()]
+        return F.when(given["when"], F.struct(*typed, F.lit(self.id).alias("_check")))
+
+    def __call__(self, corpus) -> DataFrame:
+        return row_findings(corpus, [self])
+
+
+def row_rule(table: str, id: str, severity: str):
+    """Makes a function that gives the parts a rule over the rows of a table."""
+    return lambda parts: RowRule(table, id, severity, parts)
+
+
+def row_findings(corpus, rules: Sequence[RowRule]) -> DataFrame:
+    """Findings of rules over one table, which is read once; ``_check`` names the rule."""
+    (table,) = {rule.table for rule in rules}
+    found = F.array_compact(F.array(*[rule.found() for rule in rules]))
+    return getattr(corpus, table).select("subject", F.inline(found))
+
+
+def passes(checks: Sequence[Check]) -> list[list[Check]]:
+    """Checks that are evaluated together: those of the rows of one table, the others alone."""
+    together: dict[str, list[Check]] = {}
+    for check in checks:
+        together.setdefault(check.build.table if isinstance(check.build, RowRule) else f"check {check.id}", []).append(check)
+    return list(together.values())
+
+
+def _unable(subjects: DataFrame, check: Check, problem: Exception) -> DataFrame:
+    """That the check gave no result, for every subject."""
+    said = str(problem).strip().split("\n")[0]
+    return finding(subjects, check.id, "error", text(f"no result, the check ended with {type(problem).__name__}: {said}"), check.summary).withColumn("_check", F.lit(check.id))
+
+
+def _built(corpus, group: Sequence[Check]) -> DataFrame:
+    """Findings of one pass. Where no plan can be made, it is told for the checks to blame."""
+    columns = [*FINDING_COLUMNS, "_check"]
+    try:
+        if all(isinstance(c.build, RowRule) for c in group):
+            return row_findings(corpus, [c.build for c in group]).select(*columns)
+        return group[0].build(corpus).select(*FINDING_COLUMNS).withColumn("_check", F.lit(group[0].id))
+    except Exception as problem:  # noqa: BLE001 - becomes a finding
+        if len(group) > 1:
+            return reduce(DataFrame.unionByName, [_built(corpus, [c]) for c in group])
+        return _unable(corpus.subjects, group[0], problem).select(*columns)
+
+
+# Parts a set of subjects is split into to find those a check fails on, and how often.
+SPLIT = 16
+DEEPEST = 6
+
+
+def _settled(corpus, groups: Sequence[Sequence[Check]]) -> DataFrame:
+    """Findings, computed now. What a value makes fail costs its own check and subject only."""
     try:
-        return check.build(corpus).select(*FINDING_COLUMNS)
+        return cut(reduce(DataFrame.unionByName, [_built(corpus, g) for g in groups]))
     except Exception as problem:  # noqa: BLE001 - becomes a finding
-        return finding(corpus.subjects, check.id, "error", text(f"could not be evaluated ({type(problem).__name__}): {problem}"), check.summary)
+        if len(groups) > 1:
+            return reduce(DataFrame.unionByName, [_settled(corpus, [g]) for g in groups])
+        if len(groups[0]) > 1:
+            return reduce(DataFrame.unionByName, [_settled(corpus, [[c]]) for c in groups[0]])
+        return _by_subject(corpus, groups[0][0], problem)
+
+
+def _by_subject(corpus, check: Check, problem: Exception, modulus: int = 1, rest: int = 0) -> DataFrame:
+    """Findings of a check that fails on some subjects: these are found by splitting them up."""
+    finer = modulus * SPLIT
+    bucket = lambda n, m: lambda subject: F.pmod(F.xxhash64(subject), F.lit(m)) == n
+    numbers = corpus.subjects.filter(bucket(rest, modulus)(F.col("subject"))).select(F.pmod(F.xxhash64("subject"), F.lit(finer)).alias("n"))
+    sizes = {r["n"]: r["count"] for r in numbers.groupBy("n").count().collect()}
+    done, failed = [], {}
+    for n in sorted(sizes):
+        try:
+            done.append(cut(_built(corpus.where(bucket(n, finer)), [check])))
+        except Exception as again:  # noqa: BLE001 - becomes a finding
+            failed[n] = again
+    # It fails on all parts: nothing to be told apart.
+    if len(failed) == len(sizes) > 1 or finer >= SPLIT**DEEPEST:
+        told = [_unable(corpus.subjects.filter(bucket(n, finer)(F.col("subject"))), check, failed[n]) for n in failed]
+    else:
+        told = [
+            _unable(corpus.subjects.filter(bucket(n, finer)(F.col("subject"))), check, again) if sizes[n] == 1 else _by_subject(corpus, check, again, finer, n)
+            for n, again in failed.items()
+        ]
+    columns = [*FINDING_COLUMNS, "_check"]
+    every = [f.select(*columns) for f in [*done, *told]] or [_unable(corpus.subjects.limit(0), check, problem).select(*columns)]
+    return reduce(DataFrame.unionByName, every)
+
 
+def run_checks(corpus, checks: Sequence[Check], *, only: Sequence[str] | None = None, skip: Sequence[str] | None = None, guarded: bool = False) -> DataFrame:
+    """Findings of the checks over all subjects; where a slice is lacking, a skipped row instead.
 
-def run_checks(corpus, checks: Sequence[Check], *, only: Sequence[str] | None = None, skip: Sequence[str] | None = None) -> DataFrame:
-    """Findings of the checks over all subjects; where a slice is lacking, a skipped row instead."""
-    found = reduce(DataFrame.unionByName, [_built(corpus, c).withColumn("_check", F.lit(c.id)) for c in checks])
+    ``guarded`` computes them at once, all in one job while nothing fails. A check
+    that a value ends is an error of the subjects with such values, and all other
+    findings stay.
+    """
+    groups = passes(checks)
+    found = _settled(corpus, groups) if guarded else reduce(DataFrame.unionByName, [_built(corpus, g) for g in groups])
     if slices_of(checks):
         unable = skipped(corpus.availability, checks).withColumn("_check", F.col("id"))
         found = found.join(unable, ["subject", "_check"], "left_anti").unionByName(unable)

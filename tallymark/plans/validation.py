@@ -36,7 +36,7 @@ def run(
     once, since records and gates both read them.
     """
     checks = pick(CATALOG, only, skip, () if check_runs else ("runs",))
-    findings = cut(validate(corpus, only, skip, check_runs))
+    findings = cut(validate(corpus, only, skip, check_runs, guarded=True))
     states = derive_state(corpus.subjects, findings, corpus.status)
     records = build_records(
         states, digests, corpus.data, corpus.status,

@@ -294,12 +294,13 @@ def tag_values(records: DataFrame, keys: list[str], tag: str, field: str, out: s
 
 
 def reference_lengths(records: DataFrame, keys: list[str]) -> DataFrame:
-    """Sequence dictionary of each file."""
-    return records.filter("tag = 'SQ'").select(
-        *keys,
+    """Sequence dictionary of each file; of a name given again the last line counts."""
+    named = records.filter("tag = 'SQ'").select(
+        *keys, "line",
         F.try_element_at("fields", F.lit("SN")).alias("contig"),
         F.try_element_at("fields", F.lit("LN")).try_cast("bigint").alias("length"),
-    )
+    )
+    return last_per_key(named, [*keys, "contig"], ["line"]).drop("line")
 
 
 def aligner_reference(records: DataFrame, keys: list[str]) -> DataFrame:

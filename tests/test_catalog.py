@@ -195,3 +195,80 @@ def test_selection_leaves_other_tables_alone(spark, root):
     corpus.vcf_lines, corpus.readme = Watched("vcf_lines"), Watched("readme")
     assert corpus.availability_of({"config"}).count() == 3 and read == []
     assert corpus.availability_of({"readme"}).count() == 3 and set(read) == {"readme"}
+
+
+def scans(frame, table):
+    """How often the plan of a frame reads a table's files."""
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    return len(re.findall(rf"Relation \[[^\]]*{table}[^\]]*\] parquet", plan))
+
+
+def test_the_sheet_is_read_four_times_at_most(spark, monkeypatch):
+    from tallymark.plans import corpus as corpus_module
+    from tallymark.plans import driver, queries_catalog
+
+    seen = []
+    real = corpus_module.cut
+    monkeypatch.setattr(corpus_module, "cut", lambda df: seen.append(scans(df, "l_orderkey")) or real(df))
+    monkeypatch.setattr(queries_catalog, "_tally", lambda found: found)
+    found = driver.QUERIES["q_catalog_declared"](spark, "/root/testdata/sf0.001")
+    # The sheet's names and issues are read for the tables that checks share, rows and issues once more each.
+    assert 1 <= scans(found, "l_orderkey") + sum(seen) <= 6 and scans(found, "l_orderkey") <= 4
+
+
+def broken(subject):
+    from pyspark.sql import functions as F
+
+    return F.when(F.col("subject") == subject, F.raise_error(F.lit("a value nobody expected")).cast("boolean")).otherwise(F.lit(True))
+
+
+def test_a_value_that_fails_costs_one_subject_and_check(spark, root):
+    from pyspark.sql import functions as F
+
+    from tallymark.plans.registry import RowRule, finding
+
+    rules = {
+        "A1": RowRule("config", "A1", "warn", lambda: {"when": broken(BAD), "message": F.lit("one")}),
+        "A2": RowRule("config", "A2", "warn", lambda: {"when": F.lit(True), "message": F.lit("two")}),
+        "B1": lambda c: finding(c.subjects.filter(broken(GOOD)), "B1", "info", F.lit("three")),
+        "C1": lambda c: finding(c.subjects.filter(F.raise_error(F.lit("always")).cast("boolean")), "C1", "info", F.lit("four")),
+    }
+    own = table_of_checks({k: {"tier": k[0], "severity": "warn", "summary": f"sum {k}"} for k in rules}, rules)
+    corpus = read_corpus(spark, root)
+    got = {(r[0], r[1]): (r[2], r[3]) for r in rows(run_checks(corpus, own, guarded=True), "id", "subject", "severity", "message")}
+    names = [r["subject"] for r in corpus.subjects.collect()]
+    with_config = [r["subject"] for r in corpus.config.collect()]
+    assert set(got) == {(i, s) for i in ("B1", "C1") for s in names} | {(i, s) for i in ("A1", "A2") for s in with_config}
+    failed = {k for k, v in got.items() if v[0] == "error"}
+    assert failed == {("A1", BAD), ("B1", GOOD), *(("C1", s) for s in names)}
+    assert all("no result" in got[k][1] for k in failed)
+
+
+def test_guarded_findings_are_the_same(spark, root, findings):
+    assert rows(validate(read_corpus(spark, root), check_runs=True, guarded=True)) == rows(findings)
+
+
+def test_chosen_subjects_give_their_part_of_the_whole(spark, root, findings):
+    whole = rows(findings.filter(f"subject = '{BAD}'"))
+    by_name = read_corpus(spark, root).only([BAD])
+    assert rows(validate(by_name, check_runs=True)) == whole
+    chosen = spark.createDataFrame([(BAD,), (BAD,)], "subject string")
+    assert rows(validate(read_corpus(spark, root).only(chosen), check_runs=True)) == whole
+
+
+def test_names_reach_the_scan(spark, tmp_path):
+    from tallymark.plans.corpus import Corpus
+
+    path = str(tmp_path / "subjects")
+    spark.createDataFrame([("a/b", "a", "b", "p")], "subject string, clade string, slug string, path string").write.parquet(path)
+    plan = Corpus(spark, {"subjects": spark.read.parquet(path)}).only(["a/b"]).subjects._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(subject,a/b)" in plan or "In(subject" in plan
+
+
+def test_files_are_settled_by_digest(spark, root):
+    # A third of all files belong to one subject; only the one that differs meets the contigs.
+    sq = lambda s, bam, n, lengths: [(s, bam, i, "SQ", {"SN": f"c{i}", "LN": str(x)}) for i, x in enumerate(lengths)]
+    records = [r for k in range(30) for r in sq(GOOD, f"SAMN{k}", 4, [10, 20, 30, 40 + (k == 7)])]
+    contigs = [(GOOD, f"c{i}", x) for i, x in enumerate([10, 20, 30, 40])]
+    found = run_one(spark, root, "F004", bam_records=records, vcf_contigs=contigs).filter("severity <> 'skipped'")
+    assert [(r["subject"], "SAMN7.bam" in r["message"], r["detail"]) for r in found.collect()] == [(GOOD, True, "other length: c3")]
