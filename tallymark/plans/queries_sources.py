@@ -30,6 +30,7 @@ from tallymark.operators.ranking import (
     first_per_key,
     last_per_key,
     later_occurrences,
+    numbered,
     segment_by_marker,
 )
 from tallymark.operators.reconcile import missing_from, two_sided, without_companion
@@ -50,7 +51,7 @@ from tallymark.plans.driver import (
     user_days,
 )
 from tallymark.plans.registry import Check, finding, prefixes, skipped, text
-from tallymark.sources.lines import is_blank
+from tallymark.sources.lines import comma_fields, is_blank, quoted_records
 from tallymark.sources.metadata import labelled_value
 from tallymark.sources.observed import classify_lines, tag_records
 from tallymark.sources.records import projected
@@ -113,6 +114,25 @@ def tolerant_rows(t) -> DataFrame:
     )
 
 
+@query(
+    "q_quoted_records",
+    """SELECT source AS path, doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS INTEGER) AS line, length(text) AS n_chars, md5(text) AS digest
+    FROM (SELECT coalesce(source, '') AS source, doc_id, coalesce(text, '') AS text FROM documents)""",
+)
+def quoted_records_of_documents(t) -> DataFrame:
+    """A file for each source with a row for each document, whose text is a quoted field over many lines."""
+    text = F.coalesce("text", F.lit(""))
+    row = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+    parts = t.documents.select(F.coalesce("source", F.lit("")).alias("path"), "doc_id", F.posexplode(F.split(row, "\n")).alias("k", "value"))
+    numbered_lines = numbered(parts, ["path"], [F.floor(F.col("doc_id") / 1000)], ["doc_id", "k"], out="line")
+    records = quoted_records(numbered_lines.select("path", "line", "value"), ["path"], longest=1 << 28)
+    fields = comma_fields(F.col("value"))
+    return records.filter("whole").select(
+        "path", F.get(fields, F.lit(0)).cast("bigint").alias("doc_id"), "line",
+        F.length(F.get(fields, F.lit(1))).cast("bigint").alias("n_chars"), F.md5(F.get(fields, F.lit(1)).cast("binary")).alias("digest"),
+    )
+
+
 PLACE = ["l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice"]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallymark.functions.identifiers import INPUT_TYPES, extract_ids
 from tallymark.functions.text import binomial_slug, slugify, strip
 from tallymark.operators.ranking import later_occurrences
+from tallymark.session import cut
 from tallymark.sources.lines import (
     as_map,
     cell,
@@ -17,6 +18,7 @@ from tallymark.sources.lines import (
     headed,
     is_blank,
     last_index,
+    quoted_records,
 )
 
 # Columns a sheet must have.
@@ -93,9 +95,12 @@ def file_issues(subjects: DataFrame, files: DataFrame, name: str, source: str) -
 def parse_sheets(lines: DataFrame, source: str = "sheet") -> Scan:
     """Sample sheets from ``(subject, path, line, value)``.
 
-    Unusable rows are skipped and reported; odd ones are kept and reported.
+    Unusable rows are skipped and reported; odd ones are kept and reported. A quoted
+    field may go over several lines; rows are numbered, not lines.
     """
     keys = ["subject", "path"]
+    # Written once: header, rows and issues all start from the records.
+    lines = cut(quoted_records(lines, keys))
     rows = headed(lines, keys, comma_fields, first_line_only=True)
     header, fields = F.col("header"), F.col("fields")
     known = [*SHEET_COLUMNS, "library_id"]
@@ -176,7 +181,8 @@ def parse_sheets(lines: DataFrame, source: str = "sheet") -> Scan:
         ],
         F.lit(1),
     )
-    return Scan(kept, missing.unionByName(row_issues).unionByName(repeated))
+    endless = _issues(lines.filter("NOT whole"), source, [_issue("parse_error", F.lit("a quoted field does not end"))], F.col("line"))
+    return Scan(kept, missing.unionByName(row_issues).unionByName(repeated).unionByName(endless))
 
 
 def parse_configs(documents: DataFrame) -> Scan:

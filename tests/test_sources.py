@@ -324,3 +324,53 @@ def test_table_sink(spark, tmp_path):
     records.write_table(df, str(tmp_path / "t"), ["x", "y", "w"], "\r\n")
     part = next((tmp_path / "t").glob("part-*"))
     assert part.read_bytes() == b"x,y,w\r\na,,\r\n"
+
+
+def quoted(spark, texts, stretch=3, **more):
+    """(line, value, whole) of the records of each text."""
+    frame = spark.createDataFrame([(k, i, v) for k, t in enumerate(texts) for i, v in enumerate(t.split("\n"), 1)], "path int, line int, value string")
+    out = [[] for _ in texts]
+    for r in lines.quoted_records(frame.repartition(3), ["path"], stretch, **more).orderBy("path", "line").collect():
+        out[r["path"]].append((r["line"], r["value"], r["whole"]))
+    return out
+
+
+def plain_records(text):
+    import csv
+    import io
+
+    return [row or [""] for row in csv.reader(io.StringIO(text, newline=""))] or [[""]]
+
+
+def test_quoted_fields_over_lines_match_a_plain_reader(spark):
+    import random
+
+    texts = [
+        'a,b\n1,"x\ny"\n2,"p ""q""\n\n,r"\n3,z', '"', 'a"b,"c\nd",e\nx","y\nz"', '"a\n"b\n"c"\nd', 'a,5" pipe\nb,"6"" pipe\n7"\n8', "one line", '"",""\n"\n""\n",x',
+    ]
+    rng = random.Random(9)
+    texts += ["".join(rng.choice(['"', '""', ",", "\n", "a", "b", ',"', '",']) for _ in range(rng.randint(5, 120))) for _ in range(60)]
+    texts = [t.rstrip("\n") for t in texts if t.rstrip("\n")]
+    for text, got in zip(texts, quoted(spark, texts), strict=True):
+        assert [r[0] for r in got] == list(range(1, len(got) + 1)) and all(r[2] for r in got)
+        # Joined again, each record is what the plain reader makes of its lines.
+        assert [plain_records(v)[0] for _, v, _ in got] == plain_records(text), text
+
+
+def test_an_endless_quote_costs_its_record_only(spark):
+    (got,) = quoted(spark, ['h,i\n1,"open' + "\nline" * 40], longest=100)
+    assert got == [(1, "h,i", True), (2, '1,"open', False)]
+
+
+def test_sheet_with_line_ends_in_quotes(spark, tmp_path):
+    folder = tmp_path / "birds" / "q"
+    folder.mkdir(parents=True)
+    (folder / "sample_sheet.csv").write_text('sample_id,input_type,input,note\r\nSAMN1,srr,SRR1,"two\r\nlines, ""so"""\r\n\r\nSAMN2,srr,SRR2,x\r\n', newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40")
+    try:
+        scan = metadata.parse_sheets(lines.with_subject(lines.read_lines(spark, str(folder / "sample_sheet.csv"))))
+        assert rows(scan.rows, "line", "sample_id", "extra") == [(2, "SAMN1", {"note": 'two\nlines, "so"'}), (4, "SAMN2", {"note": "x"})]
+        assert rows(scan.issues, "line", "code") == [(3, "blank_row")]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
