@@ -37,3 +37,34 @@ def test_expired(spark):
     df = spark.sql("SELECT * FROM VALUES ('old', TIMESTAMP '2024-01-01 00:00:00'), ('new', TIMESTAMP '2024-01-09 00:00:00') t(k, at)")
     now = F.lit("2024-01-10 00:00:00").cast("timestamp")
     assert rows(expired(df, "at", now, "7 DAYS"), "k") == [("old",)]
+
+
+def test_lookups_expire_and_are_renewed(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from tallymark.streaming.lookups import REQUESTS, run_lookups
+
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "key string, day int, answered boolean"
+
+    def arrive(*events):
+        spark.createDataFrame(list(events), schema).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = listing_stream(spark, source, spark.read.parquet(source).schema, 1)
+        at = F.timestamp_seconds(F.col("day") * 86_400)
+        run_lookups(stream.select("key", at.alias("at"), "answered"), 7 * 86_400_000, target, progress)
+        return [(k, due // 86_400_000) for k, due in rows(spark.read.schema(REQUESTS).parquet(target), "key", "due_ms")]
+
+    arrive(("a", 1, True), ("b", 1, True), ("c", 1, False))
+    assert run() == [("c", 1)]
+    # Asked again while the answer is good; one answer is renewed. The query starts anew each time.
+    arrive(("a", 6, True), ("b", 6, False), ("d", 6, None))
+    assert run() == [("c", 1), ("d", 6)]
+    assert run() == [("c", 1), ("d", 6)]
+    # Time moves on by another key's event: both answers expire, each a week after its newest.
+    arrive(("e", 20, True))
+    assert run() == [("a", 13), ("b", 8), ("c", 1), ("d", 6)]
+    # What has expired is forgotten: a question about it is a request of its own.
+    arrive(("b", 21, False))
+    assert ("b", 21) in run()
