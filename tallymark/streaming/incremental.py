@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.operators.upsert import change_only, read_current, write_changes
+from tallymark.operators.upsert import COMPACT_EVERY, change_only, compact, read_current, write_changes
 
 
 def listing_stream(
@@ -33,6 +33,7 @@ def run_incremental(
     target: str,
     checkpoint: str,
     volatile: Sequence[str] = (),
+    compact_every: int = COMPACT_EVERY,
 ) -> None:
     """Process everything that has arrived, then stop.
 
@@ -40,18 +41,18 @@ def run_incremental(
     batch touches; ``current`` are their records from earlier batches. Only
     new and changed records are written, to a directory per batch that a
     repeated attempt replaces, and ``current`` never includes what a failed
-    attempt of the same batch left behind.
+    attempt of the same batch left behind. Reading it opens what may hold touched
+    keys; every ``compact_every`` batches the earlier ones become one base.
     """
     # An empty first batch, so that the target can always be read.
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{target}/batch=-1")
+    spark.createDataFrame([], schema).withColumn("bucket", F.lit(0)).write.mode("ignore").partitionBy("bucket").parquet(f"{target}/batch=-1")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(*keys).distinct()
-        current = read_current(spark, target, keys, schema, before=batch_id).join(
-            touched, list(keys), "left_semi"
-        )
+        if batch_id and batch_id % compact_every == 0:
+            compact(spark, target, keys, schema, batch_id - 1)
+        current = read_current(spark, target, keys, schema, before=batch_id, touched=batch.select(*keys))
         fresh = refresh(batch, current).select(*schema.names)
-        write_changes(change_only(current, fresh, keys, volatile), target, batch_id)
+        write_changes(change_only(current, fresh, keys, volatile), target, batch_id, keys)
 
     (
         stream.writeStream.foreachBatch(handle)

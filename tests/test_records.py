@@ -186,10 +186,10 @@ def test_change_only_and_run_twice(spark, tmp_path):
     ]
     root = str(tmp_path / "r")
     empty = spark.createDataFrame([], SCHEMA)
-    write_changes(change_only(empty, old, ["k"], ["stamp"]), root, 0)
+    write_changes(change_only(empty, old, ["k"], ["stamp"]), root, 0, ["k"])
     current = lambda: read_current(spark, root, ["k"], empty.schema)
     for _ in range(2):  # a repeated attempt leaves the same result
-        write_changes(change_only(read_current(spark, root, ["k"], empty.schema, before=1), new, ["k"], ["stamp"]), root, 1)
+        write_changes(change_only(read_current(spark, root, ["k"], empty.schema, before=1), new, ["k"], ["stamp"]), root, 1, ["k"])
     assert rows(spark.read.parquet(f"{root}/batch=1"), "k") == [("fresh",), ("moved",)]
     assert rows(current(), "k", "v", "stamp") == [
         ("fresh", 1, "t1"), ("gone", 1, "t0"), ("moved", 2, "t1"), ("nulls", None, "t0"), ("same", 1, "t0")

@@ -1,5 +1,7 @@
 """Batches add up, and a second run over the same files changes nothing."""
 
+import re
+
 from conftest import rows
 
 from tallymark.operators.upsert import read_current
@@ -68,3 +70,42 @@ def test_lookups_expire_and_are_renewed(spark, tmp_path):
     # What has expired is forgotten: a question about it is a request of its own.
     arrive(("b", 21, False))
     assert ("b", 21) in run()
+
+
+def test_current_records_over_batches_a_repeat_and_a_base(spark, tmp_path):
+    from tallymark.operators.upsert import compact, write_changes
+
+    root = str(tmp_path / "records")
+    schema = spark.createDataFrame([], "k long, v string").schema
+
+    def write(n, *pairs):
+        write_changes(spark.createDataFrame([(*p, "changed") for p in pairs], "k long, v string, outcome string"), root, n, ["k"])
+
+    def current(**more):
+        return rows(read_current(spark, root, ["k"], schema, **more), "k", "v")
+
+    write(0, *((i, "a") for i in range(300)))
+    write(1, (3, "b"), (900, "b"))
+    write(1, (3, "c"), (901, "c"))  # the attempt before is replaced
+    want = [(i, "c" if i == 3 else "a") for i in range(300)] + [(901, "c")]
+    assert current() == sorted(want, key=repr)
+    compact(spark, root, ["k"], schema, 1)
+    write(2, (4, "d"))
+    after = sorted([(i, "d" if i == 4 else v) for i, v in want], key=repr)
+    assert current() == after and current(before=2) == sorted(want, key=repr) and current(before=1) == sorted([(i, "a") for i in range(300)], key=repr)
+    touched = spark.createDataFrame([(3,), (4,), (999,)], "k long")
+    found = read_current(spark, root, ["k"], schema, touched=touched)
+    assert rows(found, "k", "v") == [(3, "c"), (4, "d")]
+    # Three buckets of the base and of the batch after it are opened, and the names reach their files.
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*bucket[^\]]*\bIN\b", plan, re.IGNORECASE) and "In(k" in plan
+
+
+def test_a_stream_with_compactions_between(spark, tmp_path):
+    source, target, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    for i in range(7):
+        spark.createDataFrame([(i % 3, "error" if i == 4 else "click"), (10 + i, "view")], EVENTS).coalesce(1).write.mode("append").parquet(source)
+    stream = listing_stream(spark, source, spark.read.parquet(source).schema, 1)
+    run_incremental(spark, stream, ["subject"], refresh_states, STATES, target, progress, compact_every=3)
+    got = rows(read_current(spark, target, ["subject"], STATES), "subject", "n_seen", "n_error")
+    assert got[:3] == [(0, 3, 0), (1, 2, 1), (10, 1, 0)] and len(got) == 10
