@@ -46,7 +46,7 @@ from tallymark.llm.common import ship, stored, text_key
 WIDTH = 200
 KEY = 80
 # Bytes that are hashed together, below 2**24.
-TOGETHER = 1 << 22
+TOGETHER = 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _ODD = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
