@@ -36,6 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,6 +108,26 @@ def _texts(batch: pa.RecordBatch, column: int) -> list[bytes]:
     return [one or b"" for one in batch.column(column).cast(pa.binary()).to_pylist()]
 
 
+def packed(texts: DataFrame) -> DataFrame:
+    """The same rows, their texts compressed one by one for the way through a shuffle."""
+    schema = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "text" else f.dataType) for f in texts.schema])
+    at = texts.columns.index("text")
+
+    def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            columns = batch.columns
+            columns[at] = pa.array(list(map(compress, _texts(batch, at))), pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return texts.mapInArrow(compute, schema)
+
+
+def _unpacked(batch: pa.RecordBatch, column: int) -> list[bytes]:
+    decompress = zstandard.ZstdDecompressor().decompress
+    return [decompress(one) for one in batch.column(column).to_pylist()]
+
+
 def trigger_keys(texts: DataFrame) -> DataFrame:
     """key (of a text), trigger (hash of its KEY bytes) and n, how often it stands in the text; columns key, text."""
 
@@ -125,7 +146,7 @@ def trigger_keys(texts: DataFrame) -> DataFrame:
 
 
 def found_stretches(texts: DataFrame) -> DataFrame:
-    """The stretches at the wanted triggers: doc_id, key, first, trigger, last, name; columns doc_id, key, text, wanted.
+    """The stretches at the wanted triggers: doc_id, key, first, trigger, last, name; columns doc_id, key, text (packed), wanted.
 
     The phrase read backwards and the right side stand where a batch meets a name for the first time.
     """
@@ -135,7 +156,7 @@ def found_stretches(texts: DataFrame) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, lists = _texts(batch, 2), batch.column(3)
+            every, lists = _unpacked(batch, 2), batch.column(3)
             lengths = np.asarray(lists.value_lengths(), np.int64)
             wanted = np.repeat(np.arange(len(every)), lengths).astype(np.uint64) * _ODD[1] ^ np.asarray(lists.flatten()).view(np.uint64)
             for pieces in pieces_of(every):
@@ -290,7 +311,7 @@ def repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Data
     triggers = trigger_keys(texts.select("key", "text"))
     twice = stored(triggers.groupBy("trigger").agg(F.sum("n").alias("n")).filter("n > 1").select("trigger"), "repeated-triggers")
     wanted = stored(triggers.select("key", "trigger").join(twice, "trigger").groupBy("key").agg(F.collect_set("trigger").alias("wanted")), "wanted-triggers")
-    met = stored(found_stretches(texts.join(wanted, "key")), "stretches")
+    met = stored(found_stretches(packed(texts).join(wanted, "key")), "stretches")
     one = met.groupBy("name").agg(
         F.count("*").alias("n"), F.min("back").alias("back"), F.min("ahead").alias("ahead"),
         F.min(F.col("trigger") - F.col("last")).alias("near"), F.min(F.col("trigger") - F.col("first")).alias("far"),
@@ -327,7 +348,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     """doc_id, n_bytes, spans (starts and ends of removed runs), n_removed and the kept bytes of every row."""
     ship(docs.sparkSession)
     found = stored(repeats(docs, text, id_col), "repeats")
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
+    rows = packed(docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text")))
     held = found.withColumnsRenamed({"doc_id": "of", "key": "of_key"})
     joined = rows.join(held, rows["key"].eqNullSafe(held["of_key"]) & rows["doc_id"].eqNullSafe(held["of"]), "left").select("doc_id", "text", "places")
     kinds = (("doc_id", rows.schema["doc_id"].dataType), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("spans", T.ArrayType(T.LongType())), ("kept", T.BinaryType()))
@@ -336,7 +357,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for one, places in zip(_texts(batch, 1), batch.column(2).to_pylist(), strict=True):
+            for one, places in zip(_unpacked(batch, 1), batch.column(2).to_pylist(), strict=True):
                 spans = covered(len(one), places) if places else np.zeros((0, 2), np.int64)
                 at = [0, *spans.ravel().tolist(), len(one)]
                 kept = b"".join(one[a:b] for a, b in zip(at[::2], at[1::2], strict=True))
