@@ -3,6 +3,7 @@
 import collections
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 
 pytest.importorskip("duckdb")
@@ -90,5 +91,23 @@ def test_short_near_copies_do_not_meet_at_what_they_share(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     texts = docs.select(text_key(docs["text"]).alias("key"), "text")
     places = near_texts.at_shingles(texts, near_texts.often_shared(texts))
-    met = near_texts.meeting(places.withColumn("root", places["key"])).count()
-    assert met < len(rows) ** 2 / 20
+    rooted = places.withColumn("root", places["key"])
+    met = set(map(tuple, near_texts.meeting(rooted.withColumns(dict.fromkeys(near_texts.SHORT, F.lit(0)))).collect()))
+    assert len(met) < len(rows) ** 2 / 20
+    # Short sketches tell some of them apart where they meet, and no near ones.
+    signs = near_texts.signatures(texts).select("key", *near_texts.SHORT)
+    kept = set(map(tuple, near_texts.meeting(rooted.join(signs, "key")).collect()))
+    keys = [r["key"] for r in texts.collect()]
+    members = dict(near_texts.shingle_sets([r["text"].encode() for r in texts.collect()]))
+    sets = {key: members[i] for i, key in enumerate(keys)}
+    assert kept < met and not any(near_texts.near(sets[a], sets[b]) for a, b in met - kept)
+
+
+def test_short_sketches_differ_in_no_more_bits_than_the_sets_in_members():
+    rng = np.random.default_rng(8)
+    for n in (3, 40, 600, 5000):
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for changed in (0, 1, n // 10, n):
+            b = np.concatenate((a[changed:], rng.integers(0, 1 << 63, changed).astype(np.uint64)))
+            differ = near_texts.parities(a, near_texts.MEETING) != near_texts.parities(b, near_texts.MEETING)
+            assert differ.sum() <= len(np.setxor1d(a, b))
