@@ -16,11 +16,15 @@ Places count code points, the end is exclusive. Weights are whole numbers of
 Defined cases: a null text is an empty one, without spans. Repeated rows are scanned
 one by one. Without samples of both labels every weight is zero and nothing is added.
 Null samples or labels count nothing. An empty table gives no rows. Other columns are
-passed on; one with the name of a result is replaced.
+passed on; one with the name of a result is replaced. Very long texts and tokens take
+time in proportion to their length, but for texts that hold very many known forms and
+very many random tokens both: each of the latter is held against each of the former.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,21 +46,43 @@ SCALE = 1_000_000
 # Log-likelihood ratio in nats above which a token counts as random.
 EVIDENCE = 10.0
 SAMPLES = 20_000
+# Matches that are placed together.
+STRETCH = 64
 RESULTS = ("n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")
 
 
 def _found(text: Column, pattern: str) -> Column:
-    """Every match, leftmost and without overlap: at, to, match."""
+    """Every match, leftmost and without overlap: at, to, match.
+
+    Matches are placed within stretches of STRETCH of them, and stretches behind each
+    other, so a text of very many matches never grows one long array match by match.
+    """
     matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    start = F.struct(F.lit(0).alias("to"), F.array().cast("array<struct<at:int,to:int,match:string>>").alias("out"))
+    empty = F.array().cast("array<struct<at:int,to:int,match:string>>")
+    pair = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), matches.alias("match"))
+
+    def step(state: Column, one: Column) -> Column:
+        at = state["to"] + F.length(one["gap"])
+        to = at + F.length(one["match"])
+        return F.struct(to.alias("to"), F.concat(state["out"], F.array(F.struct(at.alias("at"), to.alias("to"), one["match"].alias("match")))).alias("out"))
+
+    def placed(pairs: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(pairs), F.lit(STRETCH))
+        return F.transform(firsts, lambda i: F.aggregate(F.slice(pairs, i, F.lit(STRETCH)), F.struct(F.lit(0).alias("to"), empty.alias("out")), step))
 
-    def step(state: Column, pair: Column) -> Column:
-        at = state["to"] + F.length(pair["gap"])
-        to = at + F.length(pair["match"])
-        return F.struct(to.alias("to"), F.concat(state["out"], F.array(F.struct(at.alias("at"), to.alias("to"), pair["match"].alias("match")))).alias("out"))
+    def joined(stretches: Column) -> Column:
+        start = F.struct(F.lit(0).alias("to"), F.array().cast("array<int>").alias("out"))
+        grown = lambda s, x: F.struct((s["to"] + x["to"]).alias("to"), F.concat(s["out"], F.array(s["to"])).alias("out"))
+        moved = lambda x: F.transform(x["one"]["out"], lambda m: F.struct((m["at"] + x["by"]).alias("at"), (m["to"] + x["by"]).alias("to"), m["match"].alias("match")))
+        behind = F.aggregate(stretches, start, grown, lambda s: s["out"])
+        return F.flatten(F.transform(F.arrays_zip(stretches.alias("one"), behind.alias("by")), moved))
 
-    pairs = F.arrays_zip(F.slice(gaps, F.lit(1), F.size(matches)).alias("gap"), matches.alias("match"))
-    return F.when(text.rlike(pattern), F.aggregate(pairs, start, step, lambda s: s["out"])).otherwise(start["out"])
+    return F.when(text.rlike(pattern), _with(_with(pair, placed), joined)).otherwise(empty)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the value, which is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _text(docs: DataFrame, text: str) -> Column:
@@ -86,17 +112,22 @@ def labelled_samples(docs: DataFrame, text: str = "text", limit: int = SAMPLES)
     return each.groupBy("secret", slot.alias("slot")).agg(F.min_by("sample", F.struct(F.xxhash64(F.lit(1), "sample"), "sample")).alias("sample")).select("sample", "secret")
 
 
-def _state(sample: Column, i: Column) -> Column:
-    """The letter at place i as a number from 1; 0 in front of the first and for other letters."""
-    return F.when(i < 1, F.lit(0)).otherwise(F.call_function("locate", F.substr(sample, i, F.lit(1)), F.lit(LETTERS)))
+def _states(sample: Column) -> Column:
+    """The letters as numbers from 1, 0 for other ones, and 0 in front of the first."""
+    return F.concat(F.array(F.lit(0)), F.transform(F.split(sample, ""), lambda letter: F.call_function("locate", letter, F.lit(LETTERS))))
+
+
+def _pairs(sample: Column) -> Column:
+    """Numbers of the steps from letter to letter, the one to the first letter included."""
+    states = _states(sample)
+    return F.zip_with(F.slice(states, F.lit(1), F.size(states) - 1), F.slice(states, F.lit(2), F.size(states) - 1), lambda a, b: a * STATES + b)
 
 
 def trained(samples: DataFrame) -> list[int]:
     """Weights by previous and next letter, STATES * STATES numbers: log random / ordinary, times SCALE."""
     usable = samples.filter("sample is not null and length(sample) > 0 and secret is not null").select("sample", (F.col("secret") == 1).cast("int").alias("secret"))
-    steps = usable.select("secret", "sample", F.explode(F.sequence(F.lit(1), F.length("sample"))).alias("i"))
-    pair = _state(F.col("sample"), F.col("i") - 1) * STATES + _state(F.col("sample"), F.col("i"))
-    counts = steps.groupBy(pair.alias("pair")).agg(F.sum("secret").alias("random"), F.sum(1 - F.col("secret")).alias("plain"))
+    steps = usable.select("secret", F.explode(_pairs(F.col("sample"))).alias("pair"))
+    counts = steps.groupBy("pair").agg(F.sum("secret").alias("random"), F.sum(1 - F.col("secret")).alias("plain"))
     cells = samples.sparkSession.range(STATES * STATES).select(F.col("id").cast("int").alias("pair")).join(counts, "pair", "left").na.fill(0)
     row = Window.partitionBy(F.floor(F.col("pair") / STATES))
     every = Window.partitionBy()
@@ -108,8 +139,7 @@ def trained(samples: DataFrame) -> list[int]:
 
 def log_ratio(sample: Column, weights: Column) -> Column:
     """Log-likelihood ratio of random against ordinary, times SCALE."""
-    step = lambda s, i: s + F.get(weights, _state(sample, i - 1) * STATES + _state(sample, i))
-    return F.aggregate(F.sequence(F.lit(1), F.length(sample)), F.lit(0).cast("bigint"), step)
+    return F.aggregate(_pairs(sample), F.lit(0).cast("bigint"), lambda s, pair: s + F.get(weights, pair))
 
 
 def scanned(docs: DataFrame, weights: list[int], text: str = "text", evidence: float = EVIDENCE) -> DataFrame:

@@ -147,6 +147,29 @@ def test_secret_models_tell_held_out_strings_apart(spark):
     assert set(secrets.trained(spark.createDataFrame([("abc", 1)], "sample string, secret int"))) == {0}
 
 
+def test_secrets_in_very_long_texts(spark):
+    rng = np.random.default_rng(11)
+    weights = rng.integers(-900_000, 1_000_000, secrets.STATES**2).tolist()
+    letters = np.array(list(secrets.LETTERS))
+    tokens = ["".join(rng.choice(letters, rng.integers(3, 40))) for _ in range(20_000)]
+    texts = [" ".join(tokens), "".join(rng.choice(letters, 200_000)), "é😀 " * 1000 + " ".join(tokens[:200]), "token=" + "x" * 100_000]
+    number = {c: i + 1 for i, c in enumerate(secrets.LETTERS)}
+
+    def plain_random(text):
+        for m in re.finditer(secrets.TOKEN, text):
+            at = [0, *[number[c] for c in m[0]]]
+            if len(at) > secrets.CANDIDATE and sum(weights[a * secrets.STATES + b] for a, b in zip(at, at[1:])) > secrets.EVIDENCE * secrets.SCALE:
+                yield m.start(), m.end()
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in secrets.scanned(docs, weights).collect()}
+    for i, text in enumerate(texts):
+        known = [(int(a), int(b), k) for k, a, b in (x.split(":") for x in plain_spans(text).split(",") if x)]
+        spans = [(a, secrets.KINDS.index(k), b) for a, b, k in known]
+        spans += [(a, 3, b) for a, b in plain_random(text) if not any(x < b and a < y for x, y, _ in known)]
+        assert got[i] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans))
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(0)
     for values in ([], [0], [0, 0, 0], [5], list(range(1000)), np.cumsum(rng.integers(0, 5000, 3000)), np.cumsum(rng.integers(0, 2, 500)), [0, 1 << 40]):
