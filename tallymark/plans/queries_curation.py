@@ -30,14 +30,19 @@ def _key(column: str = "doc_id"):
     return F.col(column).alias("bioproject")
 
 
+def _key_unless(elsewhere):
+    """Keys of the documents; those on the condition get keys that only they have."""
+    return F.when(elsewhere, -1 - F.col("doc_id")).otherwise(F.col("doc_id")).alias("bioproject")
+
+
 def _labelled(t) -> DataFrame:
     return t.documents.join(t.labels, "doc_id", "left")
 
 
 @query(
     "q_overlay",
-    f"""WITH r AS (SELECT doc_id, {_LABEL_SQL} AS r FROM labels), q AS (SELECT doc_id, CASE WHEN n_chars > 1000 THEN 'confirmed' ELSE 'unreviewed' END AS q
-      FROM documents WHERE lang <> 'de'),
+    f"""WITH r AS (SELECT doc_id, {_LABEL_SQL} AS r FROM labels), q AS (SELECT CASE WHEN lang = 'de' THEN -1 - doc_id ELSE doc_id END AS doc_id,
+      CASE WHEN n_chars > 1000 THEN 'confirmed' ELSE 'unreviewed' END AS q FROM documents),
     b AS (SELECT coalesce(r.doc_id, q.doc_id) AS bioproject, r, q, q IS NOT NULL AND NOT (coalesce(r, '') IN ('confirmed', 'not_found') AND q = 'unreviewed') AS fq
       FROM r FULL JOIN q ON r.doc_id = q.doc_id)
     SELECT bioproject, CASE WHEN fq THEN q ELSE r END AS status, CASE WHEN fq THEN 'queue' ELSE 'record' END AS source,
@@ -45,8 +50,8 @@ def _labelled(t) -> DataFrame:
 )
 def overlaid(t) -> DataFrame:
     record = t.labels.select(_key(), _status_of_label().alias("status"))
-    queue = t.documents.filter("lang <> 'de'").select(
-        _key(), F.when(F.col("n_chars") > 1000, "confirmed").otherwise("unreviewed").alias("status")
+    queue = t.documents.select(
+        _key_unless(F.col("lang") == "de"), F.when(F.col("n_chars") > 1000, "confirmed").otherwise("unreviewed").alias("status")
     )
     return overlay(record, queue).withColumn("unfiled", flag(F.col("unfiled")))
 
@@ -121,8 +126,9 @@ _QUEUED_SQL = f"""SELECT l.doc_id, {_LABEL_SQL} AS status, CASE WHEN toxic = 1 T
 
 @query(
     "q_merge_proposals",
-    f"""WITH q AS ({_QUEUED_SQL} UNION ALL SELECT d.doc_id, 'unreviewed', '', '', n_chars, 2 FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels) AND lang = 'en'),
-    p AS (SELECT doc_id, 'unreviewed' AS status, source AS title, lang AS submitter, n_chars AS weight, 1 AS n_subjects FROM documents WHERE lang <> 'de'),
+    f"""WITH q AS ({_QUEUED_SQL} UNION ALL SELECT CASE WHEN lang <> 'en' THEN -1 - d.doc_id ELSE d.doc_id END, 'unreviewed', '', '', n_chars, 2
+      FROM documents d WHERE d.doc_id NOT IN (SELECT doc_id FROM labels)),
+    p AS (SELECT CASE WHEN lang = 'de' THEN -1 - doc_id ELSE doc_id END AS doc_id, 'unreviewed' AS status, source AS title, lang AS submitter, n_chars AS weight, 1 AS n_subjects FROM documents),
     b AS (SELECT coalesce(q.doc_id, p.doc_id) AS bioproject, q.doc_id IS NULL AS is_new, p.doc_id IS NULL AS untouched,
       q.status AS qs, p.status AS ps, q.title AS qt, p.title AS pt, q.submitter AS qu, p.submitter AS pu, q.weight AS qw, p.weight AS pw, q.n_subjects AS qn, p.n_subjects AS pn
       FROM q FULL JOIN p ON p.doc_id = q.doc_id),
@@ -140,11 +146,11 @@ def merged_proposals(t) -> DataFrame:
         F.when(F.col("toxic") == 1, "").otherwise(F.concat(F.lit("old "), "source")).alias("title"),
         blank.alias("submitter"), weight, n(1),
     )
-    waiting = t.documents.filter("lang = 'en'").join(t.labels, "doc_id", "left_anti").select(
-        _key(), F.lit("unreviewed").alias("status"), blank.alias("title"), blank.alias("submitter"), weight, n(2)
+    waiting = t.documents.join(t.labels, "doc_id", "left_anti").select(
+        _key_unless(F.col("lang") != "en"), F.lit("unreviewed").alias("status"), blank.alias("title"), blank.alias("submitter"), weight, n(2)
     )
-    proposed = t.documents.filter("lang <> 'de'").select(
-        _key(), F.lit("unreviewed").alias("status"), F.col("source").alias("title"), F.col("lang").alias("submitter"), weight, n(1)
+    proposed = t.documents.select(
+        _key_unless(F.col("lang") == "de"), F.lit("unreviewed").alias("status"), F.col("source").alias("title"), F.col("lang").alias("submitter"), weight, n(1)
     )
     return merge_proposals(settled.unionByName(waiting), proposed).withColumn("changed", flag(F.col("changed")))
 
