@@ -3,35 +3,39 @@
 A small network predicts a word from WINDOW words on both sides. A text's score is
 the sum of the log-probabilities of all its words, each given its neighbours.
 
-* Vocabulary: word counts of the whole corpus; the commonest words have an id of
-  their own, the others share HASHED ids by hash.
+* Vocabulary: counts of all words of the corpus, a table that grows with it. The
+  commonest WORDS have an id of their own, the others share HASHED ids by hash.
+* A word without its own id adds the logarithm of its share of its bucket, by the table of
+  counts. The COMMON words are looked up where the text is read; rarer ones, each of
+  which is a small part of the corpus, are joined with the table.
 * Network: embeddings of the neighbours by place, one hidden layer, and a softmax in
   two steps, class (id // CLASS) and member, so that a word costs two short rows.
 * Training: in each round every task goes over all its documents, masks a share of
   the places picked by hash, and takes Adagrad steps from the round's parameters.
   The rounds' shares are disjoint, and together they are every place.
   Parameters are averaged by the number of masked words. They travel as whole
-  numbers of 1/SCALE, so the average does not depend on the order of tasks; a task
-  sends one row for each parameter, whatever it has read.
+  numbers of 1/SCALE, so the average does not depend on the order of tasks. A task's
+  steps depend on what it reads, so scores differ a little where files are split otherwise.
 
 Defined cases: a null or empty text has no words and scores 0. Repeated rows are
-scored each. An empty table gives an empty model of zeros and no rows. Texts of any
+scored each. An empty table gives an untrained model and no rows. Texts of any
 length are taken in stretches of STRETCH words. Other columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import ascii_lower, ship, spaced_words, stored
+from tallymark.llm.common import ship, stored
 
 WORDS = 960
 HASHED = 64
@@ -43,8 +47,18 @@ ROUNDS = 2
 # The rounds' places are disjoint and together all.
 MASKED = 1 / ROUNDS
 RATE = 0.1
-STEP = 1024
+STEP = 2048
 STRETCH = 1 << 15
+# Places that are scored together.
+TOGETHER = 1 << 12
+# Words that every task holds with their counts, at most.
+COMMON = 1 << 16
+# Different words a task counts before it gives them out, and rows of such a batch.
+HELD = 1 << 18
+ROWS = 1 << 14
+# Parameters in a row, and groups of tasks that are added up first.
+PIECE = 4096
+SALTS = 256
 SCALE = 1 << 24
 SEED = 11
 
@@ -63,6 +77,8 @@ class Shape:
     def __post_init__(self):
         if (self.words + self.hashed) % CLASS:
             raise ValueError(f"ids must fill classes of {CLASS}")
+        if self.words + self.hashed >= 1 << 15:
+            raise ValueError("ids are written in 16 bits")
         n, c = self.words + self.hashed, (self.words + self.hashed) // CLASS
         self.parts = [
             ("embed", (n + 1, self.width)), ("mix", (2 * self.window * self.width, self.hidden)), ("mix_bias", (self.hidden,)),
@@ -87,34 +103,111 @@ class Shape:
         return out
 
 
-def vocabulary(docs: DataFrame, text: str = "text", shape: Shape | None = None) -> tuple[list[str], np.ndarray]:
-    """The commonest words, most frequent first, and the count of every id."""
+@dataclass
+class Vocabulary:
+    """The words of a corpus: ``counts`` and ``kinds`` (different words) of every id, ``common`` words with their counts, and ``table`` (word, n) of all of them."""
+
+    words: list[str]
+    counts: np.ndarray
+    kinds: np.ndarray
+    common: dict[bytes, int]
+    table: DataFrame
+
+
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """word (binary) and n of every word; a task adds up its own first."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: Counter[bytes] = Counter()
+
+        def given() -> Iterator[pa.RecordBatch]:
+            words, n = list(held.keys()), list(held.values())
+            for a in range(0, len(words), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(words[a : a + ROWS], pa.binary()), pa.array(n[a : a + ROWS], pa.int64())], names=["word", "n"])
+            held.clear()
+
+        for batch in batches:
+            for one in batch.column(0).cast(pa.binary()):
+                held.update((one.as_py() or b"").lower().split())
+                if len(held) > HELD:
+                    yield from given()
+        yield from given()
+
+    partial = docs.select(F.col(text).alias("text")).mapInArrow(count, "word binary, n long")
+    return partial.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame, text: str = "text", shape: Shape | None = None, common: int = COMMON) -> Vocabulary:
+    """Counts of all words, stored; the commonest ones with an id of their own, most frequent first."""
     shape = shape or Shape()
-    every = docs.select(F.explode(spaced_words(ascii_lower(F.col(text)))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
-    counts = stored(every, "word-counts")
-    common = counts.orderBy(F.desc("n"), "word").limit(shape.words).collect()
-    known = {r["word"]: i for i, r in enumerate(common)}
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    rest = max(0, total - sum(r["n"] for r in common))
-    each = np.zeros(shape.edge)
-    each[: len(known)] = [r["n"] for r in common]
-    each[shape.words :] = rest / shape.hashed
-    return list(known), each
-
-
-class Words:
-    """Texts to ids."""
-
-    def __init__(self, words: list[str], shape: Shape):
-        self.ids = {w.encode(): i for i, w in enumerate(words)}
+    table = stored(word_counts(docs, text), "word-counts")
+    # Counts in bands, so that what goes to the driver has a bound and no task sorts all words.
+    band = F.floor(16 * F.log2("n")).cast("int")
+    bands = sorted(((r["band"], r["count"]) for r in table.groupBy(band.alias("band")).count().collect()), reverse=True)
+    running = np.cumsum([0] + [n for _, n in bands])
+    enough = next((b for (b, _), n in zip(bands, running[1:], strict=True) if n >= shape.words), 0)
+    first = table.filter(band >= enough).orderBy(F.desc("n"), "word").limit(shape.words).collect()
+    within = [b for (b, _), n in zip(bands, running[1:], strict=True) if n <= common]
+    known = {bytes(r["word"]): r["n"] for r in (table.filter(band >= within[-1]).collect() if within else [])}
+    # Every word by its bucket; those with an id of their own are taken out again.
+    buckets = table.groupBy(F.pmod(F.crc32("word"), F.lit(shape.hashed)).alias("bucket")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+    counts, kinds = np.zeros(shape.edge), np.zeros(shape.edge)
+    for r in buckets.collect():
+        counts[shape.words + r["bucket"]], kinds[shape.words + r["bucket"]] = r["n"], r["kinds"]
+    for i, r in enumerate(first):
+        bucket = shape.words + zlib.crc32(r["word"]) % shape.hashed
+        counts[i], kinds[i] = r["n"], 1
+        counts[bucket] -= r["n"]
+        kinds[bucket] -= 1
+    return Vocabulary([bytes(r["word"]).decode() for r in first], counts, kinds, known, table)
+
+
+class Words(dict):
+    """Ids by word; a word without its own has that of its bucket. Only words the corpus is full of are held."""
+
+    def __init__(self, words: list[str], common: dict[bytes, int], shape: Shape):
+        super().__init__((w, shape.words + zlib.crc32(w) % shape.hashed) for w in common)
+        self.update((w.encode(), i) for i, w in enumerate(words))
         self.shape = shape
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        words = (text or b"").lower().split()
-        found = np.fromiter((self.ids.get(w, -1) for w in words), np.int32, len(words))
-        for i in np.flatnonzero(found < 0).tolist():
-            found[i] = self.shape.words + zlib.crc32(words[i]) % self.shape.hashed
-        return found
+    def __missing__(self, word: bytes) -> int:
+        # Rare words are told apart by their sign.
+        return -1 - zlib.crc32(word) % self.shape.hashed
+
+
+def share(n: Column | np.ndarray, counts: Column | np.ndarray, kinds: Column | np.ndarray) -> Column | np.ndarray:
+    """A word's part of its bucket: one more than its count, out of one more for every word there and one for all unseen ones."""
+    return (n + 1) / (counts + kinds + 1)
+
+
+def as_ids(docs: DataFrame, known: Vocabulary, text: str = "text", id_col: str = "doc_id", shape: Shape | None = None) -> DataFrame:
+    """doc_id, n_words, ids (16 bits each), shares (log, of the common words without an id), rare (the other words without one) and a number of every row, stored."""
+    shape = shape or Shape()
+    ship(docs.sparkSession)
+    words, common, counts, kinds = known.words, known.common, known.counts, known.kinds
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    schema = T.StructType([
+        T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()), T.StructField("ids", T.BinaryType()),
+        T.StructField("shares", T.DoubleType()), T.StructField("rare", T.ArrayType(T.BinaryType())),
+    ])
+
+    def translate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_ids = Words(words, common, shape)
+        log_share = {w: float(np.log(share(n, counts[to_ids[w]], kinds[to_ids[w]]))) for w, n in common.items() if to_ids[w] >= shape.words}
+        for batch in batches:
+            n, ids, shares, rare = [], [], [], []
+            for one in batch.column(1).cast(pa.binary()):
+                every = (one.as_py() or b"").lower().split()
+                found = np.fromiter(map(to_ids.__getitem__, every), np.int16, len(every))
+                n.append(len(every))
+                rare.append([every[i] for i in np.flatnonzero(found < 0).tolist()])
+                shares.append(sum(log_share[every[i]] for i in np.flatnonzero(found >= shape.words).tolist()))
+                ids.append(np.where(found < 0, shape.words - 1 - found, found).astype("<i2").tobytes())
+            columns = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(shares, pa.float64()), pa.array(rare, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_words", "ids", "shares", "rare"])
+
+    # Stored, so that a row has one number, whichever task reads it.
+    return stored(rows.mapInArrow(translate, schema).withColumn("row", F.monotonically_increasing_id()), "word-ids")
 
 
 def initial(shape: Shape, counts: np.ndarray, seed: int = SEED) -> np.ndarray:
@@ -131,74 +224,104 @@ def initial(shape: Shape, counts: np.ndarray, seed: int = SEED) -> np.ndarray:
     return vector
 
 
-def contexts(ids: np.ndarray, ends: np.ndarray, shape: Shape) -> np.ndarray:
-    """The neighbours of every place, left to right; texts end before the places in ``ends``."""
-    n, w = len(ids), shape.window
-    text = np.searchsorted(ends, np.arange(n), "right")
-    out = np.full((n, 2 * w), shape.edge, np.int32)
-    for k, step in enumerate([*range(-w, 0), *range(1, w + 1)]):
-        a, b = max(0, -step), min(n, n - step)
-        if a < b:
-            same = text[a:b] == text[a + step : b + step]
-            out[a:b, k] = np.where(same, ids[a + step : b + step], shape.edge)
-    return out
-
-
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def contexts(ids: np.ndarray, ends: np.ndarray, shape: Shape, places: np.ndarray | None = None) -> np.ndarray:
+    """The neighbours of the places (all, if none are given), left to right; texts end before the places in ``ends``."""
+    places = np.arange(len(ids)) if places is None else places
+    lengths = np.diff(ends, prepend=0)
+    first = np.repeat((ends - lengths).astype(np.int64), lengths)[places]
+    last = np.repeat(ends.astype(np.int64), lengths)[places]
+    out = np.empty((2 * shape.window, len(places)), np.int16)
+    for k, step in enumerate([*range(-shape.window, 0), *range(1, shape.window + 1)]):
+        at = places + step
+        inside = at >= first if step < 0 else at < last
+        out[k] = np.where(inside, ids[np.where(inside, at, places)], shape.edge)
+    return out.T
+
+
+def _exp_softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The softmax of every column, and the logarithms of its denominators less the greatest values."""
+    top = x.max(0)
+    x -= top
+    e = np.exp(x)
+    total = e.sum(0)
+    e /= total
+    return e, np.log(total)
+
+
+def _forward(parts: dict[str, np.ndarray], near: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
+    """Hidden values by row, the values of classes and of members by column, and (class, from, to); the classes ``of`` ascend."""
+    slots, width = near.shape[1], parts["embed"].shape[1]
+    hidden = np.repeat(parts["mix_bias"][None], len(near), 0)
+    for k in range(slots):
+        # A row for each id is less than one for each place.
+        hidden += (parts["embed"] @ parts["mix"][k * width : (k + 1) * width])[near[:, k]]
+    np.tanh(hidden, out=hidden)
+    classes = parts["classes"].T @ hidden.T
+    classes += parts["class_bias"][:, None]
+    members = np.empty((CLASS, len(near)), hidden.dtype)
+    cuts = np.searchsorted(of, np.arange(len(parts["class_bias"]) + 1)).tolist()
+    runs = [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+    for c, a, b in runs:
+        np.add(parts["members"][c].T @ hidden[a:b].T, parts["member_bias"][c][:, None], out=members[:, a:b])
+    return hidden, classes, members, runs
 
 
 def log_probabilities(parts: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log p(target | neighbours), a number each."""
-    hidden = np.tanh(parts["embed"][near].reshape(len(near), -1) @ parts["mix"] + parts["mix_bias"])
-    of, member = target // CLASS, target % CLASS
-    out = _log_softmax(hidden @ parts["classes"] + parts["class_bias"])[np.arange(len(near)), of]
-    order = np.argsort(of, kind="stable")
-    cuts = np.searchsorted(of[order], np.arange(len(parts["class_bias"]) + 1))
-    for c, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        if a < b:
-            at = order[a:b]
-            out[at] += _log_softmax(hidden[at] @ parts["members"][c] + parts["member_bias"][c])[np.arange(b - a), member[at]]
+    order = np.argsort(target // CLASS, kind="stable")
+    of, member, at = target[order] // CLASS, target[order] % CLASS, np.arange(len(target))
+    _, classes, members, _ = _forward(parts, near[order], of)
+    out = np.empty(len(target), classes.dtype)
+    values = 0
+    for x, chosen in ((classes, of), (members, member)):
+        x -= x.max(0)
+        values = values + x[chosen, at] - np.log(np.exp(x).sum(0))
+    out[order] = values
     return out
 
 
 def gradient(parts: dict[str, np.ndarray], grad: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> None:
     """Fill ``grad`` with the mean gradient of -log p."""
-    n = len(near)
-    flat = parts["embed"][near].reshape(n, -1)
-    hidden = np.tanh(flat @ parts["mix"] + parts["mix_bias"])
+    n, (slots, width) = len(near), (near.shape[1], parts["embed"].shape[1])
+    order = np.argsort(target // CLASS, kind="stable")
+    near, target, at = near[order], target[order], np.arange(n)
     of, member = target // CLASS, target % CLASS
-    err = np.exp(_log_softmax(hidden @ parts["classes"] + parts["class_bias"])) / n
-    err[np.arange(n), of] -= 1 / n
-    grad["classes"][:] = hidden.T @ err
-    grad["class_bias"][:] = err.sum(0)
-    back = err @ parts["classes"].T
+    hidden, classes, members, runs = _forward(parts, near, of)
+    err, _ = _exp_softmax(classes)
+    err[of, at] -= 1
+    err /= n
+    grad["classes"][:] = (err @ hidden).T
+    grad["class_bias"][:] = err.sum(1)
+    back = err.T @ parts["classes"].T
+    err, _ = _exp_softmax(members)
+    err[member, at] -= 1
+    err /= n
     grad["members"][:] = 0
     grad["member_bias"][:] = 0
-    order = np.argsort(of, kind="stable")
-    cuts = np.searchsorted(of[order], np.arange(len(parts["class_bias"]) + 1))
-    for c, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-        if a < b:
-            at = order[a:b]
-            e = np.exp(_log_softmax(hidden[at] @ parts["members"][c] + parts["member_bias"][c])) / n
-            e[np.arange(b - a), member[at]] -= 1 / n
-            grad["members"][c] = hidden[at].T @ e
-            grad["member_bias"][c] = e.sum(0)
-            back[at] += e @ parts["members"][c].T
+    for c, a, b in runs:
+        grad["members"][c] = (err[:, a:b] @ hidden[a:b]).T
+        grad["member_bias"][c] = err[:, a:b].sum(1)
+        back[a:b] += err[:, a:b].T @ parts["members"][c].T
     back *= 1 - hidden**2
-    grad["mix"][:] = flat.T @ back
     grad["mix_bias"][:] = back.sum(0)
     grad["embed"][:] = 0
-    np.add.at(grad["embed"], near.ravel(), (back @ parts["mix"].T).reshape(-1, parts["embed"].shape[1]))
-
-
-def _stretches(batches: Iterator[pa.RecordBatch], column: int, words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    for k in range(slots):
+        ids = near[:, k]
+        order = np.argsort(ids, kind="stable")
+        ids = ids[order]
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        sums, rows = np.add.reduceat(back[order], starts, axis=0), ids[starts]
+        mine = slice(k * width, (k + 1) * width)
+        grad["mix"][mine] = parts["embed"][rows].T @ sums
+        grad["embed"][rows] += sums @ parts["mix"][mine].T
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """(batch number, ids, ends of texts, row of each text), whole texts together up to STRETCH words or one longer."""
     for number, batch in enumerate(batches):
         held, rows, size = [], [], 0
-        for row, text in enumerate(batch.column(column).cast(pa.binary())):
-            held.append(words(text.as_py()))
+        for row, ids in enumerate(batch.column(column)):
+            held.append(np.frombuffer(ids.as_py(), "<i2"))
             rows.append(row)
             size += len(held[-1])
             if size >= STRETCH:
@@ -208,85 +331,101 @@ def _stretches(batches: Iterator[pa.RecordBatch], column: int, words: Words) ->
             yield number, np.concatenate(held), np.cumsum([len(x) for x in held]), np.array(rows)
 
 
-def masked_places(ids: np.ndarray, number: int, masked: float) -> np.ndarray:
-    """Places of a round, by a hash of id and place; rounds take one share after the other, so 1 / masked of them take every place."""
-    mix = np.arange(len(ids), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids.astype(np.uint64)
+def masked_places(ids: np.ndarray, number: int, masked: float, ends: np.ndarray | None = None) -> np.ndarray:
+    """Places of a round, by a hash of id and place in the text; rounds take one share after the other, so 1 / masked of them take every place."""
+    ends = np.array([len(ids)]) if ends is None else ends
+    lengths = np.diff(ends, prepend=0)
+    place = np.arange(len(ids)) - np.repeat(ends - lengths, lengths)
+    mix = place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + ids.astype(np.uint64)
     mix = (mix ^ (mix >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
     return np.flatnonzero(((mix >> np.uint64(32)) / 2.0**32 + number * masked) % 1 < masked)
 
 
-def trained(docs: DataFrame, words: list[str], counts: np.ndarray, text: str = "text", shape: Shape | None = None, rounds: int = ROUNDS, masked: float = MASKED, rate: float = RATE) -> np.ndarray:
-    """The parameters after all rounds over all documents."""
+def added(rows: DataFrame) -> DataFrame:
+    """part, value: the sums of the rows' arrays of 64-bit whole numbers (columns part, salt, value), of some rows first."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(v.as_py(), np.int64) for v in table["value"]], axis=0)
+        return pa.table({"part": table["part"][:1], "value": pa.array([total.tobytes()], pa.binary())})
+
+    some = rows.groupBy("part", "salt").applyInArrow(add, "part int, value binary")
+    return some.groupBy("part").applyInArrow(add, "part int, value binary")
+
+
+def trained(rows: DataFrame, known: Vocabulary, shape: Shape | None = None, rounds: int = ROUNDS, masked: float = MASKED, rate: float = RATE) -> np.ndarray:
+    """The parameters after all rounds over all rows of ``as_ids``."""
     shape = shape or Shape()
-    ship(docs.sparkSession)
-    vector = initial(shape, counts)
-    rows = docs.select(F.col(text).alias("text"))
+    vector = initial(shape, known.counts)
     for number in range(rounds):
         start = vector.astype(np.float32)
 
         def learn(batches: Iterator[pa.RecordBatch], start=start, number=number) -> Iterator[pa.RecordBatch]:
             mine, grad, past = start.copy(), np.zeros_like(start), np.full_like(start, 1e-4)
-            parts, grads, to_ids, seen = shape.views(mine), shape.views(grad), Words(words, shape), 0
-            for _, ids, ends, _ in _stretches(batches, 0, to_ids):
-                places = masked_places(ids, number, masked)
+            parts, grads, seen, salt = shape.views(mine), shape.views(grad), 0, 0
+            for _, ids, ends, _ in _stretches(batches, 0):
+                places = masked_places(ids, number, masked, ends)
                 if not len(places):
                     continue
-                near = contexts(ids, ends, shape)[places]
+                near = contexts(ids, ends, shape, places)
                 for a in range(0, len(places), STEP):
                     gradient(parts, grads, near[a : a + STEP], ids[places[a : a + STEP]])
                     past += grad * grad
                     mine -= rate * grad / np.sqrt(past)
                 seen += len(places)
+                salt = (salt * 31 + zlib.crc32(ids.tobytes())) % SALTS
             if seen:
                 moved = np.rint((mine.astype(np.float64) - start) * seen * SCALE).astype(np.int64)
-                index = np.arange(shape.size + 1, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(index), pa.array(np.append(moved, seen))], names=["at", "value"])
-
-        sums = rows.mapInArrow(learn, "at int, value long").groupBy("at").agg(F.sum(F.col("value").cast("decimal(38,0)")).alias("value"))
-        # One number for each parameter, whatever the input.
-        found = {r["at"]: int(r["value"]) for r in sums.collect()}
-        seen = found.get(shape.size, 0)
-        if not seen:
+                pieces = [p.tobytes() for p in np.split(np.append(moved, seen), range(PIECE, shape.size + 1, PIECE))]
+                part = np.arange(len(pieces), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.full(len(part), salt, np.int32)), pa.array(pieces, pa.binary())], names=["part", "salt", "value"])
+
+        # As many numbers as there are parameters, whatever the input.
+        pieces = added(rows.select("ids").mapInArrow(learn, "part int, salt int, value binary")).collect()
+        if not pieces:
             break
-        vector = vector + np.array([found[i] / (seen * SCALE) for i in range(shape.size)])
+        sums = np.concatenate([np.frombuffer(r["value"], np.int64) for r in sorted(pieces, key=lambda r: r["part"])])
+        vector = vector + sums[:-1] / (float(sums[-1]) * SCALE)
     return vector
 
 
-def scored(docs: DataFrame, words: list[str], vector: np.ndarray, text: str = "text", id_col: str = "doc_id", shape: Shape | None = None) -> DataFrame:
-    """doc_id, n_words, score (sum of log-probabilities) and mean_score of every row."""
+def scored(rows: DataFrame, known: Vocabulary, vector: np.ndarray, shape: Shape | None = None) -> DataFrame:
+    """doc_id, n_words, score (sum of log-probabilities) and mean_score of every row of ``as_ids``."""
     shape = shape or Shape()
-    ship(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    schema = T.StructType([
-        T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("n_words", T.LongType()),
-        T.StructField("score", T.DoubleType()), T.StructField("mean_score", T.DoubleType()),
-    ])
     numbers = vector.astype(np.float32)
+    schema = T.StructType([rows.schema["doc_id"], rows.schema["n_words"], T.StructField("own", T.DoubleType()), rows.schema["row"]])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, to_ids, whole = shape.views(numbers), Words(words, shape), []
+        parts, whole = shape.views(numbers), []
 
         def kept() -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                whole.append(batch.column(0))
+                whole.append(batch)
                 yield batch
 
-        for number, ids, ends, at in _stretches(kept(), 1, to_ids):
-            n = np.diff(ends, prepend=0)
+        for number, ids, ends, at in _stretches(kept(), 2):
             sums = np.zeros(len(at))
             near = contexts(ids, ends, shape)
-            for a in range(0, len(ids), STRETCH):
-                piece = log_probabilities(parts, near[a : a + STRETCH], ids[a : a + STRETCH])
+            for a in range(0, len(ids), TOGETHER):
+                piece = log_probabilities(parts, near[a : a + TOGETHER], ids[a : a + TOGETHER])
                 sums += np.bincount(np.searchsorted(ends, np.arange(a, a + len(piece)), "right"), piece, len(at))
-            keys = whole[number].take(pa.array(at))
+            mine = whole[number].take(pa.array(at))
             whole[:number] = [None] * number
-            columns = [keys, pa.array(n, pa.int64()), pa.array(sums), pa.array(sums / np.maximum(n, 1))]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "score", "mean_score"])
+            sums += mine.column(3).to_numpy()
+            yield pa.RecordBatch.from_arrays([mine.column(0), mine.column(1), pa.array(sums), mine.column(4)], names=schema.names)
 
-    return rows.mapInArrow(score, schema)
+    network = rows.select("doc_id", "n_words", "ids", "shares", "row").mapInArrow(score, schema)
+    buckets = [F.split(F.lit(",".join(str(int(x)) for x in v[shape.words :])), ",").cast("array<bigint>") for v in (known.counts, known.kinds)]
+    bucket = F.pmod(F.crc32("word"), F.lit(shape.hashed)).cast("int")
+    asked = rows.select("row", F.explode("rare").alias("word")).join(known.table, "word", "left")
+    asked = asked.select("row", F.log(share(F.coalesce("n", F.lit(0)), F.get(buckets[0], bucket), F.get(buckets[1], bucket))).alias("share"))
+    shares = asked.groupBy("row").agg(F.sum("share").alias("share"))
+    total = (F.col("own") + F.coalesce("share", F.lit(0.0))).alias("score")
+    found = network.join(shares, "row", "left").select("doc_id", "n_words", total)
+    return found.withColumn("mean_score", F.col("score") / F.greatest("n_words", F.lit(1)))
 
 
 def pseudo_likelihood(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shape: Shape | None = None) -> DataFrame:
     """Vocabulary, training and scores over the same documents."""
-    words, counts = vocabulary(docs, text, shape)
-    return scored(docs, words, trained(docs, words, counts, text, shape), text, id_col, shape)
+    known = vocabulary(docs, text, shape)
+    rows = as_ids(docs, known, text, id_col, shape)
+    return scored(rows, known, trained(rows, known, shape), shape)

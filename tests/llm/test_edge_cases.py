@@ -304,12 +304,12 @@ def test_language_model(spark, docs, none):
     held = [sentence() for _ in range(20)]
     shuffled = [" ".join(rng.permutation(s.split())) for s in held]
     shape = lm_score.Shape(words=32, hashed=32)
-    words, counts = lm_score.vocabulary(train, shape=shape)
-    assert words[0] == "the" and counts.sum() == 400 * 90
-    vector = lm_score.trained(train, words, counts, shape=shape, rounds=4, masked=0.5)
-    test = spark.createDataFrame(list(enumerate(held + shuffled)), "doc_id long, text string")
-    score = {r["doc_id"]: r["mean_score"] for r in lm_score.scored(test, words, vector, shape=shape).collect()}
-    first = {r["doc_id"]: r["mean_score"] for r in lm_score.scored(test, words, lm_score.initial(shape, counts), shape=shape).collect()}
+    known = lm_score.vocabulary(train, shape=shape)
+    assert known.words[0] == "the" and known.counts.sum() == 400 * 90
+    vector = lm_score.trained(lm_score.as_ids(train, known, shape=shape), known, shape=shape, rounds=4, masked=0.5)
+    test = lm_score.as_ids(spark.createDataFrame(list(enumerate(held + shuffled)), "doc_id long, text string"), known, shape=shape)
+    score = {r["doc_id"]: r["mean_score"] for r in lm_score.scored(test, known, vector, shape=shape).collect()}
+    first = {r["doc_id"]: r["mean_score"] for r in lm_score.scored(test, known, lm_score.initial(shape, known.counts), shape=shape).collect()}
     assert all(score[i] > first[i] + 0.3 and score[i] > score[i + 20] + 0.5 for i in range(20))
     small = lm_score.pseudo_likelihood(docs)
     got = small.collect()
