@@ -28,6 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,12 @@ ROUNDS = 2
 # The rounds' places are disjoint and together all.
 MASKED = 1 / ROUNDS
 RATE = 0.1
-STEP = 2048
+STEP = 4096
 STRETCH = 1 << 15
 # Places that are scored together.
 TOGETHER = 1 << 12
 # Words that every task holds with their counts, at most.
-COMMON = 1 << 16
+COMMON = 1 << 17
 # Different words a task counts before it gives them out, and rows of such a batch.
 HELD = 1 << 18
 ROWS = 1 << 14
@@ -162,19 +163,6 @@ def vocabulary(docs: DataFrame, text: str = "text", shape: Shape | None = None,
     return Vocabulary([bytes(r["word"]).decode() for r in first], counts, kinds, known, table)
 
 
-class Words(dict):
-    """Ids by word; a word without its own has that of its bucket. Only words the corpus is full of are held."""
-
-    def __init__(self, words: list[str], common: dict[bytes, int], shape: Shape):
-        super().__init__((w, shape.words + zlib.crc32(w) % shape.hashed) for w in common)
-        self.update((w.encode(), i) for i, w in enumerate(words))
-        self.shape = shape
-
-    def __missing__(self, word: bytes) -> int:
-        # Rare words are told apart by their sign.
-        return -1 - zlib.crc32(word) % self.shape.hashed
-
-
 def share(n: Column | np.ndarray, counts: Column | np.ndarray, kinds: Column | np.ndarray) -> Column | np.ndarray:
     """A word's part of its bucket: one more than its count, out of one more for every word there and one for all unseen ones."""
     return (n + 1) / (counts + kinds + 1)
@@ -192,18 +180,33 @@ def as_ids(docs: DataFrame, known: Vocabulary, text: str = "text", id_col: str =
     ])
 
     def translate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = Words(words, common, shape)
-        log_share = {w: float(np.log(share(n, counts[to_ids[w]], kinds[to_ids[w]]))) for w, n in common.items() if to_ids[w] >= shape.words}
+        # Known words by number: those with an id of their own, then the other common ones.
+        every = [w.encode() for w in words]
+        own = set(every)
+        every += [w for w in common if w not in own]
+        number = {w: i for i, w in enumerate(every)}
+        id_of = np.arange(len(every))
+        id_of[len(words) :] = [shape.words + zlib.crc32(w) % shape.hashed for w in every[len(words) :]]
+        log_share = np.zeros(len(every))
+        others = id_of[len(words) :]
+        log_share[len(words) :] = np.log(share(np.array([common[w] for w in every[len(words) :]]), counts[others], kinds[others]))
         for batch in batches:
-            n, ids, shares, rare = [], [], [], []
+            n, ids, shares, rare, ends = [], [], [], [], [0]
             for one in batch.column(1).cast(pa.binary()):
-                every = (one.as_py() or b"").lower().split()
-                found = np.fromiter(map(to_ids.__getitem__, every), np.int16, len(every))
-                n.append(len(every))
-                rare.append([every[i] for i in np.flatnonzero(found < 0).tolist()])
-                shares.append(sum(log_share[every[i]] for i in np.flatnonzero(found >= shape.words).tolist()))
-                ids.append(np.where(found < 0, shape.words - 1 - found, found).astype("<i2").tobytes())
-            columns = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(shares, pa.float64()), pa.array(rare, pa.list_(pa.binary()))]
+                found = (one.as_py() or b"").lower().split()
+                at = np.fromiter(map(number.get, found, repeat(-1)), np.int32, len(found))
+                unknown = np.flatnonzero(at < 0).tolist()
+                at[unknown] = 0
+                mine = id_of[at] if every else np.zeros(len(at), int)
+                shares.append(float(log_share[at].sum() - len(unknown) * log_share[0]) if every else 0.0)
+                left = [found[i] for i in unknown]
+                mine[unknown] = [shape.words + zlib.crc32(w) % shape.hashed for w in left]
+                n.append(len(found))
+                ids.append(mine.astype("<i2").tobytes())
+                rare += left
+                ends.append(len(rare))
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(rare, pa.binary()))
+            columns = [pa.array(n, pa.int64()), pa.array(ids, pa.binary()), pa.array(shares, pa.float64()), listed]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["doc_id", "n_words", "ids", "shares", "rare"])
 
     # Stored, so that a row has one number, whichever task reads it.
@@ -238,79 +241,76 @@ def contexts(ids: np.ndarray, ends: np.ndarray, shape: Shape, places: np.ndarray
     return out.T
 
 
-def _exp_softmax(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The softmax of every column, and the logarithms of its denominators less the greatest values."""
-    top = x.max(0)
-    x -= top
-    e = np.exp(x)
-    total = e.sum(0)
-    e /= total
-    return e, np.log(total)
-
-
 def _forward(parts: dict[str, np.ndarray], near: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[tuple[int, int, int]]]:
-    """Hidden values by row, the values of classes and of members by column, and (class, from, to); the classes ``of`` ascend."""
-    slots, width = near.shape[1], parts["embed"].shape[1]
-    hidden = np.repeat(parts["mix_bias"][None], len(near), 0)
-    for k in range(slots):
+    """Hidden values by row, the values of classes and of members by column, and (class, from, to); ``near`` by slot, the classes ``of`` ascend."""
+    width = parts["embed"].shape[1]
+    hidden = np.repeat(parts["mix_bias"][None], near.shape[1], 0)
+    for k, ids in enumerate(near):
         # A row for each id is less than one for each place.
-        hidden += (parts["embed"] @ parts["mix"][k * width : (k + 1) * width])[near[:, k]]
+        hidden += (parts["embed"] @ parts["mix"][k * width : (k + 1) * width]).take(ids, axis=0)
     np.tanh(hidden, out=hidden)
     classes = parts["classes"].T @ hidden.T
     classes += parts["class_bias"][:, None]
-    members = np.empty((CLASS, len(near)), hidden.dtype)
     cuts = np.searchsorted(of, np.arange(len(parts["class_bias"]) + 1)).tolist()
     runs = [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if a < b]
+    members = np.empty((CLASS, len(hidden)), hidden.dtype)
     for c, a, b in runs:
-        np.add(parts["members"][c].T @ hidden[a:b].T, parts["member_bias"][c][:, None], out=members[:, a:b])
+        np.matmul(parts["members"][c].T, hidden[a:b].T, out=members[:, a:b])
+    members += np.repeat(parts["member_bias"].T, np.diff(cuts), axis=1)
     return hidden, classes, members, runs
 
 
+def _by_class(near: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the places by class, their neighbours by slot, classes and members in that order."""
+    of, member = np.divmod(target, CLASS)
+    order = np.argsort(of, kind="stable")
+    return order, near.T.take(order, axis=1).astype(np.intp), of.take(order).astype(np.intp), member.take(order).astype(np.intp)
+
+
 def log_probabilities(parts: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log p(target | neighbours), a number each."""
-    order = np.argsort(target // CLASS, kind="stable")
-    of, member, at = target[order] // CLASS, target[order] % CLASS, np.arange(len(target))
-    _, classes, members, _ = _forward(parts, near[order], of)
-    out = np.empty(len(target), classes.dtype)
-    values = 0
+    order, near, of, member = _by_class(near, target)
+    _, classes, members, _ = _forward(parts, near, of)
+    values, at = np.zeros(len(target), classes.dtype), np.arange(len(target))
     for x, chosen in ((classes, of), (members, member)):
         x -= x.max(0)
-        values = values + x[chosen, at] - np.log(np.exp(x).sum(0))
+        values += x[chosen, at]
+        values -= np.log(np.exp(x, out=x).sum(0))
+    out = np.empty_like(values)
     out[order] = values
     return out
 
 
 def gradient(parts: dict[str, np.ndarray], grad: dict[str, np.ndarray], near: np.ndarray, target: np.ndarray) -> None:
     """Fill ``grad`` with the mean gradient of -log p."""
-    n, (slots, width) = len(near), (near.shape[1], parts["embed"].shape[1])
-    order = np.argsort(target // CLASS, kind="stable")
-    near, target, at = near[order], target[order], np.arange(n)
-    of, member = target // CLASS, target % CLASS
+    n, width, at = len(near), parts["embed"].shape[1], np.arange(len(near))
+    _, near, of, member = _by_class(near, target)
     hidden, classes, members, runs = _forward(parts, near, of)
-    err, _ = _exp_softmax(classes)
-    err[of, at] -= 1
-    err /= n
-    grad["classes"][:] = (err @ hidden).T
-    grad["class_bias"][:] = err.sum(1)
-    back = err.T @ parts["classes"].T
-    err, _ = _exp_softmax(members)
-    err[member, at] -= 1
-    err /= n
+    for x, chosen in ((classes, of), (members, member)):
+        x -= x.max(0)
+        np.exp(x, out=x)
+        x *= 1 / (n * x.sum(0))
+        x[chosen, at] -= 1 / n
+    grad["classes"][:] = (classes @ hidden).T
+    grad["class_bias"][:] = classes.sum(1)
+    back = classes.T @ parts["classes"].T
     grad["members"][:] = 0
     grad["member_bias"][:] = 0
+    grad["member_bias"][[c for c, _, _ in runs]] = np.add.reduceat(members, [a for _, a, _ in runs], axis=1).T
+    more = np.empty_like(back)
     for c, a, b in runs:
-        grad["members"][c] = (err[:, a:b] @ hidden[a:b]).T
-        grad["member_bias"][c] = err[:, a:b].sum(1)
-        back[a:b] += err[:, a:b].T @ parts["members"][c].T
-    back *= 1 - hidden**2
+        err = members[:, a:b]
+        np.matmul(hidden[a:b].T, err.T, out=grad["members"][c])
+        np.matmul(err.T, parts["members"][c].T, out=more[a:b])
+    back += more
+    back *= 1 - hidden * hidden
     grad["mix_bias"][:] = back.sum(0)
     grad["embed"][:] = 0
-    for k in range(slots):
-        ids = near[:, k]
-        order = np.argsort(ids, kind="stable")
-        ids = ids[order]
+    for k, ids in enumerate(near):
+        order = np.argsort(ids.astype(np.int16), kind="stable")
+        ids = ids.take(order)
         starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        sums, rows = np.add.reduceat(back[order], starts, axis=0), ids[starts]
+        sums, rows = np.add.reduceat(back.take(order, axis=0), starts, axis=0), ids[starts]
         mine = slice(k * width, (k + 1) * width)
         grad["mix"][mine] = parts["embed"][rows].T @ sums
         grad["embed"][rows] += sums @ parts["mix"][mine].T
