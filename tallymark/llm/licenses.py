@@ -3,9 +3,10 @@
 Each template's INDEXED words that fewest documents contain are indexed with their
 positions. A file looks up, for every template, the RARE rarest of them that it
 contains. Where one stands, the posting says where the template would begin; a
-beginning on which AGREED of the looked-up words agree is a candidate. It counts
-when the template's key phrase stands at its place there. Its score is the share of
-the template's idf found word for word at the right distance.
+beginning on which AGREED of all indexed words agree is a candidate. No such beginning
+is missed, wherever else the words stand: of INDEXED words too few are left besides
+the RARE ones. It counts when the template's key phrase stands at its place there. Its
+score is the share of the template's idf found word for word at the right distance.
 
 Document frequencies come from one pass over all texts; they and the templates are
 bounded by the number of template words. The second pass stays inside the row.
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from tallymark.llm.common import fresh, settled, terms
 
 INDEXED = 6
-RARE = 4
 AGREED = 3
+RARE = INDEXED - AGREED + 1
 RESULTS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 # Phrases with their labels.
@@ -103,10 +104,10 @@ def _template_score(words: Column, present: Column, template: str, phrase: str,
         ])))
         return F.array_distinct(F.flatten(moved))
 
-    def accepted(off: Column, chosen: Column) -> Column:
+    def accepted(off: Column) -> Column:
         votes = F.lit(0)
         for w in index:
-            votes = votes + (F.array_contains(chosen, w) & stands(off, w)).cast("int")
+            votes = votes + stands(off, w).cast("int")
         return (votes >= need) & _all([F.coalesce(F.get(words, off + shift + k) == w, F.lit(False)) for k, w in enumerate(key)])
 
     def score(off: Column) -> Column:
@@ -116,7 +117,7 @@ def _template_score(words: Column, present: Column, template: str, phrase: str,
         return F.round(F.least(gained / total, F.lit(1.0)), 6)
 
     # The looked-up words are bound once a row.
-    best = F.transform(F.array(chosen), lambda c: F.array_max(F.transform(F.filter(begins(c), lambda off: accepted(off, c)), score)))
+    best = F.transform(F.array(chosen), lambda c: F.array_max(F.transform(F.filter(begins(c), accepted), score)))
     return F.when(F.size(chosen) >= need, F.coalesce(F.get(best, 0), F.lit(0.0))).otherwise(0.0)
 
 

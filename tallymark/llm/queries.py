@@ -133,11 +133,8 @@ ix AS (
   SELECT t, word, idf FROM (SELECT DISTINCT t, word FROM tw) JOIN idf USING (word)
   QUALIFY row_number() OVER (PARTITION BY t ORDER BY idf DESC, word) <= 6),
 present AS (SELECT DISTINCT doc_id, word FROM dw WHERE word IN (SELECT word FROM ix)),
-chosen AS (
-  SELECT doc_id, t, word FROM present JOIN ix USING (word)
-  QUALIFY row_number() OVER (PARTITION BY doc_id, t ORDER BY idf DESC, word) <= 4),
 vote AS (
-  SELECT c.doc_id, c.t, d.pos - tw.pos AS off FROM chosen c
+  SELECT c.doc_id, c.t, d.pos - tw.pos AS off FROM (SELECT doc_id, t, word FROM present JOIN ix USING (word)) c
   JOIN dw d ON d.doc_id = c.doc_id AND d.word = c.word JOIN tw ON tw.t = c.t AND tw.word = c.word
   GROUP BY c.doc_id, c.t, d.pos - tw.pos HAVING count(DISTINCT c.word) >= 3),
 key AS (
