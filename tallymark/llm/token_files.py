@@ -223,6 +223,40 @@ def read_blocks(blocks: DataFrame) -> DataFrame:
     return wanted.mapInArrow(read, schema)
 
 
+def documents_of(blocks: DataFrame, asked: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """doc_id, start in its shard, n_tokens and ids (with the end id) of the asked documents in stored blocks.
+
+    A document's ids are cut out of its block between two selected offsets; the other
+    offsets stay as they are. A repeated id gives a row for each document that has it,
+    asked for once or more; null ids and those no block holds give none.
+    """
+    ship(blocks.sparkSession)
+    schema = T.StructType([
+        T.StructField("doc_id", blocks.schema["doc_ids"].dataType.elementType), T.StructField("start", T.LongType()),
+        T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.LongType())),
+    ])
+    wanted = asked.select(F.col(id_col).alias("doc_id")).distinct()
+    places = blocks.select("shard", "block", F.posexplode("doc_ids").alias("place", "doc_id")).join(wanted, "doc_id", "left_semi")
+    # No longer than the block's own list of ids.
+    places = places.groupBy("shard", "block").agg(F.collect_list("place").alias("places"))
+    found = blocks.join(places, ["shard", "block"]).select("before", "n_docs", "width", "ids", "doc_ids", "low_bits", "low", "high", "samples", "places")
+    arrow = _arrow(schema)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                offsets = EliasFano(row["n_docs"] + 1, row["low_bits"], row["low"], row["high"], row["samples"])
+                ids = np.frombuffer(row["ids"], f"<u{row['width']}").astype(np.int64)
+                bounds = [(offsets.select(i), offsets.select(i + 1)) for i in row["places"]]
+                columns = (
+                    [row["doc_ids"][i] for i in row["places"]], [row["before"] + a for a, _ in bounds],
+                    [b - a for a, b in bounds], [ids[a:b] for a, b in bounds],
+                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return found.mapInArrow(cut, schema)
+
+
 def written(docs: DataFrame, path: str, end_id: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """Blocks, written to the shared folder and read from there."""
     return stored(token_blocks(docs, path, end_id, text, id_col), "token-blocks")
