@@ -19,7 +19,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares four fifths of its five-word shingles: the one with the smallest id."""
+    """One document of each group of texts with linked fingerprints or four fifths of their five-word shingles in common: the one with the smallest id."""
     return simhash.one_of_each(docs)
 
 

@@ -277,8 +277,11 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
 
 
-def groups(docs: DataFrame, text: str = "text") -> DataFrame:
-    """key (of a text) and root, the smallest key of its component, of every text near another one."""
+def groups(docs: DataFrame, text: str = "text", known: DataFrame | None = None) -> DataFrame:
+    """key (of a text) and root, the smallest key of its component, of every text near another one.
+
+    ``known`` are links (a, b) of keys found otherwise; they count as well, and texts they bring together are not compared.
+    """
     ship(docs.sparkSession)
     texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     places = stored(at_shingles(texts, often_shared(texts)), "shared-shingles")
@@ -287,6 +290,8 @@ def groups(docs: DataFrame, text: str = "text") -> DataFrame:
     stars = places.join(ends, "shingle").select("key", F.explode(F.array("least", "most")).alias("end")).filter("key <> end")
     stars = stars.select(F.least("key", "end").alias("a"), F.greatest("key", "end").alias("b")).distinct()
     links = stored(verified(stored(likely(stars, signs), "star-pairs"), texts), "star-links")
+    if known is not None:
+        links = links.unionByName(known)
     roots = stored(components(links), "star-roots")
     # Where only two texts stand they have been compared.
     rest = places.join(ends.filter("n > 2").select("shingle"), "shingle")

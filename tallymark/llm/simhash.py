@@ -190,14 +190,23 @@ def hexadecimal(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
+def print_links(rows: DataFrame) -> DataFrame:
+    """Links a < b between the texts (``key``) of each component of fingerprints: the smallest one with each other one."""
+    groups = rows.groupBy("root").agg(F.min("key").alias("a"), F.max("key").alias("most")).filter("a <> most")
+    return rows.join(groups, "root").filter("a <> key").select("a", F.col("key").alias("b")).distinct()
+
+
 def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """One document of each group of near texts, with its own columns: the row with the smallest id.
 
-    Near texts share four fifths of their five-word shingles (``near_texts``), which
-    fingerprints two bits apart do not find. Rows that agree in id and text are one document.
+    Texts whose fingerprints are linked belong together, as in ``near_duplicates``. Texts
+    that share four fifths of their five-word shingles (``near_texts``) may be further
+    apart than two bits, so their links are added, and groups are the components of both.
+    Rows that agree in id and text are one document.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text)).alias("key"))
-    found = stored(rows.join(near_texts.groups(docs, text), "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root")), "near-duplicates")
+    rows = stored(near_duplicates(docs, text, id_col).select("doc_id", "key", "root"), "fingerprint-groups")
+    near = near_texts.groups(docs, text, stored(print_links(rows), "fingerprint-links"))
+    found = stored(rows.drop("root").join(near, "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root")), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
     kept = found.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.doc_id").alias("kept_id"), F.col("least.key").alias("kept_key"))
     key, names = fresh(docs, "key"), docs.columns
