@@ -158,18 +158,26 @@ def map_differences(
             F.lit(None).cast(number).alias("_a"), F.col(value).alias("_b"),
         )
     )
-    merged = (
-        both.groupBy(*subject, key)
-        .agg(
-            F.max("_l").alias("_l"), F.max("_r").alias("_r"),
-            F.max("_a").alias("_a"), F.max("_b").alias("_b"),
-        )
-        .withColumn(
-            "kind",
-            F.when(F.col("_r") == 0, "only_left")
-            .when(F.col("_l") == 0, "only_right")
-            .when(F.col("_a") != F.col("_b"), "value"),
-        )
+    merged = both.groupBy(*subject, key).agg(
+        F.max("_l").alias("_l"), F.max("_r").alias("_r"),
+        F.max("_a").alias("_a"), F.max("_b").alias("_b"),
+    )
+    return paired_differences(merged, subject, key, limit=limit)
+
+
+def paired_differences(
+    pairs: DataFrame, subject: Sequence[str], key: str, *, limit: int = 5
+) -> DataFrame:
+    """``map_differences`` of maps that are side by side already.
+
+    ``pairs`` has a row for each subject and key: ``_l`` and ``_r``, 1 where the
+    left or right map has the key, and the values ``_a`` and ``_b``.
+    """
+    merged = pairs.withColumn(
+        "kind",
+        F.when(F.col("_r") == 0, "only_left")
+        .when(F.col("_l") == 0, "only_right")
+        .when(F.col("_a") != F.col("_b"), "value"),
     )
     kinds = ("only_left", "only_right", "value")
     counts = (
