@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallymark.functions.text import sha256_tag
-from tallymark.operators.ranking import first_n
+from tallymark.operators.ranking import dealt, first_n
 from tallymark.session import cut
 
 # What a finished publication holds, in report order.
@@ -343,21 +343,20 @@ def input_mix(df: DataFrame, subject: Sequence[str], kind: str, key: str) -> Dat
 
 
 def project_weights(
-    attributed: DataFrame, declared: DataFrame, project: str, subject: str, sample: str
+    attributed: DataFrame, declared: DataFrame, project: str, subject: str, sample: str, n_rows: int | None = None
 ) -> DataFrame:
     """Distinct samples and subjects per project; declared ones weigh nothing.
 
-    A sample counts once per project and subject.
+    A sample counts once per project and subject. Where the number of rows is
+    given they are dealt out by it, and both groupings share that exchange.
     """
-    pairs = (
-        attributed.select(project, subject, sample)
-        .distinct()
-        .groupBy(project, subject)
-        .agg(F.count(F.lit(1)).alias("_w"))
-        .unionByName(declared.select(project, subject, F.lit(0).cast("bigint").alias("_w")))
-        .groupBy(project, subject)
-        .agg(F.sum("_w").alias("_w"))
+    kind = attributed.schema[sample].dataType
+    rows = attributed.select(project, subject, sample, F.lit(1).alias("_w")).unionByName(
+        declared.select(project, subject, F.lit(None).cast(kind).alias(sample), F.lit(0).alias("_w"))
     )
+    if n_rows is not None:
+        rows = dealt(rows, [project, subject], n_rows)
+    pairs = rows.distinct().groupBy(project, subject).agg(F.sum("_w").alias("_w"))
     return pairs.groupBy(project).agg(
         F.sum("_w").alias("weight"), F.count(F.lit(1)).alias("n_subjects")
     )

@@ -264,9 +264,9 @@ def count_disagreement(t) -> DataFrame:
 )
 def brand_weights(t) -> DataFrame:
     brands = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    attributed = t.lineitem.select("l_orderkey", "l_partkey").distinct().join(brands, "l_partkey")
+    attributed = t.lineitem.select("l_orderkey", "l_partkey").join(brands, "l_partkey")
     declared = t.part.select("p_brand", F.lit(-1).cast("bigint").alias("l_orderkey")).distinct()
-    return project_weights(attributed, declared, "p_brand", "l_orderkey", "l_partkey")
+    return project_weights(attributed, declared, "p_brand", "l_orderkey", "l_partkey", t.lineitem.count())
 
 
 @query(
