@@ -11,6 +11,7 @@ from tallymark.functions.text import sha256_tag
 from tallymark.operators.curation import any_outage
 from tallymark.operators.gates import gate_outcomes, soundness
 from tallymark.operators.records import assess, build_records, derive_state, mark_stale
+from tallymark.operators.reconcile import missing_from
 from tallymark.operators.rollup import counts_with_zeros
 from tallymark.plans.driver import (
     DAY_SQL,
@@ -72,8 +73,9 @@ def lookup_errors(t) -> DataFrame:
 def findings_all(t) -> DataFrame:
     orders = t.orders.select(F.col("o_orderkey").alias("subject"), "o_orderstatus")
     lines = t.lineitem.select(F.col("l_orderkey").alias("subject"), "l_linestatus", "l_linenumber")
-    empty = orders.join(lines.select("subject"), "subject", "left_anti")
-    odd = lines.join(orders, "subject").filter("l_linestatus <> o_orderstatus")
+    empty = missing_from(orders, lines.select("subject").distinct(), ["subject"])
+    # Orders are the small and unique side, so lines need not be sorted to meet them.
+    odd = lines.join(orders.hint("shuffle_hash"), "subject").filter("l_linestatus <> o_orderstatus")
     found = [
         part_findings(t),
         finding(empty, "Y001", "error", text("no line item")),

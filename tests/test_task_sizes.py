@@ -25,3 +25,7 @@ def test_rows_are_dealt_by_their_number(spark, monkeypatch, name):
     monkeypatch.setattr(ranking, "ROWS_A_TASK", n // 40)
     exchanges = dealt_exchanges(plan(spark, name))
     assert exchanges and all(f", {-(-n // (n // 40))})" in line for line in exchanges)
+
+
+def test_lines_are_not_sorted_to_meet_their_orders(spark):
+    assert "ShuffledHashJoin" in plan(spark, "q_findings_all")
