@@ -173,7 +173,7 @@ def inputs_not_local() -> dict:
 
 
 def ids_are_biosamples(c: Corpus) -> DataFrame:
-    odd = described(sheet_names(c, "odd sample", "sample_id"), ["subject"], "sample_id")
+    odd = described(sheet_names(c, "sample", "sample_id").filter(~is_biosample(F.col("sample_id"))), ["subject"], "sample_id")
     return finding(
         odd.join(sheet_paths(c), "subject", "left"), "R016", "warn",
         text("names without a BioSample accession's form: ", F.col("n")),
@@ -709,7 +709,7 @@ def projects_contribute(c: Corpus) -> DataFrame:
 
 
 def inputs_unambiguous(c: Corpus) -> DataFrame:
-    asked = sheet_names(c, "experiment", "input")
+    asked = sheet_names(c, "archive input", "input").filter(is_experiment(F.col("input")))
     runs = described(resolve_runs(asked, c.runs, "input"), ["input"], "run")
     several = finding(
         c.sheet.filter(is_experiment(F.col("input"))).join(runs.filter("n > 1"), "input"), "R017", "error",

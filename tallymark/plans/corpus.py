@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymark import schemas
-from tallymark.functions.identifiers import counterpart, is_archive_input, is_assembly, is_biosample, is_experiment
+from tallymark.functions.identifiers import counterpart, is_archive_input, is_assembly, is_biosample
 from tallymark.operators.lookup import (
     authority_entry,
     best_scheme,
@@ -76,6 +76,9 @@ SHARED = (
     (("chosen", "strays"), ("assembly_seqs",)),
 )
 
+# The slices whose checks need all samples of the sheet, not only the odd ones.
+COMPARED = {"objects", "status", "vcf_header", "bam_headers", "qc_samples", "published_sheet"}
+
 
 class Corpus:
     """Named tables; the ones not given are empty.
@@ -84,6 +87,9 @@ class Corpus:
     the ones that many checks share.
     """
 
+    # Whether ``sheet_names`` holds all samples.
+    whole_names = True
+
     def __init__(self, spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
         unknown = set(tables) - set(TABLES)
         if unknown:
@@ -136,7 +142,10 @@ class Corpus:
         for names, wanted in SHARED:
             if slices is None or slices & set(wanted):
                 for name in names:
-                    setattr(self, name, cut(getattr(self, name)))
+                    table = self.sheet_names_of(slices) if name == "sheet_names" else getattr(self, name)
+                    setattr(self, name, cut(table))
+                    if name == "sheet_names":
+                        self.whole_names = slices is None or bool(slices & COMPARED)
         self.availability = cut(self.availability_of(slices))
         return self
 
@@ -155,17 +164,26 @@ class Corpus:
 
     @cached_property
     def sheet_names(self) -> DataFrame:
-        """``subject, kind, name, path``: what the sheet names, once each; kind 'sheet' has a row a subject.
+        """``subject, kind, name, path``: what the sheet names, once each; kind 'sheet' has a row a subject, and its path.
 
         One pass over the sheet serves every check that compares names.
         """
+        return self.sheet_names_of(None)
+
+    def sheet_names_of(self, slices: set[str] | None) -> DataFrame:
+        """``sheet_names`` for the checks that need the given slices: archive inputs only for
+        those with the runs, all samples only for those with another table of samples, else the odd ones.
+        """
         sample, value = F.col("sample_id"), F.col("input")
-        kinds = {
-            "sheet": (F.lit(True), F.lit(None).cast("string")), "sample": (sample.isNotNull(), sample), "odd sample": (~is_biosample(sample), sample),
-            "archive input": (is_archive_input(value), value), "experiment": (is_experiment(value), value),
-        }
-        named = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(k).alias("kind"), n.alias("name"))) for k, (c, n) in kinds.items()]))
-        return self.sheet.select("subject", "path", F.inline(named)).groupBy("subject", "kind", "name").agg(F.min("path").alias("path"))
+        listed = sample.isNotNull() if slices is None or slices & COMPARED else ~is_biosample(sample)
+        kinds = {"sheet": (F.lit(True), F.lit(None).cast("string")), "sample": (listed, sample)}
+        if slices is None or "runs" in slices:
+            kinds["archive input"] = (is_archive_input(value), value)
+        named = F.array_compact(F.array(*[
+            F.when(c, F.struct(F.lit(k).alias("kind"), n.alias("name"), (F.col("path") if k == "sheet" else F.lit(None).cast("string")).alias("path")))
+            for k, (c, n) in kinds.items()
+        ]))
+        return self.sheet.select("subject", F.inline(named)).groupBy("subject", "kind", "name").agg(F.min("path").alias("path"))
 
     @cached_property
     def located(self) -> DataFrame:
@@ -213,7 +231,8 @@ class Corpus:
                 F.max(F.col("dir") == "callable_sites").alias("_sites2"),
             )
         )
-        sheet = self.sheet_names.filter("kind = 'sample'").groupBy("subject").agg(F.count(F.lit(1)).alias("n_sheet"))
+        names = self.sheet_names if self.whole_names else self.sheet_names_of(COMPARED)
+        sheet = names.filter("kind = 'sample'").groupBy("subject").agg(F.count(F.lit(1)).alias("n_sheet"))
         vcf_n = self.vcf_samples.groupBy("subject").agg(F.count(F.lit(1)).alias("n_vcf"))
         no = F.lit(False)
         return (
