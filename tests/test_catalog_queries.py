@@ -52,3 +52,11 @@ def test_samples_are_counted_whole_after_checks_that_need_only_odd_ones(spark):
     corpus = Corpus(spark, {"subjects": spark.createDataFrame([("a/b", "a", "b", "p")], "subject string, clade string, slug string, path string"), "sheet": sheet})
     validate(corpus, only=["R016"])
     assert [r["n_sheet"] for r in corpus.artifacts.collect()] == [3]
+
+
+def test_line_items_are_not_read_again_for_the_published_findings(spark, monkeypatch):
+    from tallymark.plans import queries_catalog
+
+    monkeypatch.setattr(queries_catalog, "_tally", lambda found: found)
+    found = entry_module.queries()["q_catalog_published"](spark, SF)
+    assert "l_returnflag" not in found._jdf.queryExecution().executedPlan().toString()
