@@ -13,6 +13,10 @@ from tallymark.llm import decontaminate, mixing, quality, queries, simhash, toke
 from tallymark.llm.common import stored
 
 
+# Words whose ids a Python worker remembers; the stages share the workers.
+REMEMBERED = 500_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio; others go."""
     return quality.keep_good(docs, queries.table(spark, sf_dir, "labels"))
@@ -35,7 +39,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token blocks, written; what is read back from them of every document."""
-    blocks = token_files.written(docs, queries.vocabulary(queries.TOKEN_FILE_VOCABULARY), queries.END_ID)
+    vocabulary = queries.vocabulary(queries.TOKEN_FILE_VOCABULARY)
+    blocks = token_files.written(docs, vocabulary, queries.END_ID, remembered=REMEMBERED, carried=False)
     return token_files.read_blocks(blocks)
 
 

@@ -44,7 +44,9 @@ from tallymark.llm.components import components
 
 SHINGLE = 5
 # Bytes of text that are hashed together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
+# Texts of a batch that are worked on at a time.
+PORTION = 500
 # Bits of the smallest sketch.
 SKETCH = 512
 # Bits of the sketch that a text takes along to where it meets others; whole longs.
@@ -78,7 +80,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     inside = np.r_[False, letters != 32, False]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
-    size = 1 << max(20, len(joined).bit_length())
+    size = 1 << max(TOGETHER.bit_length(), len(joined).bit_length())
     powers, inverse = _powers(size)
     running = np.r_[np.uint64(0), np.cumsum(letters * powers[: len(joined)], dtype=np.uint64)]
     words = (running[ends] - running[starts]) * inverse[starts]
@@ -141,6 +143,13 @@ def apart(a: bytes, b: bytes) -> int:
     return (folded ^ int.from_bytes(short, "little")).bit_count()
 
 
+def portions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches, cut into PORTION rows, so that a worker never holds copies and shingles of a whole batch."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, PORTION):
+            yield batch.slice(first, PORTION)
+
+
 def _sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     return shingle_sets([one or b"" for one in batch.column(1).cast(pa.binary()).to_pylist()])
 
@@ -149,7 +158,7 @@ def signatures(texts: DataFrame) -> DataFrame:
     """key, size, sketch and the short sketch (longs named by SHORT) of every different text."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in portions(batches):
             sizes, sketches, short = [], [], np.zeros((batch.num_rows, MEETING), np.uint8)
             for i, every in _sets_of(batch):
                 sizes.append(len(every))
@@ -168,7 +177,7 @@ def _posted(texts: DataFrame, last: np.ndarray | None) -> DataFrame:
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: set[int] = set()
-        for batch in batches:
+        for batch in portions(batches):
             keys, own, found, place, size = batch.column(0).to_pylist(), [], [], [], []
             for i, every in _sets_of(batch):
                 if keys[i] in met:

@@ -43,8 +43,9 @@ BLOCK_IDS = 1 << 18
 UNICODE_SPACE = regex.compile(r"[^\S ]|[\x1c-\x1f]")
 # Words whose ids a Python worker remembers.
 REMEMBERED = 1_000_000
-# Documents whose words are learned together.
+# Documents whose words are learned together, and words that go to the library at a time.
 TOGETHER = 1_000
+LEARNED = 10_000
 
 
 def block_schema(id_type: T.DataType) -> T.StructType:
@@ -113,12 +114,17 @@ class WordEncoder:
 
     def learn(self, texts: list[list[bytes]]) -> None:
         """Meet all words of the texts, each given as its words, at once."""
-        new = set(chain.from_iterable(texts)).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.remembered:
-                self.known.clear()
-                new = set(chain.from_iterable(texts))
-            self._learn(list(new))
+        words = set(chain.from_iterable(texts))
+        new = list(words.difference(self.known))
+        if new and len(self.known) + len(new) > self.remembered:
+            self.known = {word: self.known[word] for word in words.intersection(self.known)}
+        for first in range(0, len(new), LEARNED):
+            self._learn(new[first : first + LEARNED])
+
+    def shrink(self, texts: list[list[bytes]]) -> None:
+        """Forget all words but those of the texts, and all pieces."""
+        self.known = {word: self.known[word] for word in set(chain.from_iterable(texts)).intersection(self.known)}
+        self.pieces = {}
 
     def encode(self, text: bytes) -> bytes:
         """Ids of one text."""
@@ -131,21 +137,21 @@ class WordEncoder:
         return b"".join(map(self.known.__getitem__, words))
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
+def _encoder(path: str, remembered: int = REMEMBERED) -> WordEncoder:
     """One encoder for a worker process, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    if (path, remembered) not in _ENCODERS:
+        _ENCODERS[path, remembered] = WordEncoder(path, remembered)
+    return _ENCODERS[path, remembered]
 
 
-def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema, remembered: int = REMEMBERED, carried: bool = True) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, shard, block = _encoder(path), TaskContext.get().partitionId(), 0
+        encoder, shard, block = _encoder(path, remembered), TaskContext.get().partitionId(), 0
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
-        pieces, doc_ids, lengths, held, before = [], [], [], 0, 0
+        pieces, doc_ids, lengths, held, before, texts = [], [], [], 0, 0, []
 
         def full() -> pa.RecordBatch:
             offsets = np.concatenate(([0], np.cumsum(lengths)))
@@ -169,6 +175,8 @@ def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema) -> Callab
                         before += held
                         pieces, doc_ids, lengths, held = [], [], [], 0
                         block += 1
+        if not carried:
+            encoder.shrink(texts)
         if doc_ids:
             yield full()
 
@@ -181,13 +189,17 @@ def _arrow(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def token_blocks(docs: DataFrame, path: str, end_id: int, text: str = "text", id_col: str = "doc_id", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """The documents as blocks; one shuffle, by ranges of the id."""
+def token_blocks(docs: DataFrame, path: str, end_id: int, text: str = "text", id_col: str = "doc_id", block_ids: int = BLOCK_IDS, remembered: int = REMEMBERED, carried: bool = True) -> DataFrame:
+    """The documents as blocks; one shuffle, by ranges of the id.
+
+    A Python worker remembers the ids of ``remembered`` words at most, and of few from task
+    to task where they are not ``carried``: other operators of the job then have its memory.
+    """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     schema = block_schema(rows.schema["id"].dataType)
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    return ordered.mapInArrow(_blocks(path, end_id, block_ids, _arrow(schema)), schema)
+    return ordered.mapInArrow(_blocks(path, end_id, block_ids, _arrow(schema), remembered, carried), schema)
 
 
 def read_blocks(blocks: DataFrame) -> DataFrame:
@@ -257,6 +269,6 @@ def documents_of(blocks: DataFrame, asked: DataFrame, id_col: str = "doc_id") ->
     return found.mapInArrow(cut, schema)
 
 
-def written(docs: DataFrame, path: str, end_id: int, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def written(docs: DataFrame, path: str, end_id: int, text: str = "text", id_col: str = "doc_id", remembered: int = REMEMBERED, carried: bool = True) -> DataFrame:
     """Blocks, written to the shared folder and read from there."""
-    return stored(token_blocks(docs, path, end_id, text, id_col), "token-blocks")
+    return stored(token_blocks(docs, path, end_id, text, id_col, remembered=remembered, carried=carried), "token-blocks")
