@@ -10,35 +10,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymark.llm import decontaminate, mixing, quality, queries, simhash, token_files
-from tallymark.llm.common import stored
+from tallymark.llm.common import short_batches, stored
 
 
-# Words whose ids a Python worker remembers; the stages share the workers.
-REMEMBERED = 500_000
+# Words whose ids a Python worker remembers in a task; the stages share the workers.
+REMEMBERED = 150_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio; others go."""
+    short_batches(spark)
     return quality.keep_good(docs, queries.table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of texts with linked fingerprints or four fifths of their five-word shingles in common: the one with the smallest id."""
+    short_batches(spark)
     return simhash.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which the benchmark's windows cover less than a twentieth."""
+    short_batches(spark)
     return decontaminate.clean_documents(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, up to three times."""
+    short_batches(spark)
     return mixing.taken_copies(docs)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token blocks, written; what is read back from them of every document."""
+    short_batches(spark)
     vocabulary = queries.vocabulary(queries.TOKEN_FILE_VOCABULARY)
     blocks = token_files.written(docs, vocabulary, queries.END_ID, remembered=REMEMBERED, carried=False)
     return token_files.read_blocks(blocks)

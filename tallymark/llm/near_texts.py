@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import ship, stored, text_key
+from tallymark.llm.common import ship, stored, text_key, tidy
 from tallymark.llm.components import components
 
 SHINGLE = 5
@@ -169,7 +169,7 @@ def signatures(texts: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, *(pa.array(longs[:, j]) for j in range(len(SHORT)))], names=["key", "size", "sketch", *SHORT])
 
     schema = ", ".join(["key long, size int, sketch binary", *(f"{c} long" for c in SHORT)])
-    return texts.select("key", "text").mapInArrow(compute, schema).dropDuplicates(["key"])
+    return texts.select("key", "text").mapInArrow(tidy(compute), schema).dropDuplicates(["key"])
 
 
 def _posted(texts: DataFrame, last: np.ndarray | None) -> DataFrame:
@@ -196,7 +196,7 @@ def _posted(texts: DataFrame, last: np.ndarray | None) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (found, own, place, size)], names=["shingle", "key", "place", "size"])
 
-    return texts.select("key", "text").mapInArrow(compute, "shingle long, key long, place int, size int")
+    return texts.select("key", "text").mapInArrow(tidy(compute), "shingle long, key long, place int, size int")
 
 
 def often_shared(texts: DataFrame) -> np.ndarray:
@@ -232,7 +232,7 @@ def at_shingles(texts: DataFrame, last: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(x[out]) for x in columns], names=batch.schema.names)
 
     dealt = _posted(texts, last).repartition("shingle").sortWithinPartitions("shingle", "key")
-    return dealt.mapInArrow(shared, "shingle long, key long, place int, size int")
+    return dealt.mapInArrow(tidy(shared), "shingle long, key long, place int, size int")
 
 
 def meeting(rest: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def likely(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 
     one, two = (signs.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
     both = pairs.join(one, "a").join(two, "b").filter(F.least("size_a", "size_b") * 5 >= F.greatest("size_a", "size_b") * 4)
-    return both.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(compare, "a long, b long")
+    return both.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(tidy(compare), "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -283,7 +283,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             good = [near(known(x.as_py() or b""), known(y.as_py() or b"")) for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(compare, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long")
 
 
 def groups(docs: DataFrame, text: str = "text", known: DataFrame | None = None) -> DataFrame:

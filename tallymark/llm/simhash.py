@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.llm import near_texts
-from tallymark.llm.common import fresh, ship, stored, text_key
+from tallymark.llm.common import fresh, ship, stored, text_key, tidy
 from tallymark.llm.components import components
 
 SHINGLE = 3
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", sh
             found = np.fromiter((fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found.view(np.int64))], names=["doc_id", "key", "fp"])
 
-    return rows.mapInArrow(compute, schema)
+    return rows.mapInArrow(tidy(compute), schema)
 
 
 def nearby_errors(bits: int, polynomial: int, radius: int, slack: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -162,7 +162,7 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, blocks=BLOCKS) -> DataF
                     index, near = anchors.near(fps.view(np.uint64))
                     yield pa.RecordBatch.from_arrays([pa.array(near), pa.array(fps[index])], names=["anchor", "fp"])
 
-        return prints.select("fp").mapInArrow(replicate, "anchor long, fp long")
+        return prints.select("fp").mapInArrow(tidy(replicate), "anchor long, fp long")
 
     residents = sent(0).select("anchor", F.col("fp").alias("a"))
     visitors = sent(threshold).select("anchor", F.col("fp").alias("b"))

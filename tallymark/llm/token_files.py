@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import ship, stored
+from tallymark.llm.common import ship, stored, tidy
 from tallymark.llm.elias_fano import EliasFano
 
 BLOCK_IDS = 1 << 18
@@ -43,8 +43,10 @@ BLOCK_IDS = 1 << 18
 UNICODE_SPACE = regex.compile(r"[^\S ]|[\x1c-\x1f]")
 # Words whose ids a Python worker remembers.
 REMEMBERED = 1_000_000
-# Documents whose words are learned together, and words that go to the library at a time.
+# Documents whose words are learned together, where words are carried from task to task and
+# where they are not, and words that go to the library at a time.
 TOGETHER = 1_000
+FEW = 200
 LEARNED = 10_000
 
 
@@ -121,10 +123,9 @@ class WordEncoder:
         for first in range(0, len(new), LEARNED):
             self._learn(new[first : first + LEARNED])
 
-    def shrink(self, texts: list[list[bytes]]) -> None:
-        """Forget all words but those of the texts, and all pieces."""
-        self.known = {word: self.known[word] for word in set(chain.from_iterable(texts)).intersection(self.known)}
-        self.pieces = {}
+    def forget(self) -> None:
+        """Forget all words and pieces."""
+        self.known, self.pieces = {}, {}
 
     def encode(self, text: bytes) -> bytes:
         """Ids of one text."""
@@ -151,7 +152,8 @@ def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema, remembere
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, shard, block = _encoder(path, remembered), TaskContext.get().partitionId(), 0
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
-        pieces, doc_ids, lengths, held, before, texts = [], [], [], 0, 0, []
+        pieces, doc_ids, lengths, held, before = [], [], [], 0, 0
+        together = TOGETHER if carried else FEW
 
         def full() -> pa.RecordBatch:
             offsets = np.concatenate(([0], np.cumsum(lengths)))
@@ -160,8 +162,8 @@ def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema, remembere
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, schema, strict=True)], schema=schema)
 
         for batch in batches:
-            for first in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(first, TOGETHER)
+            for first in range(0, batch.num_rows, together):
+                part = batch.slice(first, together)
                 texts = [(one or b"").split() for one in part.column(1).cast(pa.binary()).to_pylist()]
                 encoder.learn(texts)
                 for doc_id, words in zip(part.column(0).to_pylist(), texts, strict=True):
@@ -175,10 +177,10 @@ def _blocks(path: str, end_id: int, block_ids: int, schema: pa.Schema, remembere
                         before += held
                         pieces, doc_ids, lengths, held = [], [], [], 0
                         block += 1
-        if not carried:
-            encoder.shrink(texts)
         if doc_ids:
             yield full()
+        if not carried:
+            encoder.forget()
 
     return write
 
@@ -192,14 +194,15 @@ def _arrow(schema: T.StructType) -> pa.Schema:
 def token_blocks(docs: DataFrame, path: str, end_id: int, text: str = "text", id_col: str = "doc_id", block_ids: int = BLOCK_IDS, remembered: int = REMEMBERED, carried: bool = True) -> DataFrame:
     """The documents as blocks; one shuffle, by ranges of the id.
 
-    A Python worker remembers the ids of ``remembered`` words at most, and of few from task
+    A Python worker remembers the ids of ``remembered`` words at most, and of none from task
     to task where they are not ``carried``: other operators of the job then have its memory.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     schema = block_schema(rows.schema["id"].dataType)
     ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
-    return ordered.mapInArrow(_blocks(path, end_id, block_ids, _arrow(schema), remembered, carried), schema)
+    write = _blocks(path, end_id, block_ids, _arrow(schema), remembered, carried)
+    return ordered.mapInArrow(write if carried else tidy(write), schema)
 
 
 def read_blocks(blocks: DataFrame) -> DataFrame:
@@ -232,7 +235,7 @@ def read_blocks(blocks: DataFrame) -> DataFrame:
                 columns = row["doc_ids"], offsets[:-1] + row["first"], np.diff(offsets), sums
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
-    return wanted.mapInArrow(read, schema)
+    return wanted.mapInArrow(tidy(read), schema)
 
 
 def documents_of(blocks: DataFrame, asked: DataFrame, id_col: str = "doc_id") -> DataFrame:
