@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymark.llm import near_texts
-from tallymark.llm.common import fresh, ship, stored, text_key, tidy
+from tallymark.llm.common import fresh, ship, shuffled, stored, text_key, tidy
 from tallymark.llm.components import components
 
 SHINGLE = 3
@@ -167,7 +167,7 @@ def links(prints: DataFrame, threshold: int = THRESHOLD, blocks=BLOCKS) -> DataF
     residents = sent(0).select("anchor", F.col("fp").alias("a"))
     visitors = sent(threshold).select("anchor", F.col("fp").alias("b"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    return residents.join(visitors, "anchor").filter((F.col("a") < F.col("b")) & (apart <= threshold)).select("a", "b")
+    return residents.join(shuffled(visitors), "anchor").filter((F.col("a") < F.col("b")) & (apart <= threshold)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE, threshold: int = THRESHOLD, blocks=BLOCKS) -> DataFrame:
@@ -179,10 +179,10 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
     roots = components(links(prints, threshold, blocks))
     # A fingerprint without links is its own root.
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = prints.join(shuffled(roots), prints["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_print = rooted.join(named, "root").select("fp", "root", "component_id")
-    return rows.join(by_print, "fp").select("doc_id", "key", "fp", "root", "component_id")
+    by_print = rooted.join(shuffled(named), "root").select("fp", "root", "component_id")
+    return rows.join(shuffled(by_print), "fp").select("doc_id", "key", "fp", "root", "component_id")
 
 
 def hexadecimal(fp: Column) -> Column:
