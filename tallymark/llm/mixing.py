@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import spaced_words, ship, stored, text_key
+from tallymark.llm.common import ship, shuffled, spaced_words, stored, text_key
 
 WEIGHTS = (1.0, 2.0, 3.0)
 MOST_COPIES = 3.0
@@ -169,5 +169,5 @@ def taken_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id", so
     narrow = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(names)], text_key(F.col(text)).alias("key"))
     at = {c: f"c{i}" for i, c in enumerate(names)}
     same = (F.col("key") == F.col("mix_key")) & F.col(at[id_col]).eqNullSafe(F.col("mix_id")) & F.col(at[source]).eqNullSafe(F.col("mix_source"))
-    repeated = narrow.join(choice, same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+    repeated = narrow.join(shuffled(choice), same).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
     return repeated.select(*[F.col(at[c]).alias(c) for c in names])

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymark.llm.common import ship, stored, text_key, tidy
+from tallymark.llm.common import ship, shuffled, stored, text_key, tidy
 from tallymark.llm.components import components
 
 SHINGLE = 5
@@ -249,7 +249,7 @@ def meeting(rest: DataFrame) -> DataFrame:
     met = None
     for step in (0, 1):
         same = (F.col("shingle_a") == F.col("shingle_b")) & (F.col("band_a") + step == F.col("band_b"))
-        pairs = small.join(large, same & (F.col("root_a") != F.col("root_b")) & enough)
+        pairs = small.join(shuffled(large), same & (F.col("root_a") != F.col("root_b")) & enough)
         pairs = pairs.select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
         met = pairs if met is None else met.unionByName(pairs)
     return met.distinct()
@@ -266,14 +266,14 @@ def likely(pairs: DataFrame, signs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     one, two = (signs.select(F.col("key").alias(c), F.col("size").alias(f"size_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in "ab")
-    both = pairs.join(one, "a").join(two, "b").filter(F.least("size_a", "size_b") * 5 >= F.greatest("size_a", "size_b") * 4)
+    both = pairs.join(shuffled(one), "a").join(shuffled(two), "b").filter(F.least("size_a", "size_b") * 5 >= F.greatest("size_a", "size_b") * 4)
     return both.select("a", "b", "size_a", "size_b", "sketch_a", "sketch_b").mapInArrow(tidy(compare), "a long, b long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of keys whose texts are near."""
     asked = stored(pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "asked-keys")
-    found = stored(texts.join(asked, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")), "asked-texts")
+    found = stored(texts.join(shuffled(asked), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text")), "asked-texts")
     one, two = (found.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}")) for c in "ab")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +283,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             good = [near(known(x.as_py() or b""), known(y.as_py() or b"")) for x, y in zip(left, right, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long")
+    return pairs.join(shuffled(one), "a").join(shuffled(two), "b").select("a", "b", "text_a", "text_b").mapInArrow(tidy(compare), "a long, b long")
 
 
 def groups(docs: DataFrame, text: str = "text", known: DataFrame | None = None) -> DataFrame:
@@ -294,18 +294,18 @@ def groups(docs: DataFrame, text: str = "text", known: DataFrame | None = None)
     ship(docs.sparkSession)
     texts = docs.select(text_key(F.col(text)).alias("key"), F.col(text).alias("text"))
     places = stored(at_shingles(texts, often_shared(texts)), "shared-shingles")
-    signs = stored(signatures(texts).join(places.select("key").distinct(), "key", "left_semi"), "signatures")
+    signs = stored(signatures(texts).join(shuffled(places.select("key").distinct()), "key", "left_semi"), "signatures")
     ends = places.groupBy("shingle").agg(F.min("key").alias("least"), F.max("key").alias("most"), F.count("*").alias("n"))
-    stars = places.join(ends, "shingle").select("key", F.explode(F.array("least", "most")).alias("end")).filter("key <> end")
+    stars = places.join(shuffled(ends), "shingle").select("key", F.explode(F.array("least", "most")).alias("end")).filter("key <> end")
     stars = stars.select(F.least("key", "end").alias("a"), F.greatest("key", "end").alias("b")).distinct()
     links = stored(verified(stored(likely(stars, signs), "star-pairs"), texts), "star-links")
     if known is not None:
         links = links.unionByName(known)
     roots = stored(components(links), "star-roots")
     # Where only two texts stand they have been compared.
-    rest = places.join(ends.filter("n > 2").select("shingle"), "shingle")
-    rest = rest.join(roots.toDF("key", "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    rest = rest.join(signs.select("key", *SHORT), "key")
+    rest = places.join(shuffled(ends.filter("n > 2").select("shingle")), "shingle")
+    rest = rest.join(shuffled(roots.toDF("key", "root")), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rest = rest.join(shuffled(signs.select("key", *SHORT)), "key")
     others = stored(likely(meeting(stored(rest, "rooted-shingles")), signs), "other-pairs")
     more = stored(verified(others, texts), "other-links")
     return components(links.unionByName(more)).toDF("key", "root")

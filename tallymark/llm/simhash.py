@@ -193,7 +193,7 @@ def hexadecimal(fp: Column) -> Column:
 def print_links(rows: DataFrame) -> DataFrame:
     """Links a < b between the texts (``key``) of each component of fingerprints: the smallest one with each other one."""
     groups = rows.groupBy("root").agg(F.min("key").alias("a"), F.max("key").alias("most")).filter("a <> most")
-    return rows.join(groups, "root").filter("a <> key").select("a", F.col("key").alias("b")).distinct()
+    return rows.join(shuffled(groups), "root").filter("a <> key").select("a", F.col("key").alias("b")).distinct()
 
 
 def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -206,12 +206,12 @@ def one_of_each(docs: DataFrame, text: str = "text", id_col: str = "doc_id") ->
     """
     rows = stored(near_duplicates(docs, text, id_col).select("doc_id", "key", "root"), "fingerprint-groups")
     near = near_texts.groups(docs, text, stored(print_links(rows), "fingerprint-links"))
-    found = stored(rows.drop("root").join(near, "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root")), "near-duplicates")
+    found = stored(rows.drop("root").join(shuffled(near), "key", "left").select("doc_id", "key", F.coalesce("root", "key").alias("root")), "near-duplicates")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
     kept = found.groupBy("root").agg(F.min(order).alias("least")).select(F.col("least.doc_id").alias("kept_id"), F.col("least.key").alias("kept_key"))
     key, names = fresh(docs, "key"), docs.columns
     narrow = docs.withColumn(key, text_key(F.col(text)))
-    chosen = narrow.join(kept, F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.col(key) == F.col("kept_key")), "left_semi")
+    chosen = narrow.join(shuffled(kept), F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.col(key) == F.col("kept_key")), "left_semi")
     again = found.groupBy("doc_id", "key").agg(F.count("*").alias("n")).filter("n > 1").limit(1).count()
     if again:
         chosen = chosen.dropDuplicates([id_col, key])

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import DataFrame
 
-from tallymark.llm import common, components, simhash
+from tallymark.llm import common, components, mixing, near_texts, simhash
 
 
 @pytest.fixture
@@ -18,7 +18,7 @@ def plans(monkeypatch):
         seen.append(planned(frame))
         return write(frame, name)
 
-    for module in (components, simhash):
+    for module in (components, near_texts, simhash):
         monkeypatch.setattr(module, "stored", noted)
     monkeypatch.setattr(components, "FEW", 0, raising=False)
     return seen
@@ -50,3 +50,15 @@ def test_many_links_are_not_broadcast(spark, plans):
     found = components.components(links)
     assert joins(plans) == {"SortMergeJoin"}
     assert {tuple(r) for r in found.collect()} == {*((i, 0) for i in range(10)), (20, 20), (21, 20)}
+
+
+def test_near_texts_are_not_broadcast(spark, plans):
+    found = simhash.one_of_each(documents(spark))
+    assert joins([*plans, planned(found)]) == {"SortMergeJoin"}
+    assert found.count() == 22
+
+
+def test_the_mix_is_not_broadcast(spark):
+    docs = documents(spark).selectExpr("*", "'s' as source")
+    [kind] = joins([planned(mixing.taken_copies(docs))])
+    assert kind == "SortMergeJoin"
