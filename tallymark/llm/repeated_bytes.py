@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallymark.llm.common import ship, stored, text_key
+from tallymark.llm.common import ship, shuffled, stored, text_key
 
 WIDTH = 200
 KEY = 80
@@ -310,8 +310,8 @@ def repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Data
     texts = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text")).filter(F.octet_length("text") >= WIDTH)
     triggers = trigger_keys(texts.select("key", "text"))
     twice = stored(triggers.groupBy("trigger").agg(F.sum("n").alias("n")).filter("n > 1").select("trigger"), "repeated-triggers")
-    wanted = stored(triggers.select("key", "trigger").join(twice, "trigger").groupBy("key").agg(F.collect_set("trigger").alias("wanted")), "wanted-triggers")
-    met = stored(found_stretches(packed(texts).join(wanted, "key")), "stretches")
+    wanted = stored(triggers.select("key", "trigger").join(shuffled(twice), "trigger").groupBy("key").agg(F.collect_set("trigger").alias("wanted")), "wanted-triggers")
+    met = stored(found_stretches(packed(texts).join(shuffled(wanted), "key")), "stretches")
     one = met.groupBy("name").agg(
         F.count("*").alias("n"), F.min("back").alias("back"), F.min("ahead").alias("ahead"),
         F.min(F.col("trigger") - F.col("last")).alias("near"), F.min(F.col("trigger") - F.col("first")).alias("far"),
@@ -319,13 +319,13 @@ def repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Data
     one = stored(one.withColumn("c", F.monotonically_increasing_id()), "different-stretches")
     dictionary, before = intervals(one.select("c", F.col("back").alias("value")))
     parse, after = intervals(one.select("c", F.col("ahead").alias("value")), KEY)
-    both = one.select("c", "near", "far").join(dictionary.toDF("c", "most_1", "depths_1", "names_1"), "c").join(parse.toDF("c", "most_2", "depths_2", "names_2"), "c")
+    both = one.select("c", "near", "far").join(shuffled(dictionary.toDF("c", "most_1", "depths_1", "names_1")), "c").join(shuffled(parse.toDF("c", "most_2", "depths_2", "names_2")), "c")
     windows = stored(named_windows(both, before, after), "named-windows")
     again = windows.groupBy("l", "a", "b").agg(F.count("*").alias("m")).filter("m > 1").select("l", "a", "b")
-    single = windows.join(stored(again, "repeated-windows"), ["l", "a", "b"]).groupBy("c").agg(F.collect_set("l").alias("single"))
-    decided = one.select("name", "n", "c").join(single, "c", "left").filter("n > 1 or single is not null")
+    single = windows.join(shuffled(stored(again, "repeated-windows")), ["l", "a", "b"]).groupBy("c").agg(F.collect_set("l").alias("single"))
+    decided = one.select("name", "n", "c").join(shuffled(single), "c", "left").filter("n > 1 or single is not null")
     decided = stored(decided.select("name", F.when(F.col("n") == 1, F.col("single")).alias("single")), "decided-stretches")
-    places = met.select("doc_id", "key", "name", "first", "trigger", "last").join(decided, "name")
+    places = met.select("doc_id", "key", "name", "first", "trigger", "last").join(shuffled(decided), "name")
     return places.groupBy("doc_id", "key").agg(F.collect_set(F.struct("trigger", "first", "last", "single")).alias("places"))
 
 
@@ -350,7 +350,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_col: str = "doc_id")
     found = stored(repeats(docs, text, id_col), "repeats")
     rows = packed(docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text")))
     held = found.withColumnsRenamed({"doc_id": "of", "key": "of_key"})
-    joined = rows.join(held, rows["key"].eqNullSafe(held["of_key"]) & rows["doc_id"].eqNullSafe(held["of"]), "left").select("doc_id", "text", "places")
+    joined = rows.join(shuffled(held), rows["key"].eqNullSafe(held["of_key"]) & rows["doc_id"].eqNullSafe(held["of"]), "left").select("doc_id", "text", "places")
     kinds = (("doc_id", rows.schema["doc_id"].dataType), ("n_bytes", T.LongType()), ("n_removed", T.LongType()), ("spans", T.ArrayType(T.LongType())), ("kept", T.BinaryType()))
     schema = T.StructType([T.StructField(*k) for k in kinds])
 

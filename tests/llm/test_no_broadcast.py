@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import DataFrame
 
-from tallymark.llm import common, components, mixing, near_texts, simhash
+from tallymark.llm import common, components, mixing, near_texts, repeated_bytes, simhash
 
 
 @pytest.fixture
@@ -18,7 +18,7 @@ def plans(monkeypatch):
         seen.append(planned(frame))
         return write(frame, name)
 
-    for module in (components, near_texts, simhash):
+    for module in (components, near_texts, repeated_bytes, simhash):
         monkeypatch.setattr(module, "stored", noted)
     monkeypatch.setattr(components, "FEW", 0, raising=False)
     return seen
@@ -62,3 +62,10 @@ def test_the_mix_is_not_broadcast(spark):
     docs = documents(spark).selectExpr("*", "'s' as source")
     [kind] = joins([planned(mixing.taken_copies(docs))])
     assert kind == "SortMergeJoin"
+
+
+def test_repeated_windows_are_not_broadcast(spark, plans):
+    texts = [" ".join(f"{i}word{j}" for j in range(60)) + " common" * 60 for i in range(5)]
+    found = repeated_bytes.without_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert joins([*plans, planned(found)]) == {"SortMergeJoin"}
+    assert all(r["n_removed"] > 0 for r in found.collect())
